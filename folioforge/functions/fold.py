@@ -117,7 +117,8 @@ def ascii_fold(col: Column) -> Column:
     in the text; all others follow in a single ``translate``.
     """
     source, target, longer = _plan()
-    spelling = F.create_map(*(F.lit(part) for pair in longer for part in pair))
+    listed = "\x02".join(f"{char}\x01{spelling}" for char, spelling in longer)
+    spelling = F.str_to_map(F.lit(listed), F.lit("\x02"), F.lit("\x01"))
     present = F.array_distinct(F.regexp_extract_all(col, F.lit(_suspects()), F.lit(0)))
     spelled = F.aggregate(
         F.filter(present, lambda c: F.map_contains_key(spelling, c)),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import let, squeeze
 from ..sources.documents_json import KEY_FIELDS
+from .stage import compute_once
 
 UNNAMED = "none"
 
@@ -90,8 +91,8 @@ def field_map(pairs: Column) -> Column:
 def with_pairs(extracts: DataFrame) -> DataFrame:
     """(id, title, type, pairs); extracts without any word have a null type."""
     text = F.col("text")
-    return extracts.select(
-        "id", "title", document_type(text).alias("type"), field_pairs(text).alias("pairs")
+    return compute_once(
+        extracts, "id", "title", type=document_type(text), pairs=field_pairs(text)
     )
 
 
@@ -102,11 +103,8 @@ def document_fields(extracts: DataFrame) -> DataFrame:
 
 def build_documents(extracts: DataFrame) -> DataFrame:
     """(id, title, type, fields); an extract without a type is no document."""
-    return (
-        with_pairs(extracts)
-        .where(F.col("type").isNotNull())
-        .select("id", "title", "type", field_map(F.col("pairs")).alias("fields"))
-    )
+    typed = with_pairs(extracts).where(F.col("type").isNotNull())
+    return compute_once(typed, "id", "title", "type", fields=field_map(F.col("pairs")))
 
 
 def rejected_documents(extracts: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions import markup
 from ..functions.boxes import box_and_tail_text, box_text
 from ..functions.text import flatten_newlines, normalize_text
 from .skew import number_rows
+from .stage import compute_once
 
 
 def drop_null_pages(pages: DataFrame) -> DataFrame:
@@ -38,8 +39,13 @@ def page_class_counts(pages: DataFrame) -> DataFrame:
 
 def extract_pages(pages: DataFrame, drop_noinclude: bool = True) -> DataFrame:
     """Extracted text of all relevant pages: class, box lines, fields, normalised."""
-    boxed = F.col("page_class") != "writer"
     body, subtype = F.col("body"), F.col("subtype")
+    boxed = F.when(F.col("page_class") == "writer", F.col("text")).otherwise(
+        box_text(F.col("text"))
+    )
+    box_subtype = F.when(body.rlike(markup.INFOBOX_BOOK), "book").when(
+        body.rlike(markup.INFOBOX_FILM), "film"
+    )
     extracted = (
         F.when(subtype == "book", markup.book_fields(body))
         .when(subtype == "film", markup.film_fields(body))
@@ -47,29 +53,22 @@ def extract_pages(pages: DataFrame, drop_noinclude: bool = True) -> DataFrame:
         .when(subtype == "writer", markup.works_section(body))
         .otherwise(body)
     )
-    box_subtype = F.when(body.rlike(markup.INFOBOX_BOOK), "book").when(
-        body.rlike(markup.INFOBOX_FILM), "film"
+    bodies = compute_once(
+        classify(keep_relevant(pages)), "id", "title", "page_class", body=boxed
+    ).withColumn(
+        "subtype",
+        F.when(F.col("page_class") == "infobox", box_subtype).otherwise(F.col("page_class")),
     )
-    return (
-        classify(keep_relevant(pages))
-        .select(
-            "id", "title", "page_class",
-            F.when(boxed, box_text(F.col("text"))).otherwise(F.col("text")).alias("body"),
-        )
-        .select(
-            "id", "title", "body",
-            F.when(F.col("page_class") == "infobox", box_subtype)
-            .otherwise(F.col("page_class")).alias("subtype"),
-        )
-        .select("id", "title", extracted.alias("raw"))
-        .select("id", "title", normalize_text(F.col("raw"), drop_noinclude).alias("text"))
+    raw = compute_once(bodies, "id", "title", raw=extracted)
+    return compute_once(
+        raw, "id", "title", text=normalize_text(F.col("raw"), drop_noinclude)
     )
 
 
 def selected_text(pages: DataFrame) -> DataFrame:
     """(id, title, body) of the relevant pages: box lines and the works tail."""
-    return keep_relevant(pages).select(
-        "id", "title", box_and_tail_text(F.col("text")).alias("body")
+    return compute_once(
+        keep_relevant(pages), "id", "title", body=box_and_tail_text(F.col("text"))
     )
 
 
@@ -93,12 +92,11 @@ def extract_or_keep(bodies: DataFrame) -> DataFrame:
         .when(subtype == "works", markup.works_section_at_start(body))
         .otherwise(body)
     )
-    return (
-        bodies.select("id", "title", flatten_newlines(F.col("body")).alias("body"))
-        .withColumn("page_class", markup.page_class(body))
-        .select("id", "title", "body", routed.alias("subtype"))
-        .select("id", "title", extracted.alias("raw"))
-        .select("id", "title", normalize_text(F.col("raw"), drop_noinclude=False).alias("text"))
+    flat = bodies.select("id", "title", flatten_newlines(body).alias("body"))
+    classed = compute_once(flat, "id", "title", "body", page_class=markup.page_class(body))
+    raw = compute_once(classed.withColumn("subtype", routed), "id", "title", raw=extracted)
+    return compute_once(
+        raw, "id", "title", text=normalize_text(F.col("raw"), drop_noinclude=False)
     )
 
 

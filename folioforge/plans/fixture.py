@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.stage import compute_once
 from ..sources.tables import read_table, spread
 
 NL = "chr(10)"
@@ -133,4 +134,4 @@ def wiki_pages(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN k % 50 = 17 THEN 'no heading' ELSE '== References ==' END AS next_heading",
     )
     title, text = (e.replace("VARCHAR(20)", "STRING") for e in (TITLE, TEXT))
-    return parts.selectExpr("id", f"{title} AS title", f"{text} AS text")
+    return compute_once(parts, "id", title=F.expr(title), text=F.expr(text))

@@ -24,6 +24,7 @@ def build_session(master: str | None = None, app: str = "folioforge") -> SparkSe
         builder = (
             builder.master(master)
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
             .config("spark.sql.shuffle.partitions", str(cores))
             .config("spark.driver.memory", "16g")
         )
