@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import field_terms, positioned_terms, term_runs
 from ..sources.documents_json import KEY_FIELDS
-from ..sources.store import table_exists
+from ..sources.store import path_exists
 from .skew import SALTS
 
 BUCKETS = 16
@@ -164,10 +164,30 @@ def build_field_index(docs: DataFrame, path: str, buckets: int = BUCKETS) -> Non
     field_statistics(written).write.mode("overwrite").parquet(f"{path}/stats")
 
 
+# Schemas of the tables of an index; stating them saves a look into the files.
+POSITIONAL = {
+    "postings": "doc_id bigint, term string, tf bigint, pos_list array<int>, bucket int",
+    "dictionary": "term string, df bigint",
+    "stats": "n_docs bigint",
+}
+FIELDED = {
+    "postings": "doc_id string, field string, term string, tf bigint, field_len bigint, "
+    "leads boolean, bucket int",
+    "dictionary": "field string, term string, df bigint",
+    "stats": "field string, n_docs bigint, total_len bigint",
+}
+
+
 def index_exists(spark: SparkSession, path: str) -> bool:
-    return table_exists(spark, f"{path}/stats")
+    """Whether the last table of an index has been written completely."""
+    return path_exists(spark, f"{path}/stats/_SUCCESS")
 
 
-def open_index(spark: SparkSession, path: str, buckets: int = BUCKETS) -> Index:
-    tables = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "dictionary", "stats"))
+def open_index(
+    spark: SparkSession, path: str, schemas: dict[str, str], buckets: int = BUCKETS
+) -> Index:
+    tables = (
+        spark.read.schema(schemas[name]).parquet(f"{path}/{name}")
+        for name in ("postings", "dictionary", "stats")
+    )
     return Index(*tables, buckets=buckets)

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from ..functions import query as grammar
 from ..functions.terms import TERM, field_terms, term_runs
 from ..functions.text import words
+from ..session import materialize
 from .index import Index, idf, term_bucket
 from .skew import number_rows, salted_join, top_per_group
+from .stage import compute_once
 
 MAX_HITS = 10_000
 
@@ -53,37 +55,84 @@ def free_terms(queries: DataFrame) -> DataFrame:
 
 
 def clause_terms(clauses: DataFrame) -> DataFrame:
-    """(query_id, clause_id, op, field, term, qtf, n_terms): distinct terms of each clause."""
-    key = ["query_id", "clause_id", "op", "field"]
-    runs = clauses.select(*key, term_runs(field_terms(F.col("value"))).alias("runs"))
-    return runs.select(*key, F.size("runs").alias("n_terms"), F.inline("runs")).select(
-        *key, "term", F.col("tf").alias("qtf"), "n_terms"
+    """(clause, op, field, term, qtf, n_terms): distinct terms of each clause."""
+    runs = compute_once(clauses, "clause", "op", "field", runs=term_runs(field_terms(F.col("value"))))
+    return runs.select(
+        "clause", "op", "field", F.size("runs").alias("n_terms"), F.inline("runs")
+    ).select("clause", "op", "field", "term", F.col("tf").alias("qtf"), "n_terms")
+
+
+# --- intersection of posting lists -----------------------------------------------------
+
+
+def intersect(
+    wanted: DataFrame,
+    lists: DataFrame,
+    group: list[str],
+    item: list[str],
+    carry: list[str],
+    part: Column,
+    needed: str | None = None,
+) -> DataFrame:
+    """(group, doc_id, total): documents found in the lists of all items of a group.
+
+    ``wanted`` has one row per (group, item) with its ``rarity``, the length of its list,
+    and the ``carry`` columns; ``lists`` has one row per (item, doc_id).  ``part`` is what
+    a document scores for one item.  With ``needed``, groups with fewer items than that
+    column says cannot match.  The items of a group come from one query text, so a group
+    is small; a list may be of any length.
+    """
+    size = F.size("others")
+    plans = (
+        wanted.groupBy(*group)
+        .agg(
+            F.sort_array(F.collect_list(F.struct("rarity", *item, *carry))).alias("all"),
+            F.max(needed if needed else F.lit(0)).alias("needed"),
+        )
+        .where(F.size("all") >= F.col("needed"))
+        .select(
+            *group, F.get("all", F.lit(0)).alias("first"),
+            F.slice("all", 2, F.greatest(F.size("all") - 1, F.lit(0))).alias("others"),
+        )
     )
+    lookup = plans.select(*group, "others", "first.*")
+    candidates = salted_join(lists, lookup, item, "doc_id").select(
+        *group, "doc_id", "others", part.alias("part")
+    )
+    single = candidates.where(size == 0).select(*group, "doc_id", F.col("part").alias("total"))
+    checks = candidates.where(size > 0).select(
+        *group, "doc_id", F.col("part").alias("first_part"), size.alias("wanted"),
+        F.explode("others").alias("other"),
+    ).select(*group, "doc_id", "first_part", "wanted", "other.*")
+    # Only the lists that are asked for take part in the join by document.
+    asked = salted_join(lists, wanted.select(*item).distinct(), item, "doc_id", how="left_semi")
+    several = (
+        checks.join(asked, [*item, "doc_id"])
+        .groupBy(*group, "doc_id")
+        .agg(
+            F.count("*").alias("found"),
+            F.first("wanted").alias("wanted"),
+            (F.first("first_part") + F.sum(part)).alias("total"),
+        )
+        .where(F.col("found") == F.col("wanted"))
+        .select(*group, "doc_id", "total")
+    )
+    return single.unionByName(several)
 
 
 # --- TF-IDF search ---------------------------------------------------------------------
 
 
-def _rarest_first(terms: DataFrame, key: list[str], rarity: Column) -> DataFrame:
-    """One row per group: its rarest term as ``first``, the rest of its terms as ``others``.
+def known_terms(queries: DataFrame, index: Index) -> DataFrame:
+    """(query_id, bucket, term, rarity, weight): query terms that the dictionary has.
 
-    A group is the terms of one query text, which came out of a single row.
+    The weight is the idf of the term times its count in the query.
     """
-    grouped = terms.groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.struct(rarity.alias("rarity"), "term", "weight"))).alias("all")
-    )
-    return grouped.select(
-        *key, F.get("all", F.lit(0)).alias("first"),
-        F.slice("all", 2, F.greatest(F.size("all") - 1, F.lit(0))).alias("others"),
-    )
-
-
-def known_terms(queries: DataFrame, index: Index) -> DataFrame:
-    """(query_id, term, df, weight): query terms of the dictionary, weighted by idf and count."""
     n_docs = index.stats.select("n_docs").scalar()
     known = free_terms(queries).join(index.dictionary, "term")
     return known.select(
-        "query_id", "term", "df", (F.col("qtf") * idf(n_docs, F.col("df"))).alias("weight")
+        "query_id", term_bucket(index.buckets).alias("bucket"), "term",
+        F.col("df").alias("rarity"), (F.col("qtf") * idf(n_docs, F.col("df"))).alias("weight"),
     )
 
 
@@ -92,35 +141,12 @@ def search_tfidf(queries: DataFrame, index: Index) -> DataFrame:
 
     The score is the sum of the term weights divided by the number of hits of the query.
     """
-    plans = _rarest_first(known_terms(queries, index), ["query_id"], F.col("df"))
-    lookup = plans.select(
-        "query_id", "others", F.col("first.term").alias("term"),
-        F.col("first.weight").alias("weight"),
-    ).withColumn("bucket", term_bucket(index.buckets))
-    postings = index.postings.select("term", "bucket", "doc_id", "tf")
-    candidates = salted_join(postings, lookup, ["bucket", "term"], "doc_id").select(
-        "query_id", "doc_id", "others", (F.col("tf") * F.col("weight")).alias("part")
+    totals = intersect(
+        materialize(known_terms(queries, index), "terms"),
+        index.postings.select("bucket", "term", "doc_id", "tf"),
+        ["query_id"], ["bucket", "term"], ["weight"], F.col("tf") * F.col("weight"),
     )
-    single = candidates.where(F.size("others") == 0).select(
-        "query_id", "doc_id", F.col("part").alias("total")
-    )
-    checks = candidates.where(F.size("others") > 0).select(
-        "query_id", "doc_id", "part", F.size("others").alias("wanted"),
-        F.explode("others").alias("other"),
-    ).select("query_id", "doc_id", "part", "wanted", "other.term", "other.weight")
-    checks = checks.withColumn("bucket", term_bucket(index.buckets))
-    several = (
-        checks.join(postings, ["bucket", "term", "doc_id"])
-        .groupBy("query_id", "doc_id")
-        .agg(
-            F.count("*").alias("found"),
-            F.first("wanted").alias("wanted"),
-            (F.first("part") + F.sum(F.col("tf") * F.col("weight"))).alias("total"),
-        )
-        .where(F.col("found") == F.col("wanted"))
-        .select("query_id", "doc_id", "total")
-    )
-    totals = single.unionByName(several)
+    totals = materialize(totals, "totals")
     hits = totals.groupBy("query_id").agg(F.count("*").alias("n_hits"))
     return salted_join(totals, hits, ["query_id"], "doc_id").select(
         "query_id", "doc_id", (F.col("total") / F.col("n_hits")).alias("score")
@@ -159,60 +185,31 @@ def _bm25(tf: Column, length: Column, mean_length: Column) -> Column:
 
 
 def clause_hits(clauses: DataFrame, index: Index) -> DataFrame:
-    """(query_id, clause_id, doc_id, score): documents matching a clause.
+    """(clause, doc_id, score): documents matching a clause, of (clause, op, field, value).
 
     A document matches if one field holds all the terms (AND) or any (OR); the clause asks
     for a field by name or tries all of them, and the best field counts.
     """
-    terms = _field_terms_with_weights(clauses, index)
-    key = ["query_id", "clause_id", "field"]
+    terms = materialize(_field_terms_with_weights(clauses, index), "terms")
     postings = index.postings.select("bucket", "term", "field", "doc_id", "tf", "field_len")
+    item, group = ["bucket", "term", "field"], ["clause", "field"]
     part = F.col("weight") * _bm25(F.col("tf"), F.col("field_len"), F.col("mean_len"))
 
-    direct_terms = terms.where((F.col("op") == "OR") | (F.col("n_terms") == 1))
-    direct = (
-        salted_join(
-            postings,
-            direct_terms.select("bucket", "term", *key, "weight", "mean_len"),
-            ["bucket", "term", "field"], "doc_id",
-        )
-        .groupBy(*key, "doc_id")
-        .agg(F.sum(part).alias("score"))
-    )
+    # All terms: the field is part of the item, so the list of a group is that of one field.
+    together = terms.where("op = 'AND'").withColumn("in_field", F.col("field"))
+    joint = intersect(
+        together, postings, ["clause", "in_field"], item, ["weight", "mean_len"], part, "n_terms"
+    ).select("clause", "doc_id", F.col("total").alias("score"))
 
-    joint_terms = terms.where((F.col("op") == "AND") & (F.col("n_terms") > 1))
-    plans = (
-        joint_terms.groupBy(*key, "n_terms", "mean_len")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "term", "weight"))).alias("all"))
-        # A field that lacks one of the terms altogether cannot match.
-        .where(F.size("all") == F.col("n_terms"))
-    )
-    lookup = plans.select(
-        *key, "n_terms", "mean_len", "all", F.get("all", F.lit(0))["term"].alias("term")
-    ).withColumn("bucket", term_bucket(index.buckets))
-    candidates = salted_join(
-        postings.select("bucket", "term", "field", "doc_id"),
-        lookup, ["bucket", "term", "field"], "doc_id",
-    )
-    checks = candidates.select(
-        *key, "doc_id", "n_terms", "mean_len", F.explode("all").alias("t")
-    ).select(*key, "doc_id", "n_terms", "mean_len", "t.term", "t.weight")
-    joint = (
-        checks.withColumn("bucket", term_bucket(index.buckets))
-        .join(postings, ["bucket", "term", "field", "doc_id"])
-        .groupBy(*key, "doc_id")
-        .agg(
-            F.count("*").alias("found"),
-            F.first("n_terms").alias("n_terms"),
-            F.sum(part).alias("score"),
-        )
-        .where(F.col("found") == F.col("n_terms"))
-        .select(*key, "doc_id", "score")
+    any_term = terms.where("op = 'OR'").select(*item, "clause", "weight", "mean_len")
+    either = (
+        salted_join(postings, any_term, item, "doc_id")
+        .groupBy(*group, "doc_id")
+        .agg(F.sum(part).alias("score"))
+        .select("clause", "doc_id", "score")
     )
-    return (
-        direct.unionByName(joint)
-        .groupBy("query_id", "clause_id", "doc_id")
-        .agg(F.max("score").alias("score"))
+    return joint.unionByName(either).groupBy("clause", "doc_id").agg(
+        F.max("score").alias("score")
     )
 
 
@@ -228,27 +225,30 @@ def _field_terms_with_weights(clauses: DataFrame, index: Index) -> DataFrame:
     )
     n, df = F.col("n_docs"), F.col("df")
     weight = F.col("qtf") * F.log(1 + (n - df + 0.5) / (df + 0.5))
-    return (
-        salted_join(found, index.stats, ["field"], "term")
-        .select(
-            "query_id", "clause_id", "op", "n_terms", "field", "term", "df",
-            weight.alias("weight"), (F.col("total_len") / n).alias("mean_len"),
-        )
-        .withColumn("bucket", term_bucket(index.buckets))
+    return salted_join(found, index.stats, ["field"], "term").select(
+        "clause", "op", "n_terms", term_bucket(index.buckets).alias("bucket"), "term", "field",
+        df.alias("rarity"), weight.alias("weight"), (F.col("total_len") / n).alias("mean_len"),
     )
 
 
 def search_fields(clauses: DataFrame, index: Index) -> DataFrame:
-    """(query_id, doc_id, score): documents matching every clause of a query."""
-    sizes = clauses.groupBy("query_id").agg(F.count("*").alias("n_clauses"))
-    matched = clause_hits(clauses, index).groupBy("query_id", "doc_id").agg(
-        F.count("*").alias("found"), F.sum("score").alias("score")
-    )
-    return (
-        salted_join(matched, sizes, ["query_id"], "doc_id")
-        .where(F.col("found") == F.col("n_clauses"))
-        .select("query_id", "doc_id", "score")
+    """(query_id, doc_id, score): documents matching every clause of a query.
+
+    A clause that many queries share is answered once.
+    """
+    same = F.to_json(F.struct("op", "field", "value"))
+    keyed = clauses.withColumn("clause", same)
+    asked = keyed.groupBy("query_id", "clause").agg(F.count("*").alias("weight"))
+    sizes = asked.groupBy("query_id").agg(F.count("*").alias("n_clauses"))
+    found = materialize(
+        clause_hits(keyed.select("clause", "op", "field", "value").distinct(), index), "clauses"
     )
+    rarity = found.groupBy("clause").agg(F.count("*").alias("rarity"))
+    wanted = asked.join(rarity, "clause").join(sizes, "query_id")
+    return intersect(
+        wanted, found, ["query_id"], ["clause"], ["weight"],
+        F.col("score") * F.col("weight"), "n_clauses",
+    ).select("query_id", "doc_id", F.col("total").alias("score"))
 
 
 def top_hits(hits: DataFrame, limit: int = MAX_HITS) -> DataFrame:

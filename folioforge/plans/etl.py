@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import documents, index, pages
@@ -18,17 +20,19 @@ def extract_to_documents(spark: SparkSession, source: str) -> DataFrame:
     return documents.build_documents(csv.read_extract(spark, source))
 
 
-def positional_index(docs: DataFrame, path: str, buckets: int = index.BUCKETS) -> index.Index:
+def positional_index(
+    spark: SparkSession, path: str, docs: Callable[[], DataFrame], buckets: int = index.BUCKETS
+) -> index.Index:
     """The positional index of (doc_id, text) at ``path``, built only if it is not there."""
-    spark = docs.sparkSession
     if not index.index_exists(spark, path):
-        index.build_index(docs, path, buckets)
-    return index.open_index(spark, path, buckets)
+        index.build_index(docs(), path, buckets)
+    return index.open_index(spark, path, index.POSITIONAL, buckets)
 
 
-def field_index(docs: DataFrame, path: str, buckets: int = index.BUCKETS) -> index.Index:
+def field_index(
+    spark: SparkSession, path: str, docs: Callable[[], DataFrame], buckets: int = index.BUCKETS
+) -> index.Index:
     """The fielded index of documents at ``path``, built only if it is not there."""
-    spark = docs.sparkSession
     if not index.index_exists(spark, path):
-        index.build_field_index(docs, path, buckets)
-    return index.open_index(spark, path, buckets)
+        index.build_field_index(docs(), path, buckets)
+    return index.open_index(spark, path, index.FIELDED, buckets)

@@ -67,11 +67,12 @@ def _index_path(spark: SparkSession, folder: str, kind: str) -> str:
 
 def text_index(spark: SparkSession, folder: str) -> index.Index:
     path = _index_path(spark, folder, "texts")
-    return etl.positional_index(index.with_index_text(texts(spark, folder)), path)
+    return etl.positional_index(spark, path, lambda: index.with_index_text(texts(spark, folder)))
 
 
 def wiki_index(spark: SparkSession, folder: str) -> index.Index:
-    return etl.field_index(wiki_documents(spark, folder), _index_path(spark, folder, "wiki"))
+    path = _index_path(spark, folder, "wiki")
+    return etl.field_index(spark, path, lambda: wiki_documents(spark, folder))
 
 
 def text_queries(spark: SparkSession, folder: str) -> DataFrame:
@@ -430,7 +431,8 @@ def index_doc_freq(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def index_build(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "index")
-    built = etl.positional_index(index.with_index_text(texts(spark, folder)), path)
+    docs = index.with_index_text(texts(spark, folder))
+    built = etl.positional_index(spark, path, lambda: docs)
     return built.postings.select(
         "doc_id", "term", "tf", F.array_join("pos_list", ",").alias("positions"))
 

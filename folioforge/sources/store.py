@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 
 def latest_by_id(writes: DataFrame, key: str = "id", order: str = "seq") -> DataFrame:
@@ -20,19 +19,17 @@ def latest_by_id(writes: DataFrame, key: str = "id", order: str = "seq") -> Data
     return writes.groupBy(key).agg(last).select(key, "doc.*")
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on any file system the session can reach."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def build_if_absent(
     spark: SparkSession, path: str, build: Callable[[], DataFrame]
 ) -> tuple[DataFrame, bool]:
     """The table at ``path`` and whether this call built it; an existing one is reused."""
-    absent = not table_exists(spark, path)
+    absent = not path_exists(spark, f"{path}/_SUCCESS")
     if absent:
-        build().write.mode("ignore").option("compression", "zstd").parquet(path)
+        build().write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path), absent
