@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes, fold, markup, text
 from ..operators import counters, display, documents, index, pages, search
-from ..session import scratch_path, scratch_root
+from ..session import materialize, scratch_path, scratch_root
 from ..sources import csv, documents_json, store, xml
 from ..sources.tables import read_table, spread
 from . import etl
@@ -181,7 +181,7 @@ def docs_with_sentinel(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def docs_upsert_by_id(spark: SparkSession, folder: str) -> DataFrame:
-    docs = wiki_documents(spark, folder)
+    docs = materialize(wiki_documents(spark, folder), "documents")
     first = flat_docs(docs).withColumn("seq", F.lit(0))
     revised = first.where(F.col("type") != "book").select(
         "id", F.upper("title").alias("title"), "type", "fields", F.lit(1).alias("seq")
@@ -249,9 +249,10 @@ def dense_page_id(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def run_counters(spark: SparkSession, folder: str) -> DataFrame:
     wiki = wiki_pages(spark, folder)
-    return counters.count_pages(wiki).join(
-        F.broadcast(counters.count_documents(pages.extract_pages(wiki))), F.lit(True)
-    )
+    docs = counters.count_documents(pages.extract_pages(wiki))
+    both = docs.select(F.struct("docs_indexed", "docs_failed").alias("docs")).scalar()
+    return counters.count_pages(wiki).withColumn("docs", both).select(
+        "pages_read", "pages_complete", "pages_kept", "docs.*")
 
 
 # --- strings ---------------------------------------------------------------------------

@@ -18,6 +18,8 @@ def build_session(master: str | None = None, app: str = "folioforge") -> SparkSe
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording the call site of every column expression slows plan building down.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         cores = os.cpu_count() or 8
@@ -37,14 +39,14 @@ def scratch_root(spark: SparkSession) -> str:
     On a cluster it is the one named in ``spark.checkpoint.dir``.  Only a local session
     may fall back to a folder of its own, which is then set for the rest of the session.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="folioforge-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="folioforge-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
