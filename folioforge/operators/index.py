@@ -15,14 +15,11 @@ from pyspark.sql import functions as F
 from ..functions.terms import field_terms, positioned_terms, term_runs
 from ..sources.documents_json import KEY_FIELDS
 from ..sources.store import path_exists
-from .skew import SALTS
+from .skew import hot_join
 
 BUCKETS = 16
 LOG_BASE = 10.0
 
-# A term is hot when it has this share of all postings, so there are at most HOT_TERMS of them.
-HOT_TERMS = 1000
-
 
 def with_index_text(docs: DataFrame, separator: str = "") -> DataFrame:
     """(doc_id, text) to index: title and text glued together.
@@ -55,22 +52,12 @@ def idf(n_docs: Column, df: Column) -> Column:
 def tfidf_weights(postings: DataFrame, dictionary: DataFrame, n_docs: Column) -> DataFrame:
     """(doc_id, term, tf_idf) for every posting.
 
-    Both sides are large and a common term has a row per document.  The few hot terms are
-    told by a list of proven length, and only their rows are salted.
+    Both sides are large, and a common term has a row per document.
     """
-    total = dictionary.agg(F.sum("df")).scalar()
-    flagged = dictionary.select(
-        "term", idf(n_docs, F.col("df")).alias("idf"),
-        (F.col("df") * HOT_TERMS >= total).alias("hot"),
-    )
-    hot_terms = flagged.where("hot").select("term", F.lit(True).alias("hot"))
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0)
-    salted = postings.join(F.broadcast(hot_terms), "term", "left").select(
-        "doc_id", "term", "tf", salt.cast("int").alias("_salt")
-    )
-    copies = F.when(F.col("hot"), F.lit(SALTS - 1)).otherwise(0)
-    repeated = flagged.select("term", "idf", F.explode(F.sequence(F.lit(0), copies)).alias("_salt"))
-    return salted.join(repeated, ["term", "_salt"]).select(
+    weighted = dictionary.select("term", idf(n_docs, F.col("df")).alias("idf"))
+    counts = dictionary.select("term", F.col("df").alias("n"))
+    rows = postings.select("doc_id", "term", "tf")
+    return hot_join(rows, weighted, "term", "doc_id", counts).select(
         "doc_id", "term", (F.col("tf") * F.col("idf")).alias("tf_idf")
     )
 

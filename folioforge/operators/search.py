@@ -17,7 +17,7 @@ from ..functions.terms import TERM, field_terms, term_runs
 from ..functions.text import words
 from ..session import materialize
 from .index import Index, idf, term_bucket
-from .skew import number_rows, salted_join, top_per_group
+from .skew import hot_join, number_rows, salted_join, top_per_group
 from .stage import compute_once
 
 MAX_HITS = 10_000
@@ -164,9 +164,10 @@ def rank_ascending(hits: DataFrame) -> DataFrame:
 def fetch_documents(hits: DataFrame, docs: DataFrame) -> DataFrame:
     """Hits with the stored columns of their documents; ids are unique in ``docs``.
 
-    A document hit by a large share of the queries is spread over several tasks.
+    A document that a large share of the queries hits is spread over several tasks.
     """
-    return salted_join(hits, docs, ["doc_id"], "query_id")
+    counts = hits.groupBy("doc_id").agg(F.count("*").alias("n"))
+    return hot_join(hits, docs, "doc_id", "query_id", counts)
 
 
 def hit_counts(queries: DataFrame, hits: DataFrame) -> DataFrame:

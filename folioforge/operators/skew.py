@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 SALTS = 16
+HOT_KEYS = 1000
 
 
 def salted_join(
@@ -35,6 +36,26 @@ def salted_join(
     return left.join(right, equal, how)
 
 
+def hot_join(
+    rows: DataFrame, lookup: DataFrame, key: str, spread_by: str, counts: DataFrame
+) -> DataFrame:
+    """Inner join of two large sides, of which ``rows`` may have hot keys.
+
+    ``counts`` holds the number ``n`` of rows per key.  A key is hot if it owns one in
+    ``HOT_KEYS`` rows, so the broadcast list of hot keys is no longer than that.  Only hot
+    keys are salted; the lookup side is repeated for them alone.
+    """
+    total = counts.agg(F.sum("n")).scalar()
+    hot = F.broadcast(
+        counts.where(F.col("n") * HOT_KEYS >= total).select(key, F.lit(True).alias("_hot"))
+    )
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(0)
+    salts = F.sequence(F.lit(0), F.when(F.col("_hot"), SALTS - 1).otherwise(0))
+    salted = rows.join(hot, key, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
+    repeated = lookup.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return salted.join(repeated, [key, "_salt"]).drop("_salt")
+
+
 def top_per_group(
     df: DataFrame, group: str, order: list[Column], limit: int, spread_by: str, salts: int = SALTS
 ) -> DataFrame:

@@ -16,17 +16,31 @@ PAGE_SCHEMA = T.StructType([
 ])
 
 
-def read_page_dump(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page; elements outside the schema are skipped, text is kept verbatim."""
-    return (
-        spark.read.format("xml")
-        .option("rowTag", ROW_TAG)
-        .option("ignoreSurroundingSpaces", "false")
-        .schema(PAGE_SCHEMA)
-        .load(path)
+PAGE_START = f"<{ROW_TAG}>"
+PAGE_END = f"</{ROW_TAG}>"
+
+
+def parse_pages(records: DataFrame) -> DataFrame:
+    """Pages of text records that each end where a page ends."""
+    start = F.locate(PAGE_START, F.col("value"))
+    element = F.concat(F.col("value").substr(start, F.length("value")), F.lit(PAGE_END))
+    page = F.from_xml(
+        element, PAGE_SCHEMA.simpleString(), {"ignoreSurroundingSpaces": "false"}
+    )
+    return records.where(F.contains("value", F.lit(PAGE_START))).select(
+        F.inline(F.array(page))
     )
 
 
+def read_page_dump(spark: SparkSession, path: str) -> DataFrame:
+    """One row per page; elements outside the schema are skipped, text is kept verbatim.
+
+    A dump is one huge file, and the XML reader does not split files.  The text reader
+    does, at the ends of pages, which cannot occur inside a page: there ``<`` is escaped.
+    """
+    return parse_pages(spark.read.option("lineSep", PAGE_END).text(path))
+
+
 def write_page_dump(pages: DataFrame, path: str) -> None:
     """Write (id, title, text) as a page dump; a null text leaves out the revision."""
     body = F.when(F.col("text").isNotNull(), F.struct("text"))

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.pages import extract_pages
 from ..sources.csv import LAYOUT
-from ..sources.xml import PAGE_SCHEMA, ROW_TAG, page_text
+from ..sources.xml import PAGE_END, page_text, parse_pages
 
 
 def stream_extracts(
@@ -21,16 +21,13 @@ def stream_extracts(
 
     ``progress`` is a folder on shared storage and belongs to one ``target``.
     """
-    pages = (
-        spark.readStream.format("xml")
-        .option("rowTag", ROW_TAG)
-        .option("ignoreSurroundingSpaces", "false")
+    records = (
+        spark.readStream.option("lineSep", PAGE_END)
         .option("maxFilesPerTrigger", files_per_batch)
-        .schema(PAGE_SCHEMA)
-        .load(dumps)
+        .text(dumps)
     )
     return (
-        extract_pages(page_text(pages))
+        extract_pages(page_text(parse_pages(records)))
         .writeStream.format("csv")
         .options(**LAYOUT)
         .option("path", target)

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.operators import index
+from folioforge.operators import index, skew
 from folioforge.plans import etl
 
 
@@ -43,7 +43,7 @@ def test_postings_and_frequencies(spark, corpus):
 
 @pytest.mark.parametrize("hot_terms", [1, 10, 1000])
 def test_weights_with_few_many_and_no_hot_terms(spark, corpus, monkeypatch, hot_terms):
-    monkeypatch.setattr(index, "HOT_TERMS", hot_terms)
+    monkeypatch.setattr(skew, "HOT_KEYS", hot_terms)
     docs = spark.createDataFrame(corpus, "doc_id bigint, text string")
     postings = index.index_postings(docs)
     weights = index.tfidf_weights(

@@ -32,6 +32,21 @@ def test_salted_join_equals_the_plain_join(spark, table, how, broadcast):
     assert sorted(map(str, salted)) == sorted(map(str, plain))
 
 
+@pytest.mark.parametrize("hot_keys", [1, 2, 100, 100_000])
+def test_hot_join_equals_the_plain_join(spark, table, monkeypatch, hot_keys):
+    monkeypatch.setattr(skew, "HOT_KEYS", hot_keys)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lookup = table.select("k").distinct().where("k != 'k3'").withColumn("w", F.length("k"))
+        counts = table.groupBy("k").agg(F.count("*").alias("n"))
+        joined = skew.hot_join(table, lookup, "k", "i", counts)
+        got = joined.select("k", "i", "v", "w").collect()
+        plain = table.join(lookup, "k").select("k", "i", "v", "w").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(tuple, got)) == sorted(map(tuple, plain))
+
+
 @pytest.mark.parametrize("limit", [1, 7, 5000])
 def test_top_per_group(rows, table, limit):
     got = skew.top_per_group(table, "k", [F.col("v").desc(), F.col("i")], limit, "i").collect()

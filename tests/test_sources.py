@@ -36,6 +36,22 @@ def test_page_dump(spark, fresh):
     assert xml.title_and_text(dump).columns == ["title", "text"]
 
 
+def test_one_dump_file_is_read_by_many_tasks(spark, fresh):
+    body = "".join(
+        f"<page><title>t{i}</title><id>{i}</id><revision><text>{'x ' * 500}{i}</text></revision></page>\n"
+        for i in range(2000)
+    )
+    write_dump(fresh, text=f"<mediawiki>\n{body}</mediawiki>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        pages_read = xml.page_text(xml.read_page_dump(spark, fresh))
+        assert pages_read.rdd.getNumPartitions() > 5
+        got = {r.id: r.text for r in pages_read.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {str(i): "x " * 500 + str(i) for i in range(2000)}
+
+
 def test_dump_to_documents(spark, fresh):
     write_dump(fresh + "/in")
     etl.dump_to_extract(spark, fresh + "/in", fresh + "/out", parts=2)
