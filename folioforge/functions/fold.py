@@ -106,8 +106,9 @@ def _plan() -> tuple[str, str, list[tuple[str, str]]]:
 @lru_cache(maxsize=1)
 def _suspects() -> str:
     """Pattern for characters that may need a longer spelling; beyond Latin-1, any may."""
-    latin1 = "".join(c for c, _ in _plan()[2] if ord(c) < 0x100)
-    return f"[{latin1}\\x{{100}}-\\x{{10FFFF}}]"
+    longer = {char for char, _ in _plan()[2]}
+    settled = (cp for cp in range(0x100) if chr(cp) not in longer)
+    return "[^" + "".join(f"\\x{cp:02x}" for cp in settled) + "]"
 
 
 def ascii_fold(col: Column) -> Column:

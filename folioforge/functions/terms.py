@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .fold import ascii_fold
-from .text import let, words
+from .text import LETTERS_AND_DIGITS, let, words
 
 # Words left out of the positional index, matched exactly after lower-casing.
 STOP_WORDS = [
@@ -18,7 +18,7 @@ STOP_WORDS = [
     "hlist", "autocollapse", "imagesize", "caption", "|hlist", "hlist|", "listclass|",
 ]
 # Fixed value: what the positional index accepts as a term.
-TERM = r"^[a-z0-9]+$"
+TERM = f"^[{LETTERS_AND_DIGITS}]+$"
 # Word characters of the fielded index: letters and digits of any script.
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from .fold import ascii_fold
 
+# Character classes that run over whole texts are spelled out, letter by letter: Java keeps
+# those in one bit set, while ranges become a chain of tests that slows down several times
+# over when many threads run it.
+LETTERS_AND_DIGITS = "abcdefghijklmnopqrstuvwxyz0123456789"
+
 # The alphabet of extracted text, the marker word that is deleted, and the
 # white space and line ends of the text model.
-# The alphabet is a-z 0-9 | ( ) * = and its complement is written as ranges only: Java runs
-# a class that mixes ranges and single characters several times slower.
-OUTSIDE_ALPHABET = r"[\x00-\x27\x2B-\x2F\x3A-\x3C\x3E-\x60\x7B\x7D-\x{10FFFF}]+"
+OUTSIDE_ALPHABET = f"[^{LETTERS_AND_DIGITS}|()*=]+"
 MARKER_WORD = "noinclude"
-LINE_END = r"\r\n|[\n-\r\x1c-\x1e\x85-\x85\x{2028}-\x{2029}]"
+LINE_END = r"\r\n|[\n\x0B\f\r\x1c\x1d\x1e\x85\x{2028}-\x{2029}]"
 WHITE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
-WHITE_RUN = r"[\t-\r\x1c-\x20]+"
+WHITE_RUN = r"[ \t\n\x0B\f\r\x1c\x1d\x1e\x1f]+"
 TEMPLATE_OPENING = r"\{[^}]*(?=\})"
 REFERENCES = r"(?isu)< *ref.*< */ *ref"
 

@@ -17,8 +17,8 @@ UNNAMED = "none"
 
 def document_type(text: Column) -> Column:
     """First word of the text, where ``|`` and ``=`` are words of their own."""
-    first = F.regexp_extract(text, r"[^\t-\r\x1c-\x20]", 0)
-    word = F.regexp_extract(text, r"[^\t-\r\x1c-\x20|=]+", 0)
+    first = F.regexp_extract(text, r"[^ \t\n\x0B\f\r\x1c\x1d\x1e\x1f]", 0)
+    word = F.regexp_extract(text, r"[^ \t\n\x0B\f\r\x1c\x1d\x1e\x1f|=]+", 0)
     return F.when(first.isin("|", "="), first).when(first != "", word)
 
 
