@@ -113,13 +113,13 @@ def _within(radius: int):
         for batch in batches:
             u, v = [], []
             for bucket in batch.column(0).to_pylist():
-                bits = np.sort(np.array(bucket, np.int64))
+                bits = np.sort(np.array(bucket, np.int64).view(np.uint64))
                 for i in range(len(bits) - 1):
                     near = np.bitwise_count(bits[i + 1 :] ^ bits[i]) <= radius
                     if near.any():
                         other = bits[i + 1 :][near]
-                        u.append(np.full(len(other), bits[i]))
-                        v.append(other)
+                        u.append(np.full(len(other), bits[i]).view(np.int64))
+                        v.append(other.view(np.int64))
             u, v = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (u, v))
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
