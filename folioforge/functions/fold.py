@@ -8,6 +8,7 @@ are listed.  Characters outside the covered blocks are left as they are.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -25,7 +26,7 @@ SIGNS = {
     "¡": "!", "¢": "C/", "£": "PS", "¥": "Y=", "¦": "|", "§": "SS", "¨": '"',
     "©": "(c)", "«": "<<", "¬": "!", "\u00ad": "", "®": "(r)", "¯": "-", "°": "deg",
     "±": "+-", "´": "'", "¶": "P", "·": "*", "¸": ",", "»": ">>", "¿": "?", "×": "x",
-    "÷": "/", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "--", "―": "--",
+    "÷": "/", "¤": "$?", "µ": "u", "ª": "a", "º": "o", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "--", "―": "--",
     "‘": "'", "’": "'", "‚": ",", "‛": "'", "“": '"', "”": '"', "„": ",,", "•": "*",
     "…": "...", "′": "'", "″": '"', "‹": "<", "›": ">", "€": "EUR", "™": "(tm)",
     "\u200b": "", "\u200c": "", "\u200d": "", "\u200e": "", "\u200f": "",
@@ -58,6 +59,8 @@ RULE_BLOCKS = [
 ]
 ACCENTED_BLOCKS = [(0x0386, 0x03CE), (0x1F00, 0x1FFF), (0x0400, 0x045F)]
 COMBINING = (0x0300, 0x036F)
+# Letters with a stroke, hook or the like do not decompose, but are named after their letter.
+LETTER_NAME = re.compile(r"LATIN (?P<case>CAPITAL|SMALL) LETTER (?P<letter>[A-Z]{1,2})(?: WITH .*)?")
 
 
 def _base(text: str, form: str) -> str:
@@ -81,6 +84,9 @@ def fold_table() -> dict[str, str]:
             base = _base(char, "NFKD")
             if base != char and base.isascii():
                 table[char] = base
+            elif named := LETTER_NAME.fullmatch(unicodedata.name(char, "")):
+                letter = named["letter"]
+                table[char] = letter if named["case"] == "CAPITAL" else letter.lower()
     alphabets = {**_with_capitals(GREEK), **_with_capitals(CYRILLIC)}
     for first, last in ACCENTED_BLOCKS:
         for char in map(chr, range(first, last + 1)):

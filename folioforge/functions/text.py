@@ -32,7 +32,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def normalize_text(col: Column, drop_noinclude: bool = True) -> Column:
     """Fold to lower-case ASCII and squeeze everything outside the alphabet to one space."""
-    text = F.lower(ascii_fold(col))
+    return squeezed(folded(col), drop_noinclude)
+
+
+def folded(col: Column) -> Column:
+    return F.lower(ascii_fold(col))
+
+
+def squeezed(text: Column, drop_noinclude: bool = True) -> Column:
     if drop_noinclude:
         text = F.replace(text, F.lit(MARKER_WORD), F.lit(""))
     return F.regexp_replace(text, OUTSIDE_ALPHABET, " ")

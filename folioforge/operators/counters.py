@@ -7,16 +7,27 @@ from pyspark.sql import functions as F
 
 from ..functions import markup
 from .documents import document_type
-
-
-def count_pages(pages: DataFrame) -> DataFrame:
-    """One row: pages read, pages with all columns, pages that have a class."""
-    text = F.col("text")
-    complete = F.col("id").isNotNull() & F.col("title").isNotNull() & text.isNotNull()
-    return pages.agg(
-        F.count("*").alias("pages_read"),
-        F.count_if(complete).alias("pages_complete"),
-        F.count_if(complete & markup.is_relevant(text)).alias("pages_kept"),
+from .pages import extract_pages
+
+
+def count_run(pages: DataFrame) -> DataFrame:
+    """One row of all counters of (id, title, text, reject) pages, in one pass.
+
+    Pages are counted while the documents made of them are; kept, irrelevant and rejected
+    pages add up to those read.
+    """
+    text, rejected = F.col("text"), F.col("reject").isNotNull()
+    complete = ~rejected & F.col("id").isNotNull() & F.col("title").isNotNull() & text.isNotNull()
+    kept = ~rejected & F.col("id").isNotNull() & F.col("title").isNotNull() & markup.is_relevant(text)
+    seen = Observation()
+    observed = pages.observe(
+        seen, F.count(F.lit(1)).alias("pages_read"), F.count_if(complete).alias("pages_complete"),
+        F.count_if(kept).alias("pages_kept"), F.count_if(rejected).alias("pages_rejected"),
+    )
+    docs = count_documents(extract_pages(observed.where("reject is null"))).first()
+    return pages.sparkSession.createDataFrame(
+        [tuple(int(v) for v in (*seen.get.values(), *docs))],
+        ", ".join(f"{name} long" for name in (*seen.get, *docs.asDict())),
     )
 
 

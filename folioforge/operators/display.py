@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITE, let
-from ..sources.documents_json import KEY_FIELDS
+from ..sources.documents_json import KEY_FIELDS, flat_names
 
 TYPE_PREFIX = r"^[^|]+\|"
 
@@ -49,6 +49,6 @@ def hit_display(extracts: DataFrame) -> DataFrame:
 
 def hit_fields(docs: DataFrame) -> DataFrame:
     """Every key and value of a document, key columns included, one row each."""
-    own = F.map_filter("fields", lambda name, _: ~name.isin(*KEY_FIELDS))
+    own = flat_names(F.col("fields"))
     keys = F.create_map(*(part for k in KEY_FIELDS for part in (F.lit(k), F.col(k))))
     return docs.select("id", F.explode(F.map_concat(keys, own)).alias("key", "value"))

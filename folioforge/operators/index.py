@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.terms import field_terms, positioned_terms, term_runs
-from ..sources.documents_json import KEY_FIELDS
+from ..sources.documents_json import KEY_FIELDS, flat_names
 from ..sources.store import path_exists
 from .skew import hot_join
 
-BUCKETS = 16
+BUCKETS, MAX_BUCKETS = 16, 4096
+BUCKET_BYTES = 1 << 30
+TASK_BYTES = 256 << 20
 LOG_BASE = 10.0
 
 
@@ -63,9 +65,12 @@ def tfidf_weights(postings: DataFrame, dictionary: DataFrame, n_docs: Column) ->
 
 
 def field_values(docs: DataFrame) -> DataFrame:
-    """(doc_id, field, value) of documents, key columns included."""
+    """(doc_id, field, value) of documents, key columns included.
+
+    A field named like a key column is found as ``=title`` and by searches of all fields.
+    """
     keys = F.create_map(*(part for k in KEY_FIELDS for part in (F.lit(k), F.col(k))))
-    own = F.map_filter("fields", lambda name, _: ~name.isin(*KEY_FIELDS))
+    own = flat_names(F.col("fields"))
     return docs.select(
         F.col("id").alias("doc_id"), F.explode(F.map_concat(keys, own)).alias("field", "value")
     )
@@ -108,20 +113,28 @@ def term_bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Spark's estimate of the size of ``df``, from the files it reads."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def bucket_count(df: DataFrame) -> int:
+    """Term buckets for an index of ``df``: one per ``BUCKET_BYTES`` of input, within bounds."""
+    return min(MAX_BUCKETS, max(BUCKETS, input_bytes(df) // BUCKET_BYTES))
+
+
 def _write_postings(postings: DataFrame, path: str, buckets: int) -> None:
     """Postings in folders by term bucket, sorted by term inside each file.
 
-    The writing tasks follow from (bucket, document slice), so a term that owns a third of
-    the postings is written by as many tasks as there are slices.
+    Every (bucket, document slice) is one writing task, and the number of slices follows from
+    the size of the input, so a term that owns a third of the postings is written by as many
+    tasks as there are slices.
     """
-    spark = postings.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(1, -(-tasks // buckets))
+    slices = max(1, -(-input_bytes(postings) // (buckets * TASK_BYTES)))
     out = postings.withColumn("bucket", term_bucket(buckets))
+    place = F.col("bucket") * slices + F.pmod(F.xxhash64("doc_id"), F.lit(slices)).cast("int")
     (
-        out.repartition(
-            max(tasks, buckets), "bucket", F.pmod(F.xxhash64("doc_id"), F.lit(slices))
-        )
+        out.repartitionById(buckets * slices, place)
         .sortWithinPartitions("bucket", "term", "doc_id")
         .write.partitionBy("bucket")
         .option("compression", "zstd")
@@ -130,9 +143,16 @@ def _write_postings(postings: DataFrame, path: str, buckets: int) -> None:
     )
 
 
-def build_index(docs: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+def _write_layout(spark: SparkSession, path: str, buckets: int) -> None:
+    layout = spark.createDataFrame([(buckets,)], LAYOUT)
+    layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
+
+
+def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
     """Write the positional index of (doc_id, text) documents."""
     spark = docs.sparkSession
+    buckets = buckets or bucket_count(docs)
+    _write_layout(spark, path, buckets)
     _write_postings(index_postings(docs), f"{path}/postings", buckets)
     written = spark.read.parquet(f"{path}/postings")
     document_frequencies(written).write.mode("overwrite").parquet(f"{path}/dictionary")
@@ -140,9 +160,11 @@ def build_index(docs: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     docs.agg(F.count("*").alias("n_docs")).write.mode("overwrite").parquet(f"{path}/stats")
 
 
-def build_field_index(docs: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+def build_field_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
     """Write the fielded index of (id, title, type, fields) documents."""
     spark = docs.sparkSession
+    buckets = buckets or bucket_count(docs)
+    _write_layout(spark, path, buckets)
     _write_postings(field_postings(docs), f"{path}/postings", buckets)
     written = spark.read.parquet(f"{path}/postings")
     written.groupBy("field", "term").agg(F.count("*").alias("df")).write.mode(
@@ -151,6 +173,8 @@ def build_field_index(docs: DataFrame, path: str, buckets: int = BUCKETS) -> Non
     field_statistics(written).write.mode("overwrite").parquet(f"{path}/stats")
 
 
+LAYOUT = "buckets int"
+
 # Schemas of the tables of an index; stating them saves a look into the files.
 POSITIONAL = {
     "postings": "doc_id bigint, term string, tf bigint, pos_list array<int>, bucket int",
@@ -171,10 +195,14 @@ def index_exists(spark: SparkSession, path: str) -> bool:
 
 
 def open_index(
-    spark: SparkSession, path: str, schemas: dict[str, str], buckets: int = BUCKETS
+    spark: SparkSession, path: str, schemas: dict[str, str], buckets: int | None = None
 ) -> Index:
+    """The index at ``path``, which knows its own bucket count; another one is an error."""
+    stored = spark.read.schema(LAYOUT).parquet(f"{path}/layout").first()["buckets"]
+    if buckets not in (None, stored):
+        raise ValueError(f"the index at {path} has {stored} buckets, not {buckets}")
     tables = (
         spark.read.schema(schemas[name]).parquet(f"{path}/{name}")
         for name in ("postings", "dictionary", "stats")
     )
-    return Index(*tables, buckets=buckets)
+    return Index(*tables, buckets=stored)

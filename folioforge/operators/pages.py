@@ -101,5 +101,6 @@ def extract_or_keep(bodies: DataFrame) -> DataFrame:
 
 
 def number_pages(pages: DataFrame) -> DataFrame:
-    """Add dense ``page_no`` 0..n-1 in the order of the numeric page id."""
-    return number_rows(pages, [F.col("id").cast("bigint"), F.col("id")], "page_no")
+    """Add dense ``page_no`` 0..n-1 in the order of the numeric page id; other ids come last."""
+    number = F.col("id").try_cast("bigint").asc_nulls_last()
+    return number_rows(pages, [number, F.col("id").asc_nulls_last()], "page_no")

@@ -22,6 +22,9 @@ from .stage import compute_once
 
 MAX_HITS = 10_000
 
+# Ids of hits that may be broadcast to the stored documents, 8 to 16 bytes each.
+BROADCAST_IDS = 1_000_000
+
 # Scores equal to this many digits are ties, ordered by document.  A sum of doubles depends
 # on the order of its terms in the last digits, so a finer ranking would not be repeatable.
 TIE_DIGITS = 9
@@ -161,13 +164,22 @@ def rank_ascending(hits: DataFrame) -> DataFrame:
     )
 
 
+def matching_documents(hits: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents that are hit, found where they are stored while their ids are few."""
+    ids = materialize(hits.select("doc_id").distinct(), "hit-ids")
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
 def fetch_documents(hits: DataFrame, docs: DataFrame) -> DataFrame:
     """Hits with the stored columns of their documents; ids are unique in ``docs``.
 
-    A document that a large share of the queries hits is spread over several tasks.
+    The corpus is cut down to the documents hit before anything is moved.  A document that a
+    large share of the queries hits is spread over several tasks.
     """
+    hits = materialize(hits, "hits")
     counts = hits.groupBy("doc_id").agg(F.count("*").alias("n"))
-    return hot_join(hits, docs, "doc_id", "query_id", counts)
+    return hot_join(hits, matching_documents(hits, docs), "doc_id", "query_id", counts)
 
 
 def hit_counts(queries: DataFrame, hits: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from ..session import materialize
 
 SALTS = 16
 HOT_KEYS = 1000
+SALT_ROWS = 1_000_000
 
 
 def salted_join(
@@ -43,16 +44,18 @@ def hot_join(
 
     ``counts`` holds the number ``n`` of rows per key.  A key is hot if it owns one in
     ``HOT_KEYS`` rows, so the broadcast list of hot keys is no longer than that.  Only hot
-    keys are salted; the lookup side is repeated for them alone.
+    keys are salted, into one part per ``SALT_ROWS`` rows; the lookup side is repeated for
+    them alone.
     """
     total = counts.agg(F.sum("n")).scalar()
+    salts = F.greatest(F.lit(SALTS), F.ceil(F.col("n") / SALT_ROWS)).cast("int")
     hot = F.broadcast(
-        counts.where(F.col("n") * HOT_KEYS >= total).select(key, F.lit(True).alias("_hot"))
+        counts.where(F.col("n") * HOT_KEYS >= total).select(key, salts.alias("_salts"))
     )
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(0)
-    salts = F.sequence(F.lit(0), F.when(F.col("_hot"), SALTS - 1).otherwise(0))
-    salted = rows.join(hot, key, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
-    repeated = lookup.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    salt = F.pmod(F.xxhash64(spread_by), F.coalesce("_salts", F.lit(1))).cast("int")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    salted = rows.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
+    repeated = lookup.join(hot, key, "left").withColumn("_salt", F.explode(every)).drop("_salts")
     return salted.join(repeated, [key, "_salt"]).drop("_salt")
 
 
@@ -82,12 +85,14 @@ def number_rows(
 ) -> DataFrame:
     """Add consecutive numbers in the given order, per ``group`` or over the whole table.
 
+    ``df`` is written once first, as range partitioning reads its input twice to sample it.
     The rows are range-partitioned and sorted, each takes its place within its partition,
     and the partitions are shifted by the number of rows before them.  No task sees more
     than its own range, even if one group holds most of the rows.  ``order`` must be total
     within the group.
     """
     keys = [F.col(group)] if group else []
+    df = materialize(df, "unnumbered")
     ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     # The generated id is (partition << 33) + place in the partition.
     placed = materialize(ranged.withColumn("_place", F.monotonically_increasing_id()), "numbered")

@@ -21,7 +21,7 @@ def extract_to_documents(spark: SparkSession, source: str) -> DataFrame:
 
 
 def positional_index(
-    spark: SparkSession, path: str, docs: Callable[[], DataFrame], buckets: int = index.BUCKETS
+    spark: SparkSession, path: str, docs: Callable[[], DataFrame], buckets: int | None = None
 ) -> index.Index:
     """The positional index of (doc_id, text) at ``path``, built only if it is not there."""
     if not index.index_exists(spark, path):
@@ -30,7 +30,7 @@ def positional_index(
 
 
 def field_index(
-    spark: SparkSession, path: str, docs: Callable[[], DataFrame], buckets: int = index.BUCKETS
+    spark: SparkSession, path: str, docs: Callable[[], DataFrame], buckets: int | None = None
 ) -> index.Index:
     """The fielded index of documents at ``path``, built only if it is not there."""
     if not index.index_exists(spark, path):

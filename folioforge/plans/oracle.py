@@ -9,6 +9,7 @@ from __future__ import annotations
 from .fixture import WIKI_SQL
 from .queries import FIXED_QUERIES, TOP_K
 
+# Box starts, section headings and the words that are not indexed.
 BOX_START = r"(?i)\{\{(?:Infobox *(?:book|short story|film)|Navbox)"
 HEADING = r"(?i)== *(works|bibliography) *=="
 STOP = (
@@ -177,7 +178,13 @@ CTES: dict[str, str] = {
           string_agg(key || '=' || value, ';' ORDER BY key), '') AS fields
         FROM typed t LEFT JOIN last_fields f ON t.id = f.id
         WHERE type <> '' GROUP BY t.id, title, type""",
-    "own_fields": "SELECT * FROM last_fields WHERE key NOT IN ('id', 'title', 'type')",
+    "odd_pages": """SELECT CASE WHEN p_partkey % 3 <> 1 THEN 'p' || p_partkey END AS id,
+        CASE WHEN p_partkey % 3 <> 1 THEN p_name END AS title,
+        CASE WHEN p_partkey % 3 <> 1 THEN p_type END AS text,
+        CASE WHEN p_partkey % 3 = 1 THEN '<page><id>p' || p_partkey || '</id><title>' || p_name
+          || '</title<revision><text>' || p_type || '</text></revision>' END AS reject FROM part""",
+    "own_fields": """SELECT id, CASE WHEN key IN ('id', 'title', 'type') THEN '=' || key ELSE key
+        END AS key, value FROM last_fields""",
     "entries": """SELECT id, key, value FROM own_fields WHERE id IN (SELECT id FROM docs)
         UNION ALL SELECT id, 'id', id FROM docs UNION ALL SELECT id, 'title', title FROM docs
         UNION ALL SELECT id, 'type', type FROM docs""",
@@ -319,6 +326,10 @@ def oracle_sql() -> dict[str, str]:
     seconds = "value * 97"
     return {
         "xml_pages": _with("SELECT id, title, text FROM wiki"),
+        "xml_rejects": _with(
+            """SELECT id, title, text, NULL AS reject FROM wiki
+            UNION ALL SELECT id, title, text, reject FROM odd_pages"""
+        ),
         "xml_title_text": _with("SELECT title, text FROM wiki"),
         "page_text_project": _with(
             "SELECT id, title, text, '{' || text || '}' AS wrapped FROM wiki"
@@ -334,7 +345,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "json_docs_read": _with(
             r"""SELECT d.id, title, type, coalesce(string_agg(key || '=' || value, ';' ORDER BY key),
-              '') AS fields, NULL AS reject FROM docs d LEFT JOIN own_fields f ON d.id = f.id
+              '') AS fields, NULL AS reject FROM docs d LEFT JOIN last_fields f ON d.id = f.id
             GROUP BY d.id, title, type
             UNION ALL SELECT NULL, NULL, NULL, NULL, reject FROM (
               SELECT regexp_replace(translate(line, '[]', ''), ',\s*$', '') AS reject FROM (
@@ -365,8 +376,10 @@ def oracle_sql() -> dict[str, str]:
             "FROM kept"
         ),
         "run_counters": _with(
-            """SELECT (SELECT count(*) FROM wiki) AS pages_read,
-              (SELECT count(*) FROM wiki WHERE text IS NOT NULL) AS pages_complete,
+            """SELECT (SELECT count(*) FROM wiki) + (SELECT count(*) FROM part) AS pages_read,
+              (SELECT count(*) FROM wiki WHERE text IS NOT NULL)
+                + (SELECT count(text) FROM odd_pages) AS pages_complete,
+              (SELECT count(reject) FROM odd_pages) AS pages_rejected,
               (SELECT count(*) FROM kept) AS pages_kept,
               (SELECT count(*) FROM typed WHERE type <> '') AS docs_indexed,
               (SELECT count(*) FROM typed WHERE type = '') AS docs_failed"""

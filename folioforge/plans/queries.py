@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import boxes, fold, markup, text
+from ..operators.stage import compute_once
 from ..operators import counters, display, documents, index, pages, search
 from ..session import materialize, scratch_path, scratch_root
 from ..sources import csv, documents_json, store, xml
@@ -20,7 +21,7 @@ from ..sources.tables import read_table, spread
 from . import etl
 from .fixture import wiki_pages
 
-TOP_K = 25
+TOP_K = search.MAX_HITS
 
 # Search strings tried besides those taken from the tables.
 FIXED_QUERIES = [
@@ -122,6 +123,27 @@ def xml_pages(spark: SparkSession, folder: str) -> DataFrame:
     return xml.page_text(_dump(spark, folder))
 
 
+def _odd_dump(spark: SparkSession, folder: str) -> str:
+    """The wiki pages, and a page of every part, in three spellings of which one is broken."""
+    path = scratch_path(spark, "dump")
+    xml.write_page_dump(wiki_pages(spark, folder), path)
+    part = read_table(spark, folder, "part")
+    kind = F.col("p_partkey") % 3
+    head = F.when(kind == 0, '<page xml:lang="en" note=\'a > b\'>').otherwise("<page>")
+    close = F.when(kind == 1, "</title").otherwise("</title>")
+    page = F.concat(
+        head, F.lit("<id>p"), F.col("p_partkey").cast("string"), F.lit("</id><title>"), "p_name",
+        close, F.lit("<revision><text>"), "p_type", F.lit("</text></revision></page>"))
+    part.select(page.alias("value")).write.mode("append").text(path)
+    return path
+
+
+@register
+def xml_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    dump = xml.read_pages_and_rejects(spark, _odd_dump(spark, folder))
+    return xml.page_text(dump, "reject")
+
+
 @register
 def xml_title_text(spark: SparkSession, folder: str) -> DataFrame:
     return xml.title_and_text(_dump(spark, folder))
@@ -131,9 +153,10 @@ def xml_title_text(spark: SparkSession, folder: str) -> DataFrame:
 def page_text_project(spark: SparkSession, folder: str) -> DataFrame:
     revision = F.when(F.col("text").isNotNull(), F.struct("text")).alias("revision")
     dump = wiki_pages(spark, folder).select("id", "title", revision)
-    plain = xml.page_text(dump)
-    wrapped = xml.page_text(dump, wrapped=True).select("id", F.col("text").alias("wrapped"))
-    return plain.join(wrapped, "id")
+    return dump.select(
+        "id", "title", F.col("revision.text").alias("text"),
+        F.col("revision").cast("string").alias("wrapped"),
+    )
 
 
 @register
@@ -182,11 +205,12 @@ def docs_with_sentinel(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def docs_upsert_by_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = materialize(wiki_documents(spark, folder), "documents")
-    first = flat_docs(docs).withColumn("seq", F.lit(0))
-    revised = first.where(F.col("type") != "book").select(
-        "id", F.upper("title").alias("title"), "type", "fields", F.lit(1).alias("seq")
-    )
-    return store.latest_by_id(first.unionByName(revised))
+    first = flat_docs(docs)
+    revised = first.where(F.col("type") != "book").withColumn("title", F.upper("title"))
+    path = scratch_path(spark, "store")
+    store.upsert(first, path)
+    store.upsert(revised, path)
+    return store.read_store(spark, path).select(first.columns)
 
 
 @register
@@ -248,11 +272,8 @@ def dense_page_id(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def run_counters(spark: SparkSession, folder: str) -> DataFrame:
-    wiki = wiki_pages(spark, folder)
-    docs = counters.count_documents(pages.extract_pages(wiki))
-    both = docs.select(F.struct("docs_indexed", "docs_failed").alias("docs")).scalar()
-    return counters.count_pages(wiki).withColumn("docs", both).select(
-        "pages_read", "pages_complete", "pages_kept", "docs.*")
+    dump = xml.read_pages_and_rejects(spark, _odd_dump(spark, folder))
+    return counters.count_run(xml.page_text(dump, "reject"))
 
 
 # --- strings ---------------------------------------------------------------------------
@@ -276,10 +297,11 @@ def ascii_fold(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def text_normalize(spark: SparkSession, folder: str) -> DataFrame:
-    return _markup_texts(spark, folder).select(
-        "kind", "id",
-        text.normalize_text(F.col("text")).alias("dropped"),
-        text.normalize_text(F.col("text"), drop_noinclude=False).alias("kept"),
+    folded = compute_once(
+        _markup_texts(spark, folder), "kind", "id", folded=text.folded(F.col("text")))
+    return folded.select(
+        "kind", "id", text.squeezed(F.col("folded")).alias("dropped"),
+        text.squeezed(F.col("folded"), drop_noinclude=False).alias("kept"),
     )
 
 
@@ -532,7 +554,8 @@ def search_tfidf_ranked(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def search_tfidf_docs(spark: SparkSession, folder: str) -> DataFrame:
-    docs = texts(spark, folder)
+    docs = read_table(spark, folder, "documents").select(
+        "doc_id", F.col("source").alias("title"), "text")
     return flat_hits(search.fetch_documents(_text_hits(spark, folder), docs), "title", "text")
 
 

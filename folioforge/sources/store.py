@@ -2,27 +2,105 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+STORE_BUCKETS = 64
+MANIFEST = "bucket int, folder string, buckets int"
+
 
 def latest_by_id(writes: DataFrame, key: str = "id", order: str = "seq") -> DataFrame:
-    """The last write of every id.
+    """The last write of every id; of equal ``order`` the row that comes last in the input.
 
-    A combining aggregate: an id written very often shrinks to one row per task before
-    anything is shuffled.
+    Only ids, orders and row numbers are aggregated, combined per task, so an id written very
+    often shrinks before anything is shuffled; the documents join the rows that are left.
     """
-    others = [c for c in writes.columns if c not in (key, order)]
-    last = F.max_by(F.struct(*others), F.col(order)).alias("doc")
-    return writes.groupBy(key).agg(last).select(key, "doc.*")
+    numbered = materialize(writes.withColumn("_row", F.monotonically_increasing_id()), "writes")
+    slim = numbered.select(key, order, "_row")
+    top = slim.groupBy(key).agg(F.max(order).alias("_top"))
+    tied = slim.join(top.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")))
+    last = tied.where(F.col(order).eqNullSafe(F.col("_top"))).groupBy("_key").agg(
+        F.max("_row").alias("_last"))
+    kept = numbered.join(last.select("_last"), F.col("_row") == F.col("_last"), "left_semi")
+    return kept.drop(order, "_row")
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on any file system the session can reach."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    where, files = _file_system(spark, path)
+    return files.exists(where)
+
+
+# --- keyed store -----------------------------------------------------------------------
+#
+# data/<write>/bucket=<n>: documents by bucket of their id.  manifest/<number>: which folder
+# holds each bucket; the highest complete manifest is the store.  A write that is interrupted
+# leaves folders that no manifest names.
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[int, dict[int, str], int | None]:
+    """Number, folder of each bucket, and bucket count of the current state."""
+    where, files = _file_system(spark, f"{path}/manifest")
+    numbers = []
+    if files.exists(where):
+        names = [int(entry.getPath().getName()) for entry in files.listStatus(where)]
+        numbers = [n for n in names if path_exists(spark, f"{path}/manifest/{n}/_SUCCESS")]
+    if not numbers:
+        return -1, {}, None
+    # One row per bucket.
+    rows = spark.read.schema(MANIFEST).parquet(f"{path}/manifest/{max(numbers)}").collect()
+    folders = {r.bucket: r.folder for r in rows if r.bucket is not None}
+    return max(numbers), folders, next((r.buckets for r in rows), None)
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """All documents of a store."""
+    _, folders, _ = _manifest(spark, path)
+    if not folders:
+        raise ValueError(f"nothing is stored at {path}")
+    return spark.read.parquet(*sorted(folders.values()))
+
+
+def upsert(
+    docs: DataFrame, path: str, key: str = "id", buckets: int = STORE_BUCKETS
+) -> None:
+    """Write documents to the store at ``path``; each replaces the one stored under its id.
+
+    Only the buckets that the new ids fall into are read and written anew.  Of several new
+    documents with one id the last in the input is stored; null ids are one id.  The bucket
+    count of an existing store is its own.
+    """
+    spark = docs.sparkSession
+    number, folders, stored = _manifest(spark, path)
+    buckets = stored or buckets
+    new = materialize(latest_by_id(docs.withColumn("_seq", F.lit(0)), key, "_seq"), "upsert")
+    touched = [r[0] for r in new.select(_bucket(key, buckets).alias("b")).distinct().collect()]
+    old = [folders[b] for b in sorted(touched) if b in folders]
+    if old:
+        ids = new.select(F.col(key).alias("_key"))
+        kept = spark.read.parquet(*old).join(ids, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+        new = new.unionByName(kept, allowMissingColumns=True)
+    data = f"{path}/data/{uuid.uuid4().hex}"
+    new.withColumn("bucket", _bucket(key, buckets)).repartition("bucket").write.partitionBy(
+        "bucket").option("compression", "zstd").parquet(data)
+    now = {**folders, **{b: f"{data}/bucket={b}" for b in touched}}
+    rows = [(b, folder, buckets) for b, folder in now.items()] or [(None, None, buckets)]
+    # Written last: the new state holds from its success marker on.
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(f"{path}/manifest/{number + 1}")
 
 
 def build_if_absent(

@@ -1,3 +1,4 @@
+import os
 import random
 
 from folioforge.operators import display, documents
@@ -75,7 +76,8 @@ def test_last_field_wins_and_unnamed_beats_none(spark):
     (override,) = documents.document_overrides(docs).collect()
     assert tuple(override) == ("1", "title", "T", "new, end")
     shown = {r.key: r.value for r in display.hit_fields(docs).collect()}
-    assert shown == {"id": "1", "title": "T", "type": "book", "a": "2", "none": "u"}
+    assert shown == {
+        "id": "1", "title": "T", "type": "book", "a": "2", "none": "u", "=title": "new, end"}
 
 
 def test_display(spark):
@@ -103,6 +105,21 @@ def test_json_lines_in_both_layouts_and_rejects(spark, fresh):
     assert [r.reject for r in rows if r.reject is not None] == ["broken {"]
 
 
+def test_upserts_rewrite_only_the_buckets_they_touch(spark, fresh):
+    rows = [(str(i), f"v{i}") for i in range(200)]
+    store.upsert(spark.createDataFrame(rows, "id string, value string"), fresh, buckets=8)
+    _, before, _ = store._manifest(spark, fresh)
+    new = [("5", "first"), ("5", "last"), ("x", "added"), (None, "no id")]
+    store.upsert(spark.createDataFrame(new, "id string, value string").coalesce(1), fresh)
+    _, after, buckets = store._manifest(spark, fresh)
+    assert buckets == 8 and 1 <= sum(before[b] != after[b] for b in after) <= 3
+    got = dict(map(tuple, store.read_store(spark, fresh).collect()))
+    assert got == {**dict(rows), "5": "last", "x": "added", None: "no id"}
+    # An interrupted write leaves a folder that no complete manifest names.
+    os.makedirs(f"{fresh}/manifest/9")
+    assert store.read_store(spark, fresh).count() == 202
+
+
 def test_latest_write_wins(spark):
     rows = [("a", i, f"v{i}") for i in range(50)] + [("b", 1, "w")]
     df = spark.createDataFrame(rows, "id string, seq int, value string").repartition(5)

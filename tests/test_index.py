@@ -85,6 +85,16 @@ def test_index_is_built_once_and_read_back(spark, corpus, fresh):
     assert wrong.count() == 0
 
 
+def test_an_index_knows_its_bucket_count(spark, corpus, fresh):
+    docs = spark.createDataFrame(corpus, "doc_id bigint, text string")
+    index.build_index(docs, fresh, buckets=64)
+    built = index.open_index(spark, fresh, index.POSITIONAL)
+    assert built.buckets == 64
+    assert built.postings.where(F.col("bucket") != index.term_bucket(built.buckets)).count() == 0
+    with pytest.raises(ValueError):
+        index.open_index(spark, fresh, index.POSITIONAL, 16)
+
+
 def test_field_postings_and_statistics(spark):
     docs = spark.createDataFrame(
         [("1", "The A", "book", {"x": "a b a", "y": "", "id": "no"}), ("2", "B", "book", {"x": "c"})],
@@ -95,4 +105,5 @@ def test_field_postings_and_statistics(spark):
     assert got[("1", "x", "a")] == (2, 3) and got[("1", "x", "b")] == (1, 3)
     assert got[("1", "id", "1")] == (1, 1) and ("1", "id", "no") not in got
     stats = {r.field: (r.n_docs, r.total_len) for r in index.field_statistics(postings).collect()}
-    assert stats == {"id": (2, 2), "title": (2, 3), "type": (2, 2), "x": (2, 4)}
+    assert got[("1", "=id", "no")] == (1, 1)
+    assert stats == {"id": (2, 2), "title": (2, 3), "type": (2, 2), "x": (2, 4), "=id": (1, 1)}

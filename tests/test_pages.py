@@ -65,6 +65,13 @@ def test_null_rows_are_dropped_and_empty_text_stays(spark):
     assert [r.id for r in pages.drop_null_pages(df).collect()] == ["1"]
 
 
+def test_ids_that_are_no_numbers_come_last(spark):
+    df = spark.createDataFrame([("b", "t"), ("10", "t"), ("9", "t"), ("a", "t"), (None, "t")],
+                               "id string, title string")
+    got = {r.id: r.page_no for r in pages.number_pages(df).collect()}
+    assert got == {"9": 0, "10": 1, "a": 2, "b": 3, None: 4}
+
+
 def test_numbers_are_dense_and_ordered(spark):
     df = spark.range(0, 5000, 7).select(
         F.col("id").cast("string").alias("id"), F.lit("t").alias("title")

@@ -6,8 +6,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from folioforge.operators import index, pages
+from folioforge.operators import index, pages, search
 from folioforge.plans import queries
 from folioforge.plans.fixture import wiki_pages
 from folioforge.sources.tables import read_table
@@ -21,9 +20,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries.REGISTRY))
 def test_no_python_no_cross_join_no_single_task(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SMALL))
+    plan = plan_of(queries.REGISTRY[name](spark, SMALL))
     for bad in ("PythonUDF", "ArrowEval", "BatchEval", "CartesianProduct", "NestedLoop"):
         assert bad not in plan
     single = re.findall(r"Exchange SinglePartition", plan)
@@ -61,6 +60,18 @@ def test_search_prunes_the_buckets_of_the_index(spark):
     assert re.search(r"PushedFilters: \[[^]]*EqualTo\(term,the\)", plan)
 
 
+def test_fetching_moves_hits_and_never_the_texts(spark):
+    """No exchange stands above the scan of all texts: ids go to the texts, not texts to ids."""
+    docs = read_table(spark, SMALL, "documents").select("doc_id", "text")
+    hits = docs.select(F.lit(1).alias("query_id"), "doc_id").where("doc_id % 7 = 0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(search.matching_documents(hits, docs))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and not re.search(r"(?<!Broadcast)Exchange (hash|Round|range)", plan)
+
+
 def test_plan_stays_small_along_the_whole_chain(spark):
     docs = queries.documents.build_documents(pages.extract_pages(wiki_pages(spark, SMALL)))
     assert len(plan_of(docs)) < 120_000

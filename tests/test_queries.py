@@ -5,8 +5,10 @@ from compare import connect, difference
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from folioforge.plans.oracle import oracle_sql
+from folioforge.plans.queries import REGISTRY
 
-SQL = entry.oracle_sql()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +17,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(REGISTRY)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, name):
-    assert difference(spark, con, SMALL, entry.queries()[name], SQL[name]) is None
+    assert difference(spark, con, SMALL, REGISTRY[name], SQL[name]) is None
 
 
 def test_entry(spark):

@@ -36,6 +36,18 @@ def test_page_dump(spark, fresh):
     assert xml.title_and_text(dump).columns == ["title", "text"]
 
 
+def test_pages_with_attributes_and_malformed_pages(spark, fresh):
+    write_dump(fresh, text="""<mediawiki><pages>no page</pages>
+        <page xml:lang="en" note='a > b'><id>1</id><title>A</title></page>
+        <page
+          x="1"><id>2</id><title>B</title><revision><text>t</text></revision></page>
+        <page><id>3</id><title>broken</page><page><id>4</id><title>D</title></page></mediawiki>""")
+    assert {r.id: r.title for r in xml.read_page_dump(spark, fresh).collect()} == {
+        "1": "A", "2": "B", "4": "D"}
+    (bad,) = xml.page_rejects(spark, fresh).collect()
+    assert bad.reject == "<page><id>3</id><title>broken"
+
+
 def test_one_dump_file_is_read_by_many_tasks(spark, fresh):
     body = "".join(
         f"<page><title>t{i}</title><id>{i}</id><revision><text>{'x ' * 500}{i}</text></revision></page>\n"
@@ -94,13 +106,13 @@ def test_appended_chunks(spark, fresh):
 
 def test_json_round_trip_and_sentinel(spark, fresh):
     docs = spark.createDataFrame(
-        [("1", "a", "book", {"x": 'q"\\u', "title": "lost"}), ("2", "b", "film", {})],
+        [("1", "a", "book", {"x": 'q"\\u', "title": "second", "=id": "y"}), ("2", "b", "film", {})],
         "id string, title string, type string, fields map<string,string>",
     )
     documents_json.write_documents(documents_json.with_sentinel(docs), fresh, trailing_comma=True)
     got = {r.id: (r.title, r.type, r.fields) for r in documents_json.read_documents(spark, fresh).collect()}
     assert got == {
-        "1": ("a", "book", {"x": 'q"\\u'}), "2": ("b", "film", {}), "0": ("test", "test", {}),
+        "1": ("a", "book", {"x": 'q"\\u', "title": "second", "=id": "y"}), "2": ("b", "film", {}), "0": ("test", "test", {}),
     }
 
 
@@ -119,9 +131,11 @@ def test_stream_appends_new_dumps_only(spark, fresh):
 
 def test_counters(spark, fresh):
     write_dump(fresh)
-    raw = xml.page_text(xml.read_page_dump(spark, fresh))
+    write_dump(fresh, "bad.xml", "<mediawiki><page><id>7</id><title>x</page></mediawiki>")
+    raw = xml.page_text(xml.read_pages_and_rejects(spark, fresh), "reject")
     seen, observation = counters.observe_rows(pages.extract_pages(raw), "extracted")
     seen.write.format("noop").mode("overwrite").save()
     assert observation.get == {"rows": 1}
-    row = counters.count_pages(raw).first()
-    assert (row.pages_read, row.pages_kept) == (4, 1)
+    row = counters.count_run(raw).first()
+    assert (row.pages_read, row.pages_kept, row.pages_rejected) == (5, 1, 1)
+    assert (row.docs_indexed, row.docs_failed) == (1, 0)
