@@ -123,7 +123,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Model:
     """Logistic loss by stochastic gradients with per-parameter rates."""
     draw = np.random.default_rng(SEED)
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         bias = {0.0: -30.0, 1.0: 30.0}.get(share, 0.0)
         return Model(bias, np.zeros(FEATURES), np.zeros((FEATURES, RANK)))
     weights, factors = np.zeros(FEATURES), draw.normal(0, 0.05, (FEATURES, RANK))
