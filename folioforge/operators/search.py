@@ -24,6 +24,8 @@ MAX_HITS = 10_000
 
 # Ids of hits that may be broadcast to the stored documents, 8 to 16 bytes each.
 BROADCAST_IDS = 1_000_000
+# Terms written into the scan itself.
+PUSHED_TERMS = 500
 
 # Scores equal to this many digits are ties, ordered by document.  A sum of doubles depends
 # on the order of its terms in the last digits, so a finer ranking would not be repeatable.
@@ -68,6 +70,23 @@ def clause_terms(clauses: DataFrame) -> DataFrame:
 # --- intersection of posting lists -----------------------------------------------------
 
 
+def asked_lists(lists: DataFrame, wanted: DataFrame, item: list[str]) -> DataFrame:
+    """The lists of the wanted items, chosen where they are stored.
+
+    Buckets are pruned by value, of which there are a few thousand at most; a small number of
+    terms is pushed to the files, which are sorted by term; a larger one is broadcast while
+    its size allows, and joined beyond it.
+    """
+    items = materialize(wanted.select(*item).distinct(), "items")
+    n = items.count()
+    if "bucket" in item:
+        buckets = [r[0] for r in items.select("bucket").distinct().collect()]
+        lists = lists.where(F.col("bucket").isin(buckets))
+    if "term" in item and n <= PUSHED_TERMS:
+        lists = lists.where(F.col("term").isin([r[0] for r in items.select("term").collect()]))
+    return lists.join(F.broadcast(items) if n <= BROADCAST_IDS else items, item, "left_semi")
+
+
 def intersect(
     wanted: DataFrame,
     lists: DataFrame,
@@ -86,6 +105,7 @@ def intersect(
     is small; a list may be of any length.
     """
     size = F.size("others")
+    lists = asked_lists(lists, wanted, item)
     plans = (
         wanted.groupBy(*group)
         .agg(
@@ -99,18 +119,20 @@ def intersect(
         )
     )
     lookup = plans.select(*group, "others", "first.*")
-    candidates = salted_join(lists, lookup, item, "doc_id").select(
-        *group, "doc_id", "others", part.alias("part")
+    candidates = materialize(
+        salted_join(lists, lookup, item, "doc_id").select(
+            *group, "doc_id", "others", part.alias("part")
+        ),
+        "candidates",
     )
     single = candidates.where(size == 0).select(*group, "doc_id", F.col("part").alias("total"))
     checks = candidates.where(size > 0).select(
         *group, "doc_id", F.col("part").alias("first_part"), size.alias("wanted"),
         F.explode("others").alias("other"),
     ).select(*group, "doc_id", "first_part", "wanted", "other.*")
-    # Only the lists that are asked for take part in the join by document.
-    asked = salted_join(lists, wanted.select(*item).distinct(), item, "doc_id", how="left_semi")
+    # The list of a common term is cut down to the candidates before it is moved.
     several = (
-        checks.join(asked, [*item, "doc_id"])
+        checks.join(matching_documents(candidates.where(size > 0), lists), [*item, "doc_id"])
         .groupBy(*group, "doc_id")
         .agg(
             F.count("*").alias("found"),
