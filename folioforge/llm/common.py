@@ -63,5 +63,10 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, a written table, to be broadcast if it has at most ``rows`` rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

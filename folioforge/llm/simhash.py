@@ -185,6 +185,8 @@ def near_duplicates(
 
 SIMILARITY = 0.8
 WORDS = 5
+#: Keys of texts that may be broadcast, 8 bytes each; beyond that texts are shuffled.
+BROADCAST_TEXTS = 1_000_000
 
 
 def similar_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -199,31 +201,32 @@ def similar_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     spark = docs.sparkSession
     common.python_batches(spark)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits, sets = [], []
-            for text in common.texts(batch):
-                words = words_of(text)
-                shingles = np.unique(shingle_hashes(words, WORDS))
-                bits.append(majority(np.unique(shingle_hashes(words, 1))))
-                sets.append(shingles.tobytes())
+            bits = [majority(np.unique(shingle_hashes(words_of(text), 1)))
+                    for text in common.texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [common.column(batch, "doc_id").cast(pa.int64()),
-                 common.column(batch, "key"), pa.array(np.array(bits, np.uint64).view(np.int64)),
-                 pa.array(sets, pa.binary())],
-                ["doc_id", "key", "bits", "shingles"])
+                [common.column(batch, "doc_id").cast(pa.int64()), common.column(batch, "key"),
+                 pa.array(np.array(bits, np.uint64).view(np.int64))], ["doc_id", "key", "bits"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(words_of(text), WORDS)).tobytes()
+                    for text in common.texts(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [common.column(batch, "key"), pa.array(sets, pa.binary())], ["key", "s"])
 
-    schema = "doc_id long, key long, bits long, shingles binary"
     keyed = common.documents(docs).withColumn("key", F.xxhash64(_plain(F.col("text"))))
-    signed = keyed.mapInArrow(run, schema)
-    prints = common.materialize(signed.drop("shingles"), "fingerprints")
+    prints = common.materialize(
+        keyed.mapInArrow(sign, "doc_id long, key long, bits long"), "fingerprints")
     edges = common.materialize(links(prints, radius), "links")
     # One text per set of words; those with a fingerprint of its own and no link need no check.
     kinds = prints.groupBy("key", "bits").agg(F.min("doc_id").alias("first_id"))
     shared = kinds.groupBy("bits").agg(F.count("*").alias("n")).where("n > 1").select("bits")
     linked = edges.select(F.col("u").alias("bits")).union(edges.select("v")).union(shared).distinct()
     members = common.materialize(kinds.join(linked, "bits", "left_semi"), "members")
-    low = members.groupBy("bits").agg(F.min("key").alias("low"), F.count("*").alias("n"))
+    low = common.materialize(
+        members.groupBy("bits").agg(F.min("key").alias("low"), F.count("*").alias("n")), "low")
     same = members.join(low.where("n > 1"), "bits").where("key != low").select(
         F.col("low").alias("a"), F.col("key").alias("b"))
     left, right = (members.select(F.col("bits").alias(c), F.col("key").alias(k))
@@ -233,11 +236,6 @@ def similar_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     pairs = pairs.union(edges.join(low.select(F.col("bits").alias("v"), F.col("low").alias("b")), "v")
                         .join(left, "u").select("a", "b"))
     pairs = common.materialize(pairs.union(same).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    sets = common.materialize(
-        signed.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("s")),
-        "shingle-sets")
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v = [], []
@@ -250,12 +248,30 @@ def similar_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    checked = (
-        pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a")
-        .join(sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b")
-        .select("a", "b", "sa", "sb").mapInArrow(compare, "u long, v long")
-    )
-    root = components.roots(checked)
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs (u, v) whose texts are similar."""
+        keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+        wanted = common.materialize(keys, "wanted")
+        sets = keyed.join(common.bounded(wanted, BROADCAST_TEXTS), "key", "left_semi").mapInArrow(
+            cut, "key long, s binary")
+        sets = common.materialize(
+            sets.groupBy("key").agg(F.first("s").alias("s")), "shingle-sets")
+        both = pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a").join(
+            sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b")
+        return common.materialize(
+            both.select("a", "b", "sa", "sb").mapInArrow(compare, "u long, v long"), "similar")
+
+    # First one pair per text: in a group of near copies that ties nearly all.  Then the pairs
+    # between texts that are still apart, so no group is compared with itself throughout.
+    found = verified(common.materialize(pairs.groupBy("b").agg(F.min("a").alias("a")), "first"))
+    root = common.materialize(components.roots(found), "roots")
+    for end in ("a", "b"):
+        side = root.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        pairs = pairs.join(side, end, "left").withColumn(
+            f"root_{end}", F.coalesce(f"root_{end}", end))
+    rest = common.materialize(pairs.where("root_a != root_b").select("a", "b"), "apart")
+    if not rest.isEmpty():
+        root = common.materialize(components.roots(found.union(verified(rest))), "roots")
     return prints.join(root, prints.key == root.node, "left").select(
         "doc_id", "key", F.coalesce("root", "key").alias("root"))
 
