@@ -20,6 +20,8 @@ from .skew import hot_join
 BUCKETS, MAX_BUCKETS = 16, 4096
 BUCKET_BYTES = 1 << 30
 TASK_BYTES = 256 << 20
+# Spark's estimate where it knows nothing is about this or more.
+UNKNOWN_BYTES = 1 << 60
 LOG_BASE = 10.0
 
 
@@ -114,8 +116,10 @@ def term_bucket(buckets: int) -> Column:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Spark's estimate of the size of ``df``, from the files it reads."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Size of the files ``df`` reads; inputs of unknown size count as empty."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
 
 
 def bucket_count(df: DataFrame) -> int:

@@ -46,7 +46,7 @@ def test_latin_blocks_are_covered():
     table = fold_table()
     assert all(chr(cp) in table for cp in range(0xA0, 0x100))
     assert table["µ"] == "u" and table["ƀ"] == "b" and table["Ɠ"] == "G" and table["ɇ"] == "e"
-    assert sum(chr(cp) not in table for cp in range(0x100, 0x250)) < 40
+    assert sum(chr(cp) not in table for cp in range(0x100, 0x250)) < 50
 
 
 def test_normalize(spark):
