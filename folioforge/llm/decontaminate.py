@@ -25,8 +25,10 @@ MIN_WORDS = 13
 #: Words that differ weigh four against one, so a stretch above zero has four of five alike.
 MISS = 4
 SHARE = 0.8
-#: Seeds of the benchmark that may be broadcast (about 24 bytes each); beyond it they are shuffled.
+#: Seeds of the benchmark, and texts with hits, that may be broadcast (about 40 bytes each);
+#: beyond that both sides of a join are shuffled.
 BROADCAST_SEEDS = 1_000_000
+BROADCAST_TEXTS = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -52,7 +54,7 @@ def _hashed(df: DataFrame, name: str) -> DataFrame:
 
 
 def _digest(text: Column) -> Column:
-    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def _verified(texts: DataFrame, tests: DataFrame) -> DataFrame:
@@ -70,7 +72,10 @@ def _verified(texts: DataFrame, tests: DataFrame) -> DataFrame:
         doc_seeds.join(bounded(test_seeds), "seed")
         .select("key", "item_key", (F.col("place") - F.col("item_place")).alias("shift"))
         .distinct(), "hits")
-    hit_texts = _hashed(texts.join(hits.select("key").distinct(), "key", "left_semi"), "doc_words")
+    # Texts are not moved to find the few that are hit.
+    hit_keys = common.materialize(hits.select("key").distinct(), "hit-keys")
+    hit_texts = _hashed(
+        texts.join(common.bounded(hit_keys, BROADCAST_TEXTS), "key", "left_semi"), "doc_words")
     hit_texts = hit_texts.groupBy("key").agg(F.first("doc_words").alias("doc_words"))
     aligned = hits.join(hit_texts, "key").join(
         F.broadcast(test_words) if small else test_words, "item_key")
@@ -115,7 +120,8 @@ def overlaps(
     tests = common.documents(items, item_id, item_text).withColumn("key", _digest(F.col("text")))
     # A text or item with very many copies is split by adaptive execution.
     return (
-        _verified(texts, tests).join(texts.select("doc_id", "key"), "key")
+        common.bounded(_verified(texts, tests), BROADCAST_TEXTS)
+        .join(texts.select("doc_id", "key"), "key")
         .join(tests.select(F.col("doc_id").alias("item_id"), F.col("key").alias("item_key")),
               "item_key")
         .select("doc_id", "item_id", "shift", "n_words", "agreeing", "best")
@@ -127,4 +133,5 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     texts = common.documents(docs).withColumn("key", _digest(F.col("text")))
     tests = common.documents(items, "item_id").withColumn("key", _digest(F.col("text")))
     dirty = _verified(texts, tests).select(F.col("key").alias("dirty_key")).distinct()
+    dirty = common.bounded(common.materialize(dirty, "dirty"), BROADCAST_TEXTS)
     return docs.join(dirty, _digest(docs["text"]) == F.col("dirty_key"), "left_anti")
