@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -130,12 +130,11 @@ def decode_bits(
 # --- jobs ----------------------------------------------------------------------------------
 
 
-def token_ids(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, place, ids): little-endian 32-bit ids of each text, then the end id."""
+def token_ids(docs: DataFrame, shared: Broadcast, kind: str, end_id: int = END_ID) -> DataFrame:
+    """(doc_id, place, ids): ids of type ``kind`` of each text, then the end id."""
     spark = docs.sparkSession
     common.python_batches(spark)
-    shared = tokens.share_vocabulary(spark, vocabulary)
-    end = np.uint32(end_id).tobytes()
+    end = np.array([end_id], kind).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = tokens.encoder(shared)
@@ -146,7 +145,7 @@ def token_ids(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_
                 [
                     common.column(batch, "doc_id").cast(pa.int64()),
                     pa.array(range(place, place + len(found)), pa.int64()),
-                    pa.array([ids.tobytes() + end for ids in found], pa.binary()),
+                    pa.array([ids.astype(kind).tobytes() + end for ids in found], pa.binary()),
                 ],
                 ["doc_id", "place", "ids"],
             )
@@ -155,14 +154,14 @@ def token_ids(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_
     return common.documents(docs).mapInArrow(encode, IDS)
 
 
-def id_counts(ids: DataFrame) -> np.ndarray:
+def id_counts(ids: DataFrame, kind: str) -> np.ndarray:
     """How often each id occurs; one row per task and id moves, one per id reaches the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                more = np.bincount(np.frombuffer(data, "<u4"))
+                more = np.bincount(np.frombuffer(data, kind))
                 if len(more) > len(total):
                     total = np.append(total, np.zeros(len(more) - len(total), np.int64))
                 total[: len(more)] += more
@@ -182,8 +181,10 @@ def write_token_file(
 ) -> None:
     """Encode every document and write the folder ``path``."""
     spark = docs.sparkSession
-    ids = common.materialize(token_ids(docs, vocabulary, end_id), "token-ids")
-    lengths = code_lengths(id_counts(ids))
+    vocabulary_data = tokens.share_vocabulary(spark, vocabulary)
+    kind = vocabulary_data.value.id_type
+    ids = common.materialize(token_ids(docs, vocabulary_data, kind, end_id), "token-ids")
+    lengths = code_lengths(id_counts(ids, kind))
     codes = canonical_codes(lengths)
     book = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(book, "id long, length int").coalesce(1).write.parquet(f"{path}/codebook")
@@ -209,7 +210,7 @@ def write_token_file(
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 names.append(name)
-                held.append(np.frombuffer(data, "<u4"))
+                held.append(np.frombuffer(data, kind))
                 size += len(held[-1])
                 if size >= SEGMENT_TOKENS:
                     yield close()

@@ -28,8 +28,7 @@ def tokenizer():
 
 @pytest.fixture(scope="module")
 def encoder():
-    with open(PATH, encoding="utf-8") as source:
-        return tokens.Encoder(source.read())
+    return tokens.Encoder(tokens.read_vocabulary(PATH))
 
 
 @settings(max_examples=200, deadline=None)
