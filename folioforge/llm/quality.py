@@ -54,7 +54,7 @@ _KINDS[[ord(c) for c in ".,;:'\"-"]] = 5
 _KINDS[128:] = 7
 
 _WORDS: dict[str, int] = {}
-_CACHE = 300_000
+_CACHE = 100_000
 
 
 class Model(NamedTuple):

@@ -36,10 +36,10 @@ from . import common
 WIDTH = 400
 GRAM = 16
 #: Window starts handled at once; longer texts are cut, with overlap.
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 #: Kinds of one k1 that are sorted together, and all kinds sorted in one task.
 GROUP = 2000
-TASK = 5000
+TASK = 2000
 PLACE_BITS = np.uint64(28)
 BASES = (np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -54,7 +54,7 @@ def spread(width: int) -> int:
 # --- hashes --------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=12)
+@lru_cache(maxsize=6)
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, np.uint64(base))
     out[0] = 1
@@ -314,18 +314,21 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     common.python_batches(spark)
     texts = common.documents(docs).select("text", *digest("text"))
     every = all_anchors(texts, width)
-    twice = every.groupBy("k1").agg(F.count("*").alias("n")).where("n > 1").select("k1")
+    # Written first: a join with an aggregate in the same stage could not split a hot k1.
+    twice = common.materialize(
+        every.groupBy("k1").agg(F.count("*").alias("n")).where("n > 1").select("k1"), "repeated")
     shared = common.materialize(every.join(twice, "k1", "left_semi"), "anchors")
     kinds = common.materialize(
         shared.groupBy("k1", "k2").agg(
             F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("d1", "d2", "at", "left", "span"))
         ), "kinds")
-    whole = kinds.where("n > 1").select("k1", "k2")
+    whole = kinds.where("n > 1").select("k1", "k2")  # read from the written table
     spans = shared.join(whole, ["k1", "k2"], "left_semi").select(
         "d1", "d2", (F.col("at") - F.col("left")).cast("long").alias("begin"),
         (F.col("at") - F.col("left") + F.col("span") + width).cast("long").alias("stop")).distinct()
 
-    mixed = kinds.groupBy("k1").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    mixed = common.materialize(
+        kinds.groupBy("k1").agg(F.count("*").alias("kinds")).where("kinds > 1"), "mixed")
     parts = common.materialize(kinds.join(mixed, "k1").drop("k2"), "mixed-kinds")
     wanted = parts.groupBy("d1", "d2").agg(F.collect_list(
         F.struct("k1", "kinds", "n", "at", "left", "span")).alias("wanted"))
@@ -366,7 +369,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     if crowded:
         dense = contexts.where(F.col("kinds") > GROUP).drop("kinds").distinct()
         hashed = _hashed_windows(dense, width)
-        often = hashed.groupBy("h1", "h2").agg(F.count("*").alias("m")).where("m > 1")
+        often = common.materialize(
+            hashed.groupBy("h1", "h2").agg(F.count("*").alias("m")).where("m > 1"), "often")
         spans = spans.union(
             hashed.where("n = 1").join(often, ["h1", "h2"], "left_semi")
             .select("d1", "d2", "begin", (F.col("begin") + width).alias("stop")))
