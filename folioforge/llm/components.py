@@ -15,8 +15,9 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
-    # The join's large side is split by adaptive execution where one node has very many links.
+    # Written, so that the join stands alone in its stage: adaptive execution then splits the
+    # links of a node that has very many.
+    low = common.materialize(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low")), "low")
     return (
         both.join(low, "u").where(F.col("v") > F.col("u"))
         .select(F.col("v").alias("u"), F.col("low").alias("v")).where("u != v").distinct()
@@ -25,7 +26,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = down.groupBy("u").agg(F.min("v").alias("low"))
+    low = common.materialize(down.groupBy("u").agg(F.min("v").alias("low")), "low")
     moved = down.join(low, "u").where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
     return moved.union(low.select("u", F.col("low").alias("v"))).distinct()
 
@@ -38,8 +39,11 @@ def roots(edges: DataFrame) -> DataFrame:
     """
     edges = common.materialize(edges.where("u != v").select("u", "v").distinct(), "edges")
     state = _state(edges)
+    if not state[0]:
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     while True:
-        edges = common.materialize(_small_star(_large_star(edges)), "edges")
+        large = common.materialize(_large_star(edges), "edges")
+        edges = common.materialize(_small_star(large), "edges")
         now = _state(edges)
         if now == state:
             break

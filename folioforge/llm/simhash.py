@@ -31,6 +31,7 @@ SEED = 42
 SHINGLE = 4
 RADIUS = 4
 BUCKET = 2048
+NODES_PER_TASK = 16_384
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -133,8 +134,10 @@ def links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataF
     """
     if radius % 2:
         raise ValueError("the radius must be even: balls of half the radius are used")
-    nodes = nodes.select("bits").distinct()
-    rows = _buckets(nodes, radius)
+    nodes = common.materialize(nodes.select("bits").distinct(), "nodes")
+    # Every node becomes a row per table: dealt out by their number, not by their few bytes.
+    tasks = nodes.count() // NODES_PER_TASK + 1
+    rows = _buckets(nodes.repartition(tasks, "bits"), radius)
     # Counts are combined per task; only overfull buckets remain, at most tables/bucket per node.
     dense = common.materialize(
         rows.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket)
