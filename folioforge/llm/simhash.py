@@ -190,6 +190,119 @@ SIMILARITY = 0.8
 WORDS = 5
 #: Keys of texts that may be broadcast, 8 bytes each; beyond that texts are shuffled.
 BROADCAST_TEXTS = 1_000_000
+#: Texts from which common shingles are learned, and how many of those are broadcast at most.
+SAMPLE = 5000
+COMMON = 200_000
+#: Texts of one shingle that are paired in one go; more are paired block by block.
+BLOCK = 512
+
+
+def _prefix(shingles: np.ndarray, common_: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, rare ones in front, one of which every similar set has, too.
+
+    Sets with a Jaccard similarity of 4/5 share 4/5 of each, so they meet in the first fifth and
+    one more, in whatever order all sets are sorted.
+    """
+    weight = np.zeros(len(shingles), np.int64)
+    if len(common_):
+        place = np.minimum(np.searchsorted(common_, shingles), len(common_) - 1)
+        weight = np.where(common_[place] == shingles, often[place], 0)
+    return shingles[np.lexsort((shingles, weight))[: len(shingles) // 5 + 1]]
+
+
+def _meetings(whole: bool):
+    """Pairs of texts of different roots that may be similar by sizes and places of a shingle.
+
+    If not ``whole``, only the first of them for every text of a block.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.empty((0, 2), np.int64)]
+            for block in batch.column(0):
+                rows = block.values
+                key, root, at, n, side = (
+                    rows.field(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                    for c in ("key", "root", "at", "n", "side"))
+                left = np.flatnonzero(side != 1)  # 0 and 1 are two blocks, 2 is one with itself
+                for i in left:
+                    # The rest after the shared shingle bounds what two sets have in common.
+                    both = np.minimum(n[i] - at[i], n - at)
+                    near = np.flatnonzero((root != root[i]) & (9 * both >= 4 * (n[i] + n))
+                                          & ((side == 1) | ((side == 2) & (key > key[i]))))
+                    if len(near):
+                        near = near if whole else near[:1]
+                        found.append(np.stack([np.full(len(near), key[i]), key[near]], 1))
+            pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+
+    return run
+
+
+def _apart(postings: DataFrame, root: DataFrame, whole: bool) -> DataFrame:
+    """The pairs (a, b) of texts of different roots that meet in a shingle of ``postings``."""
+    of = root.select(F.col("node").alias("key"), "root")
+    rows = common.materialize(
+        postings.join(of, "key", "left").withColumn("root", F.coalesce("root", "key")), "placed")
+    open_ = common.materialize(
+        rows.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                              F.count("*").alias("rows"))
+        .where("low != high").select("h", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")),
+        "open-shingles")
+    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    dealt = rows.join(open_, "h").withColumn("own", own).select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    blocks = dealt.groupBy(
+        "h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    ).agg(F.collect_list(F.struct("key", "root", "at", "n", side.alias("side"))).alias("block"))
+    return common.materialize(
+        blocks.where(F.size("block") > 1).select("block")
+        .mapInArrow(_meetings(whole), "a long, b long").distinct(), "apart")
+
+
+def _postings(keyed: DataFrame, prints: DataFrame) -> DataFrame:
+    """(h, key, at, n): shingle ``h``, which other texts' prefixes hold, too, is at place ``at``
+    of the ``n`` shingles of text ``key``."""
+    spark = keyed.sparkSession
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(words_of(text), WORDS)) for text in common.texts(batch)]
+            hashes = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes)], ["h"])
+
+    # Any order finds all links; one with common shingles behind has fewer texts meet.
+    step = prints.select("key").distinct().count() // SAMPLE + 1
+    sample = keyed.where(F.pmod("key", F.lit(step)) == 0).groupBy("key").agg(F.first("text").alias("text"))
+    often = sample.mapInArrow(shingles, "h long").groupBy("h").agg(F.count("*").alias("n")).where(
+        "n > 2").orderBy(F.desc("n"), "h").limit(COMMON).collect()
+    table = np.array([(r.h, r.n) for r in often], np.int64).reshape(-1, 2)
+    hashes = table[:, 0].copy().view(np.uint64)
+    order = np.argsort(hashes)
+    shared = spark.sparkContext.broadcast((hashes[order], table[order, 1]))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(words_of(text), WORDS)) for text in common.texts(batch)]
+            first = [_prefix(x, *shared.value)[: len(x)] for x in sets]
+            sizes = np.array([len(x) for x in first], np.int64)
+            key = np.asarray(common.column(batch, "key"))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([np.empty(0, np.uint64), *first]).view(np.int64)),
+                pa.array(np.repeat(key, sizes)),
+                pa.array(np.concatenate([np.empty(0, np.int32), *(np.arange(k, dtype=np.int32) for k in sizes)])),
+                pa.array(np.repeat(np.array([len(x) for x in sets], np.int32), sizes)),
+            ], ["h", "key", "at", "n"])
+
+    every = common.materialize(
+        keyed.select("key", "text").mapInArrow(cut, "h long, key long, at int, n int"), "prefixes")
+    several = common.materialize(
+        every.groupBy("h").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+        .where("low != high").select("h"), "shared-shingles")
+    # Copies of a text bring the same rows again.
+    return common.materialize(every.join(several, "h", "left_semi").distinct(), "postings")
 
 
 def similar_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -197,9 +310,10 @@ def similar_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     ``key`` is the hash of a text's words, ``root`` the smallest key of its group.
 
-    Links are found between fingerprints of the different words of each text, which few
-    changed words hardly move, and kept if the texts' sets of five-word shingles have a
-    Jaccard similarity of 0.8.  Texts of equal words are one node.
+    Two texts are linked if their sets of five-word shingles have a Jaccard similarity of 0.8;
+    no link between groups is missed.  Fingerprints of the different words of each text, which
+    few changed words hardly move, tie most of them first.  Whatever is still apart then meets
+    in the rarest shingles of each text.  Texts of equal words are one node.
     """
     spark = docs.sparkSession
     common.python_batches(spark)
@@ -264,17 +378,18 @@ def similar_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
         return common.materialize(
             both.select("a", "b", "sa", "sb").mapInArrow(compare, "u long, v long"), "similar")
 
-    # First one pair per text: in a group of near copies that ties nearly all.  Then the pairs
-    # between texts that are still apart, so no group is compared with itself throughout.
+    # First one pair of fingerprints per text: in a group of near copies that ties nearly all.
     found = verified(common.materialize(pairs.groupBy("b").agg(F.min("a").alias("a")), "first"))
     root = common.materialize(components.roots(found), "roots")
-    for end in ("a", "b"):
-        side = root.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-        pairs = pairs.join(side, end, "left").withColumn(
-            f"root_{end}", F.coalesce(f"root_{end}", end))
-    rest = common.materialize(pairs.where("root_a != root_b").select("a", "b"), "apart")
-    if not rest.isEmpty():
-        root = common.materialize(components.roots(found.union(verified(rest))), "roots")
+    # Then all texts that are apart and share a shingle of their prefixes: one pair per text and
+    # shingle, at last every pair, so no group is compared with itself throughout.
+    postings = _postings(keyed, prints)
+    for whole in (False, True):
+        rest = _apart(postings, root, whole)
+        if rest.isEmpty():
+            break
+        found = found.union(verified(rest))
+        root = common.materialize(components.roots(found), "roots")
     return prints.join(root, prints.key == root.node, "left").select(
         "doc_id", "key", F.coalesce("root", "key").alias("root"))
 

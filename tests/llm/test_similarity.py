@@ -113,6 +113,54 @@ def test_one_of_each_group_of_similar_texts_stays(spark):
     assert simhash.one_per_group(no_documents(spark)).count() == 0
 
 
+def word_texts(draw, n):
+    return ["".join(draw.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n)]
+
+
+def groups_of(texts):
+    sets = [shingles(t) for t in texts]
+    close = [(i, j) for i, j in combinations(range(len(texts)), 2)
+             if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    return close, union_find(len(texts), close)
+
+
+def check_groups(spark, texts):
+    close, roots = groups_of(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.root for r in simhash.similar_groups(docs).collect()}
+    pairs = lambda roots: {
+        (i, j) for i, j in combinations(range(len(texts)), 2) if roots[i] == roots[j]}
+    assert pairs(found) == pairs(roots)
+    return close
+
+
+def test_texts_of_equal_words_are_all_compared(spark):
+    draw = random.Random(21)
+    texts = []
+    for _ in range(6):  # any of the three may have the smallest key
+        words = word_texts(draw, 60)
+        turned = words[30:] + words[:30]
+        texts += [" ".join(words[::-1]), " ".join(words), " ".join([*words[:-2], words[-1], words[-2]])]
+        texts += [" ".join(turned), " ".join([*turned[:-2], turned[-1], turned[-2]])]
+    check_groups(spark, texts)
+
+
+def test_crowds_of_variants_are_all_compared(spark, monkeypatch):
+    draw = random.Random(22)
+    base = word_texts(draw, 120)
+    texts = [" ".join(base)]
+    for n in range(60):
+        words = list(base)
+        for at in draw.sample(range(120), 1 + n % 4):
+            words[at] = word_texts(draw, 1)[0]
+        texts.append(" ".join(words))
+    for block in (simhash.BLOCK, 8):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        check_groups(spark, texts)
+    monkeypatch.setattr(simhash, "COMMON", 0)
+    check_groups(spark, texts)
+
+
 # --- repeated strings ----------------------------------------------------------------------
 
 
