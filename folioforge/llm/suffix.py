@@ -269,6 +269,18 @@ SPANS = "d1 long, d2 long, begin long, stop long"
 CONTEXTS = "k1 long, n long, d1 long, d2 long, at int, left int, span int, bytes binary"
 
 
+def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of every different text (d1, d2) of a task."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        new = []
+        for i, key in enumerate(zip(*(common.texts(batch, c) for c in ("d1", "d2")))):
+            if key not in seen:
+                seen.add(key)
+                new.append(i)
+        yield batch.take(pa.array(new, pa.int64()))
+
+
 def _sorted_kinds(width: int):
     def run(key: tuple, kinds: pa.Table) -> pa.Table:
         seen: dict[tuple, dict] = {}
@@ -355,7 +367,13 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     schema = ("k1 long, kinds long, n long, at int, left int, span int, d1 long, d2 long, "
               "bytes binary")
-    contexts = texts.join(wanted, ["d1", "d2"]).mapInArrow(cut, schema)
+    # Of a text's copies each task hands on one, and one of those is cut.  The digests are written
+    # first, so that the join stands alone in its stage and a hot one is split.
+    held = common.materialize(parts.select("d1", "d2").distinct(), "mixed-texts")
+    single = texts.join(held, ["d1", "d2"], "left_semi").select("d1", "d2", "text").mapInArrow(
+        _first_copies, "d1 long, d2 long, text string")
+    single = single.groupBy("d1", "d2").agg(F.first("text").alias("text"))
+    contexts = single.join(wanted, ["d1", "d2"]).mapInArrow(cut, schema)
     tasks = max(1, parts.where(F.col("kinds") <= GROUP).count() // TASK + 1)
     crowded = not parts.where(F.col("kinds") > GROUP).isEmpty()
     if crowded:

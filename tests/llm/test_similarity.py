@@ -203,6 +203,26 @@ def test_removed_bytes_of_random_texts_on_both_paths(spark, monkeypatch):
             check_summaries(suffix.summaries(docs, width).collect(), rows, width)
 
 
+def test_a_text_with_many_copies_is_cut_once(spark, monkeypatch):
+    draw = random.Random(11)
+    text = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    first, middle = text(60), text(70)
+    rows = list(enumerate([first + middle] * 50 + [text(60) + middle + text(50), text(60) + middle]))
+    written = {}
+
+    def materialize(df, name):
+        df = common_materialize(df, name)
+        written[name] = df
+        return df
+
+    common_materialize = common.materialize
+    monkeypatch.setattr(common, "materialize", materialize)
+    monkeypatch.setattr(suffix, "GROUP", 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_summaries(suffix.summaries(docs, 40).collect(), rows, 40)
+    assert 0 < written["contexts"].count() == written["mixed-kinds"].count()
+
+
 def test_texts_longer_than_a_chunk(spark, monkeypatch):
     monkeypatch.setattr(suffix, "CHUNK", 700)
     draw = random.Random(2)
