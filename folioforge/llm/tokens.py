@@ -2,7 +2,8 @@
 
 Byte-level BPE never merges across a single space between two visible characters, so a text
 is cut there and every piece is encoded once per worker: natural text repeats most of them.
-The pieces give exactly the ids of the whole text.
+The pieces give exactly the ids of the whole text.  A text that holds the string of an added
+token, which the library matches before all else, is encoded whole.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ class Vocabulary(NamedTuple):
     content: str
     byte_level: bool  # spelled in byte letters, cut by the usual pattern, without a normalizer
     id_type: str  # the smallest unsigned type, of 16 or 32 bits, that holds every id
+    added: tuple[str, ...]  # strings of added tokens
+    normalized: bool  # texts may get such strings only by the normalizer
 
 
 def read_vocabulary(path: str | None = None) -> Vocabulary:
@@ -53,7 +56,10 @@ def read_vocabulary(path: str | None = None) -> Vocabulary:
     byte_level = layout["normalizer"] is None and (
         layout["pre_tokenizer"] or {}).items() >= usual.items()
     top = max([*layout["model"]["vocab"].values(), *(t["id"] for t in layout["added_tokens"])])
-    return Vocabulary(content, byte_level, "<u2" if top < 1 << 16 else "<u4")
+    added = tuple(t["content"] for t in layout["added_tokens"])
+    normalized = layout["normalizer"] is not None and any(
+        t.get("normalized", True) for t in layout["added_tokens"])
+    return Vocabulary(content, byte_level, "<u2" if top < 1 << 16 else "<u4", added, normalized)
 
 
 def share_vocabulary(spark: SparkSession, path: str | None = None) -> Broadcast:
@@ -83,7 +89,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary.content)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are plain text
+        self.added, self.normalized = vocabulary.added, vocabulary.normalized
+        # Words joined by line ends must not spell an added token.
+        self.joined = not self.normalized and not any("\n" in token for token in self.added)
         self.cache: dict[str, bytes] = {}  # by piece without the blank in front of it
         self.marks: dict[str, bytes] = {}
         (self.line_end,) = self._each(["\n"])
@@ -99,6 +107,8 @@ class Encoder:
         A line end between visible characters is a token of its own, so the ids of the parts
         stand between those of the line ends.
         """
+        if not self.joined:
+            return self._each(words)
         ids = np.array(self.tokenizer.encode("\n".join(words), add_special_tokens=False).ids, "<u4")
         ends = np.flatnonzero(ids == np.frombuffer(self.line_end, "<u4")[0])
         if len(self.line_end) != 4 or len(ends) != len(words) - 1:
@@ -156,6 +166,17 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text as unsigned 32-bit integers."""
+        whole = [i for i, text in enumerate(texts)
+                 if self.normalized or any(token in text for token in self.added)]
+        if not whole:
+            return self._by_pieces(texts)
+        others = sorted(set(range(len(texts))) - set(whole))
+        found = dict(zip(others, self._by_pieces([texts[i] for i in others])))
+        # One at a time: a batch of long texts would hold all their tokens at once.
+        found.update((i, np.frombuffer(self._each([texts[i]])[0], "<u4")) for i in whole)
+        return [found[i] for i in range(len(texts))]
+
+    def _by_pieces(self, texts: list[str]) -> list[np.ndarray]:
         cache = self.cache
         if len(cache) > CACHE_PIECES:
             cache.clear()

@@ -38,6 +38,15 @@ def test_pieces_give_the_ids_of_the_whole_text(tokenizer, encoder, text):
     assert encoder.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_strings_of_added_tokens_give_their_ids(encoder):
+    plain = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "plain words", "<|endoftext|>", "x<|endoftext|>  <|endoftext|>\ny z",
+             "<|endoftext |>", ""]
+    found = [ids.tolist() for ids in encoder.encode(texts)]
+    assert found == [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert found[0] == [64, 220, 50256, 275]
+
+
 def expected(tokenizer, text, end):
     ids = tokenizer.encode(text or "", add_special_tokens=False).ids
     return np.array([*ids, end], "<u4")
