@@ -1,26 +1,31 @@
 """Benchmark decontamination by spaced seeds, in DataFrame functions alone.
 
-A seed looks at a run of twelve words through a fixed mask and hashes eight of them, so it
-still hits where the words it ignores differ.  Seeds of all documents are joined with those of
-the benchmark items; every alignment (document, item, shift) that is hit is then verified word
-by word.  It counts as an overlap if some stretch of it has at least ``MIN_WORDS`` words and
-four of five words agree, or if four of five of the item's words are found.
+A seed looks at a short run of words through a fixed mask and hashes some of them, so it still
+hits where the words it ignores differ.  Seeds of all documents are joined with those of the
+benchmark items; an alignment (document, item, shift) with enough hits is then verified word by
+word.  It counts as an overlap if some stretch of it has at least ``MIN_WORDS`` words and four
+of five words agree, or if four of five of the item's words are found.
+
+A word that differs spoils as many seeds as the mask has words, so both kinds of overlap leave
+a number of hits that follows from the item's length; masks are chosen by that length such
+that it is never below one, and no overlap is lost.
 
 Words are runs of letters and digits, in lower case.  A null text is an empty one and overlaps
-nothing; an item of fewer than twelve words has no seed and is never reported.  Equal texts and
-equal items are compared once and reported for each of their ids.
+nothing; an item without words is never reported, one of up to four only if found whole.  Equal
+texts and equal items are compared once and reported for each of their ids.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Fixed masks of the seeds: x counts, - is ignored.
-MASKS = ("xx-xx-xx--xx", "xxx-x--x-xxx", "xx--x-xxx-xx")
-SPAN = 12
+#: The least number of an item's words and the mask of its seeds: x counts, - is ignored.
+MASKS = ((24, "xx-xx"), (7, "x-xx"), (5, "xx"), (4, "xxxx"), (3, "xxx"), (2, "xx"), (1, "x"))
 MIN_WORDS = 13
 #: Words that differ weigh four against one, so a stretch above zero has four of five alike.
 MISS = 4
@@ -37,15 +42,21 @@ def words(text: Column) -> Column:
     return F.transform(F.filter(split, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: Column) -> Column:
-    """The seeds of all masks at every place: array of (mask, place, seed)."""
-    places = F.when(F.size(hashes) >= SPAN, F.sequence(F.lit(0), F.size(hashes) - SPAN))
-    def at(mask: str, number: int):
-        offsets = [i for i, c in enumerate(mask) if c == "x"]
-        return lambda p: F.struct(
-            p.alias("place"),
-            F.xxhash64(F.lit(number), *(F.get(hashes, p + i) for i in offsets)).alias("seed"))
-    return F.concat(*(F.transform(places, at(mask, n)) for n, mask in enumerate(MASKS)))
+def seeds(hashes: Column, mask: str) -> Column:
+    """The seeds of a mask at every place: array of (place, seed)."""
+    offsets = [i for i, c in enumerate(mask) if c == "x"]
+    places = F.when(
+        F.size(hashes) >= len(mask), F.sequence(F.lit(0), F.size(hashes) - len(mask)))
+    return F.transform(places, lambda p: F.struct(
+        p.alias("place"),
+        F.xxhash64(F.lit(mask), *(F.get(hashes, p + i) for i in offsets)).alias("seed")))
+
+
+def fewest_hits(n_words: Column, mask: str) -> Column:
+    """Hits that every overlap of an item of ``n_words`` has: k of five words more may differ in
+    a stretch of 13 + 5 k, a fifth of them in a whole item."""
+    whole = n_words - (len(mask) - 1) - mask.count("x") * F.floor(n_words / (MISS + 1))
+    return F.least(F.lit(MIN_WORDS - (len(mask) - 1)), whole).cast("int")
 
 
 def _hashed(df: DataFrame, name: str) -> DataFrame:
@@ -62,16 +73,34 @@ def _verified(texts: DataFrame, tests: DataFrame) -> DataFrame:
     test_words = common.materialize(
         _hashed(tests.groupBy("key").agg(F.first("text").alias("text")), "item_words")
         .withColumnRenamed("key", "item_key"), "item-words")
+    size = F.size("item_words")
+    lengths = [r.n for r in test_words.select(size.alias("n")).where("n > 0").distinct().collect()]
+    # One mask per range of lengths; documents get seeds of the masks that items have.
+    used = [(low, next((x for x, _ in reversed(MASKS) if x > low), None), mask)
+            for low, mask in MASKS]
+    used = [(low, high, mask) for low, high, mask in used
+            if any(low <= n and (high is None or n < high) for n in lengths)]
+    parts = [
+        test_words.where((size >= low) & (size < high if high else F.lit(True))).select(
+            "item_key", fewest_hits(size, mask).alias("fewest"),
+            F.inline(seeds(F.col("item_words"), mask)))
+        for low, high, mask in used]
+    none = test_words.where("false").select(
+        "item_key", F.lit(1).alias("fewest"), F.lit(0).alias("place"), F.lit(0).cast("long").alias("seed"))
     test_seeds = common.materialize(
-        test_words.select("item_key", F.inline(seeds(F.col("item_words"))))
-        .withColumnRenamed("place", "item_place"), "item-seeds")
+        reduce(DataFrame.union, parts, none).withColumnRenamed("place", "item_place"), "item-seeds")
     small = test_seeds.count() <= BROADCAST_SEEDS
     bounded = F.broadcast if small else (lambda df: df)
-    doc_seeds = _hashed(texts, "doc_words").select("key", F.inline(seeds(F.col("doc_words"))))
+    masks = sorted({mask for _, _, mask in used}) or [MASKS[0][1]]
+    doc_seeds = _hashed(texts, "doc_words").select("key", F.inline(F.concat(*(
+        F.coalesce(seeds(F.col("doc_words"), mask), F.array().cast("array<struct<place:int,seed:bigint>>"))
+        for mask in masks))))
+    # Copies of a text count again, which only lets more be verified.
     hits = common.materialize(
         doc_seeds.join(bounded(test_seeds), "seed")
-        .select("key", "item_key", (F.col("place") - F.col("item_place")).alias("shift"))
-        .distinct(), "hits")
+        .groupBy("key", "item_key", (F.col("place") - F.col("item_place")).alias("shift"))
+        .agg(F.count("*").alias("hits"), F.first("fewest").alias("fewest"))
+        .where("hits >= fewest").select("key", "item_key", "shift"), "hits")
     # Texts are not moved to find the few that are hit.
     hit_keys = common.materialize(hits.select("key").distinct(), "hit-keys")
     hit_texts = _hashed(

@@ -287,6 +287,26 @@ def test_overlaps_tolerate_substitutions(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 7, 8]
 
 
+def test_short_items_are_found_with_a_fifth_of_their_words_changed(spark):
+    assert all(n - len(mask) + 1 - mask.count("x") * (n // 5) >= 1 for n in range(1, 300)
+               for mask in [next(m for low, m in decontaminate.MASKS if n >= low)])
+    draw = random.Random(31)
+    tests, rows, wanted = [], [], set()
+    for n in [*range(1, 31), 45, 59]:
+        item = [f"w{n}x{i}" for i in range(n)]
+        tests.append((n, " ".join(item)))
+        for _ in range(12):
+            changed = list(item)
+            for at in draw.sample(range(n), n // 5):
+                changed[at] = "other"
+            wanted.add((len(rows), n))
+            rows.append((len(rows), " ".join(["filler"] * 9 + changed + ["filler"] * 9)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame(tests, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(docs, items).collect()}
+    assert found == wanted
+
+
 def test_every_whole_item_in_a_document_is_found(spark):
     docs, tests = (common.table(spark, SMALL, n) for n in ("documents", "benchmark"))
     plain = lambda t: " " + " ".join(re.findall(r"[^\W_]+", (t or "").lower())) + " "
