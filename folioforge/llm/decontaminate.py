@@ -158,9 +158,10 @@ def overlaps(
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents, all their columns, that overlap no item."""
+    """The documents, all their columns of whatever name, that overlap no item."""
     texts = common.documents(docs).withColumn("key", _digest(F.col("text")))
     tests = common.documents(items, "item_id").withColumn("key", _digest(F.col("text")))
-    dirty = _verified(texts, tests).select(F.col("key").alias("dirty_key")).distinct()
+    (name,) = common.unused(docs, "dirty_key")
+    dirty = _verified(texts, tests).select(F.col("key").alias(name)).distinct()
     dirty = common.bounded(common.materialize(dirty, "dirty"), BROADCAST_TEXTS)
-    return docs.join(dirty, _digest(docs["text"]) == F.col("dirty_key"), "left_anti")
+    return docs.join(dirty, _digest(docs["text"]) == F.col(name), "left_anti")

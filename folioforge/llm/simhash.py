@@ -66,25 +66,27 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, distinct: bool = False) -> DataFrame:
-    """(doc_id, bits): ``bits`` is the fingerprint as a signed 64-bit integer.
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, bits): ``bits`` is the fingerprint as a signed 64-bit integer."""
+    return _signed(docs, F.lit(0).cast("long"), shingle).select("doc_id", "bits")
 
-    ``distinct`` counts every different shingle of a text once.
-    """
+
+def _signed(docs: DataFrame, key: Column, shingle: int) -> DataFrame:
+    """(doc_id, key, bits) with a long ``key`` of every document."""
     common.python_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for text in common.texts(batch):
-                hashes = shingle_hashes(words_of(text), shingle)
-                found.append(majority(np.unique(hashes) if distinct else hashes))
+                found.append(majority(shingle_hashes(words_of(text), shingle)))
             bits = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [common.column(batch, "doc_id").cast(pa.int64()), pa.array(bits)],
-                ["doc_id", "bits"])
+                [common.column(batch, "doc_id").cast(pa.int64()), common.column(batch, "key"),
+                 pa.array(bits)], ["doc_id", "key", "bits"])
 
-    return common.documents(docs).mapInArrow(run, "doc_id long, bits long")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("key"))
+    return texts.mapInArrow(run, "doc_id long, key long, bits long")
 
 
 def covering_masks(radius: int, seed: int = 7) -> list[int]:
@@ -166,256 +168,47 @@ def components_of(prints: DataFrame, edges: DataFrame) -> DataFrame:
     """(doc_id, bits, component_id) from fingerprints and the links between them."""
     root = components.roots(edges)
     nodes = prints.groupBy("bits").agg(F.min("doc_id").alias("first_id"))
-    placed = nodes.join(root, nodes.bits == root.node, "left").select(
-        "bits", "first_id", F.coalesce("root", "bits").alias("root"))
-    lowest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Both written, so that the join stands alone in its stage and a large component is split.
+    placed = common.materialize(nodes.join(root, nodes.bits == root.node, "left").select(
+        "bits", "first_id", F.coalesce("root", "bits").alias("root")), "placed")
+    lowest = common.materialize(
+        placed.groupBy("root").agg(F.min("first_id").alias("component_id")), "lowest")
     label = placed.join(lowest, "root").select(F.col("bits").alias("of_bits"), "component_id")
     # A fingerprint shared by very many documents is split by adaptive execution.
     return prints.join(label, prints.bits == label.of_bits).select("doc_id", "bits", "component_id")
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, distinct: bool = False
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every document."""
-    prints = common.materialize(fingerprints(docs, shingle, distinct), "fingerprints")
+    prints = common.materialize(fingerprints(docs, shingle), "fingerprints")
     found = components_of(prints, links(prints, radius))
     text = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
     return found.select("doc_id", text, "component_id")
 
 
-# --- groups of similar texts ---------------------------------------------------------------
-
-SIMILARITY = 0.8
-WORDS = 5
-#: Keys of texts that may be broadcast, 8 bytes each; beyond that texts are shuffled.
-BROADCAST_TEXTS = 1_000_000
-#: Texts from which common shingles are learned, and how many of those are broadcast at most.
-SAMPLE = 5000
-COMMON = 200_000
-#: Texts of one shingle that are paired in one go; more are paired block by block.
-BLOCK = 512
-
-
-def _prefix(shingles: np.ndarray, common_: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, rare ones in front, one of which every similar set has, too.
-
-    Sets with a Jaccard similarity of 4/5 share 4/5 of each, so they meet in the first fifth and
-    one more, in whatever order all sets are sorted.
-    """
-    weight = np.zeros(len(shingles), np.int64)
-    if len(common_):
-        place = np.minimum(np.searchsorted(common_, shingles), len(common_) - 1)
-        weight = np.where(common_[place] == shingles, often[place], 0)
-    return shingles[np.lexsort((shingles, weight))[: len(shingles) // 5 + 1]]
-
-
-def _meetings(whole: bool):
-    """Pairs of texts of different roots that may be similar by sizes and places of a shingle.
-
-    If not ``whole``, only the first of them for every text of a block.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.empty((0, 2), np.int64)]
-            for block in batch.column(0):
-                rows = block.values
-                key, root, at, n, side = (
-                    rows.field(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                    for c in ("key", "root", "at", "n", "side"))
-                left = np.flatnonzero(side != 1)  # 0 and 1 are two blocks, 2 is one with itself
-                for i in left:
-                    # The rest after the shared shingle bounds what two sets have in common.
-                    both = np.minimum(n[i] - at[i], n - at)
-                    near = np.flatnonzero((root != root[i]) & (9 * both >= 4 * (n[i] + n))
-                                          & ((side == 1) | ((side == 2) & (key > key[i]))))
-                    if len(near):
-                        near = near if whole else near[:1]
-                        found.append(np.stack([np.full(len(near), key[i]), key[near]], 1))
-            pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
-
-    return run
-
-
-def _apart(postings: DataFrame, root: DataFrame, whole: bool) -> DataFrame:
-    """The pairs (a, b) of texts of different roots that meet in a shingle of ``postings``."""
-    of = root.select(F.col("node").alias("key"), "root")
-    rows = common.materialize(
-        postings.join(of, "key", "left").withColumn("root", F.coalesce("root", "key")), "placed")
-    open_ = common.materialize(
-        rows.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                              F.count("*").alias("rows"))
-        .where("low != high").select("h", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")),
-        "open-shingles")
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    dealt = rows.join(open_, "h").withColumn("own", own).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    blocks = dealt.groupBy(
-        "h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    ).agg(F.collect_list(F.struct("key", "root", "at", "n", side.alias("side"))).alias("block"))
-    return common.materialize(
-        blocks.where(F.size("block") > 1).select("block")
-        .mapInArrow(_meetings(whole), "a long, b long").distinct(), "apart")
-
-
-def _postings(keyed: DataFrame, prints: DataFrame) -> DataFrame:
-    """(h, key, at, n): shingle ``h``, which other texts' prefixes hold, too, is at place ``at``
-    of the ``n`` shingles of text ``key``."""
-    spark = keyed.sparkSession
-
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(words_of(text), WORDS)) for text in common.texts(batch)]
-            hashes = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes)], ["h"])
-
-    # Any order finds all links; one with common shingles behind has fewer texts meet.
-    step = prints.select("key").distinct().count() // SAMPLE + 1
-    sample = keyed.where(F.pmod("key", F.lit(step)) == 0).groupBy("key").agg(F.first("text").alias("text"))
-    often = sample.mapInArrow(shingles, "h long").groupBy("h").agg(F.count("*").alias("n")).where(
-        "n > 2").orderBy(F.desc("n"), "h").limit(COMMON).collect()
-    table = np.array([(r.h, r.n) for r in often], np.int64).reshape(-1, 2)
-    hashes = table[:, 0].copy().view(np.uint64)
-    order = np.argsort(hashes)
-    shared = spark.sparkContext.broadcast((hashes[order], table[order, 1]))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(words_of(text), WORDS)) for text in common.texts(batch)]
-            first = [_prefix(x, *shared.value)[: len(x)] for x in sets]
-            sizes = np.array([len(x) for x in first], np.int64)
-            key = np.asarray(common.column(batch, "key"))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([np.empty(0, np.uint64), *first]).view(np.int64)),
-                pa.array(np.repeat(key, sizes)),
-                pa.array(np.concatenate([np.empty(0, np.int32), *(np.arange(k, dtype=np.int32) for k in sizes)])),
-                pa.array(np.repeat(np.array([len(x) for x in sets], np.int32), sizes)),
-            ], ["h", "key", "at", "n"])
-
-    every = common.materialize(
-        keyed.select("key", "text").mapInArrow(cut, "h long, key long, at int, n int"), "prefixes")
-    several = common.materialize(
-        every.groupBy("h").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-        .where("low != high").select("h"), "shared-shingles")
-    # Copies of a text bring the same rows again.
-    return common.materialize(every.join(several, "h", "left_semi").distinct(), "postings")
-
-
-def similar_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, key, root): texts tied by links of a five-word similarity of 0.8 or more.
-
-    ``key`` is the hash of a text's words, ``root`` the smallest key of its group.
-
-    Two texts are linked if their sets of five-word shingles have a Jaccard similarity of 0.8;
-    no link between groups is missed.  Fingerprints of the different words of each text, which
-    few changed words hardly move, tie most of them first.  Whatever is still apart then meets
-    in the rarest shingles of each text.  Texts of equal words are one node.
-    """
-    spark = docs.sparkSession
-    common.python_batches(spark)
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = [majority(np.unique(shingle_hashes(words_of(text), 1)))
-                    for text in common.texts(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [common.column(batch, "doc_id").cast(pa.int64()), common.column(batch, "key"),
-                 pa.array(np.array(bits, np.uint64).view(np.int64))], ["doc_id", "key", "bits"])
+def one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The documents, all their columns: of each component the smallest id stays.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(words_of(text), WORDS)).tobytes()
-                    for text in common.texts(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [common.column(batch, "key"), pa.array(sets, pa.binary())], ["key", "s"])
-
-    keyed = common.documents(docs).withColumn("key", F.xxhash64(_plain(F.col("text"))))
-    prints = common.materialize(
-        keyed.mapInArrow(sign, "doc_id long, key long, bits long"), "fingerprints")
-    edges = common.materialize(links(prints, radius), "links")
-    # One text per set of words; those with a fingerprint of its own and no link need no check.
-    kinds = prints.groupBy("key", "bits").agg(F.min("doc_id").alias("first_id"))
-    shared = kinds.groupBy("bits").agg(F.count("*").alias("n")).where("n > 1").select("bits")
-    linked = edges.select(F.col("u").alias("bits")).union(edges.select("v")).union(shared).distinct()
-    members = common.materialize(kinds.join(linked, "bits", "left_semi"), "members")
-    low = common.materialize(
-        members.groupBy("bits").agg(F.min("key").alias("low"), F.count("*").alias("n")), "low")
-    same = members.join(low.where("n > 1"), "bits").where("key != low").select(
-        F.col("low").alias("a"), F.col("key").alias("b"))
-    left, right = (members.select(F.col("bits").alias(c), F.col("key").alias(k))
-                   for c, k in (("u", "a"), ("v", "b")))
-    pairs = edges.join(low.select(F.col("bits").alias("u"), F.col("low").alias("a")), "u").join(
-        right, "v").select("a", "b")
-    pairs = pairs.union(edges.join(low.select(F.col("bits").alias("v"), F.col("low").alias("b")), "v")
-                        .join(left, "u").select("a", "b"))
-    pairs = common.materialize(pairs.union(same).distinct(), "pairs")
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            u, v = [], []
-            for a, b, left, right in zip(*(c.to_pylist() for c in batch.columns)):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if both >= SIMILARITY * (len(x) + len(y) - both):
-                    u.append(a)
-                    v.append(b)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (u, v) whose texts are similar."""
-        keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        wanted = common.materialize(keys, "wanted")
-        sets = keyed.join(common.bounded(wanted, BROADCAST_TEXTS), "key", "left_semi").mapInArrow(
-            cut, "key long, s binary")
-        sets = common.materialize(
-            sets.groupBy("key").agg(F.first("s").alias("s")), "shingle-sets")
-        both = pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a").join(
-            sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b")
-        return common.materialize(
-            both.select("a", "b", "sa", "sb").mapInArrow(compare, "u long, v long"), "similar")
-
-    # First one pair of fingerprints per text: in a group of near copies that ties nearly all.
-    found = verified(common.materialize(pairs.groupBy("b").agg(F.min("a").alias("a")), "first"))
-    root = common.materialize(components.roots(found), "roots")
-    # Then all texts that are apart and share a shingle of their prefixes: one pair per text and
-    # shingle, at last every pair, so no group is compared with itself throughout.
-    postings = _postings(keyed, prints)
-    for whole in (False, True):
-        rest = _apart(postings, root, whole)
-        if rest.isEmpty():
-            break
-        found = found.union(verified(rest))
-        root = common.materialize(components.roots(found), "roots")
-    return prints.join(root, prints.key == root.node, "left").select(
-        "doc_id", "key", F.coalesce("root", "key").alias("root"))
-
-
-def _plain(text: Column) -> Column:
-    """The words of a text in lower case, one blank between them."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(lower, "[ \\t-\\r]+", " "))
-
-
-def one_per_group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The documents, all their columns: of each group of similar texts the smallest id stays.
-
-    Null ids come last; of rows with the same id and words one stays.
+    Null ids come last; of rows with the same id and text one stays.  Columns of any name go
+    along unchanged.
     """
-    key = F.xxhash64(_plain(F.coalesce(F.col("text"), F.lit(""))))
-    groups = similar_groups(docs, radius)
-    first = groups.groupBy("root").agg(
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    prints = common.materialize(_signed(docs, key, shingle), "fingerprints")
+    root = components.roots(links(prints, radius))
+    nodes = prints.groupBy("bits").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("m"))
+    first = nodes.join(root, nodes.bits == root.node, "left").groupBy(
+        F.coalesce("root", "bits").alias("of")).agg(F.min("m").alias("m"))
+    of, text = common.unused(docs, "of_id", "of_text")
     chosen = common.materialize(
-        first.select(F.col("m.doc_id").alias("_id"), F.col("m.key").alias("_key")), "chosen")
-    keyed = docs.withColumn("_words", key)
+        first.select(F.col("m.doc_id").alias(of), F.col("m.key").alias(text)), "chosen")
+    keyed = docs.select("*", F.col("doc_id").cast("long").alias(f"{of}_"), key.alias(f"{text}_"))
     kept = keyed.join(
-        chosen, keyed["doc_id"].cast("long").eqNullSafe(F.col("_id"))
-        & (F.col("_words") == F.col("_key")), "left_semi")
-    several = keyed.groupBy("doc_id", "_words").agg(F.count("*").alias("n")).where("n > 1")
+        chosen, F.col(f"{of}_").eqNullSafe(F.col(of)) & (F.col(f"{text}_") == F.col(text)), "left_semi")
+    several = prints.groupBy("doc_id", "key").agg(F.count("*").alias("n")).where("n > 1")
     if not several.isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_words"])
-    return kept.drop("_words")
+        # Combined in the tasks first, so many copies of one row are no heavy group.
+        kept = kept.dropDuplicates([f"{of}_", f"{text}_"])
+    return kept.select(docs.columns)

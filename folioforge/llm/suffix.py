@@ -412,25 +412,27 @@ def kept(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[i:j] for i, j in zip(ends, begins))
 
 
-def _with_spans(docs: DataFrame, width: int) -> DataFrame:
+def _with_spans(docs: DataFrame, width: int) -> tuple[DataFrame, str]:
+    """``docs`` and the name of a column with the spans of each text."""
     found = repeated_spans(docs, width)
     text = F.coalesce(F.col("text"), F.lit(""))
-    keys = [c.alias(f"_{name}") for c, name in zip(digest(text), ("d1", "d2"))]
-    found = found.select(F.col("d1").alias("_of1"), F.col("d2").alias("_of2"),
-                         F.col("spans").alias("_spans"))
+    d1, d2, of1, of2, spans = common.unused(docs, "d1", "d2", "of_d1", "of_d2", "spans")
+    found = found.select(F.col("d1").alias(of1), F.col("d2").alias(of2), F.col("spans").alias(spans))
     # A text with very many copies is split by adaptive execution.
-    return docs.select("*", *keys).join(
-        found, (F.col("_d1") == F.col("_of1")) & (F.col("_d2") == F.col("_of2")), "left"
-    ).drop("_d1", "_d2", "_of1", "_of2")
+    keyed = docs.select("*", *(c.alias(name) for c, name in zip(digest(text), (d1, d2))))
+    joined = keyed.join(found, (F.col(d1) == F.col(of1)) & (F.col(d2) == F.col(of2)), "left")
+    return joined.drop(d1, d2, of1, of2), spans
 
 
 def summaries(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
 
+    joined, name = _with_spans(common.documents(docs), width)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for text, spans in zip(common.texts(batch), common.texts(batch, "_spans")):
+            for text, spans in zip(common.texts(batch), common.texts(batch, name)):
                 raw, gone = text.encode(), merged(spans)
                 rest = kept(raw, gone)
                 out.append((len(raw), len(raw) - len(rest), len(gone),
@@ -442,7 +444,7 @@ def summaries(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                  *(pa.array(c, kind) for c, kind in zip(columns, kinds))],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _with_spans(common.documents(docs), width).mapInArrow(
+    return joined.mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -459,9 +461,9 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             kept(text.encode(), merged(json.loads(found))).decode(errors="ignore")
             for text, found in zip(texts, spans)], dtype="object")
 
-    joined = _with_spans(docs, width)
-    rest = joined.withColumn("text", cut("text", F.to_json("_spans")))
+    joined, spans = _with_spans(docs, width)
+    rest = joined.withColumn("text", cut("text", F.to_json(spans)))
     if "n_chars" in docs.columns:
-        n = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        n = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text"))
         rest = rest.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
     return rest.select(docs.columns)

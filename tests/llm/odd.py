@@ -11,7 +11,9 @@ SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
     # Names that operators use inside.
     "slot string, bits string, key string, d1 string, start string, part string, ids string, "
-    "score string, label string, spans string, path string, root string, node string"
+    "score string, label string, spans string, path string, root string, node string, "
+    "own string, up string, license string, _id string, _key string, _spans string, _d1 string, "
+    "dirty_key string, of_id string, of_text string, word string, n string"
 )
 
 
@@ -30,7 +32,7 @@ def odd_rows() -> list[tuple]:
     ]
     rows = [(i, t, "en", "src0", None) for i, t in enumerate(texts)]
     rows += [(None, base, None, None, 3), (None, None, None, None, None), rows[7], rows[7], rows[11]]
-    return [row + ("x",) * 13 for row in rows]
+    return [row + ("x",) * 25 for row in rows]
 
 
 def odd_documents(spark):
@@ -41,11 +43,6 @@ def no_documents(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def shingles(text: str, size: int = 5) -> set:
-    words = text.lower().split()
-    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
-
-
 def rows_of(df) -> list[tuple]:
     return [tuple(r) for r in df.collect()]
 

@@ -11,9 +11,10 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from folioforge.llm import ann, common, licenses, quality, queries, sharding, urlfilter
-from odd import SMALL, no_documents, odd_documents, odd_rows, shingles, sql_table
+from folioforge.llm import ann, common, decontaminate, licenses, quality, queries, sharding, urlfilter
+from odd import SMALL, no_documents, odd_documents, odd_rows, sql_table
 from pyspark.sql import functions as F
+from test_similarity import covered, first_of_groups
 
 # --- sharding ------------------------------------------------------------------------------
 
@@ -234,6 +235,10 @@ def test_ties_blocks_and_odd_vectors(spark, monkeypatch):
 # --- pipeline ------------------------------------------------------------------------------
 
 
+def texts_frame(spark, texts):
+    return spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+
+
 def test_pipeline_stages(spark):
     docs = common.table(spark, SMALL, "documents")
     columns, kept = docs.columns, docs
@@ -245,12 +250,14 @@ def test_pipeline_stages(spark):
     good, single, cut, clean = texts
     scores = {r.doc_id: r.predicted for r in queries.op3_quality(spark, SMALL).collect()}
     assert set(good) == {i for i, p in scores.items() if p}
-    # All that went has a similar text among what stayed, all that stayed differ.
-    sets = {i: shingles(t or "") for i, t in good.items()}
-    for i in set(good) - set(single):
-        assert any(len(sets[i] & sets[j]) >= 0.6 * len(sets[i] | sets[j]) for j in single)
-    words = [" ".join(t.lower().split()) for t in single.values()]
-    assert len(words) == len(set(words))
+    # One of each group of near copies stays: the smallest id.
+    assert [(False, i) for i in sorted(single)] == first_of_groups(list(good.items()))
+    # What is cut is covered by strings that repeat; a character cut apart goes whole.
+    raws = [(t or "").encode() for t in single.values()]
+    for (i, raw), mask in zip(zip(single, raws), covered(raws, corpus_pipeline.REPEAT_BYTES)):
+        assert (cut[i] or "") == np.frombuffer(raw, np.uint8)[~mask].tobytes().decode(errors="ignore")
+    found = decontaminate.overlaps(texts_frame(spark, cut), common.table(spark, SMALL, "benchmark"))
+    assert set(cut) - set(clean) == {r.doc_id for r in found.collect()}
     assert set(cut) == set(single) and set(clean) <= set(cut)
     packed = corpus_pipeline.STAGES[-1][1](spark, kept, SMALL)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(clean)
