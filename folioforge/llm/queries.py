@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    ann, common, decontaminate, licenses, packing, quality, sharding, simhash, suffix, tokenfile,
-    urlfilter,
+    ann, common, decontaminate, licenses, packing, quality, runs, sharding, simhash, suffix,
+    tokenfile, urlfilter,
 )
 
 QUERY_EVERY = 20
@@ -70,11 +70,16 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(docs)
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.periodic_runs(common.table(spark, folder, "documents"), prepare=runs.planted)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_shard_documents, op2_pack_documents, op3_quality, op4_decontaminate, op5_simhash,
         op6_suffix_dedup, op7_url_filter, op8_token_file, op9_nearest, op10_license_scan,
+        op12_periodic_runs,
     )
 }
 
