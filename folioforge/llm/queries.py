@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    ann, common, decontaminate, licenses, packing, quality, runs, sharding, simhash, suffix,
-    tokenfile, urlfilter,
+    ann, common, decontaminate, licenses, packing, quality, runs, sharding, simhash, spelling,
+    suffix, tokenfile, urlfilter,
 )
 
 QUERY_EVERY = 20
@@ -70,6 +70,10 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(docs)
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(common.table(spark, folder, "documents"), prepare=spelling.misspelt)
+
+
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.periodic_runs(common.table(spark, folder, "documents"), prepare=runs.planted)
 
@@ -79,7 +83,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_shard_documents, op2_pack_documents, op3_quality, op4_decontaminate, op5_simhash,
         op6_suffix_dedup, op7_url_filter, op8_token_file, op9_nearest, op10_license_scan,
-        op12_periodic_runs,
+        op11_spelling_variants, op12_periodic_runs,
     )
 }
 
@@ -179,4 +183,53 @@ LEFT JOIN nearest ON dir = regexp_extract(files.path, '^(.*)/[^/]*$', 1)
 """
 
 
-ORACLE: dict[str, str] = {"op7_url_filter": URL_SQL, "op10_license_scan": _license_sql()}
+# The checksum is worked out byte by byte from its table; words one edit apart meet in what a
+# deleted character leaves.
+SPELLING_SQL = """
+WITH RECURSIVE table_ AS (
+  SELECT list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda c, z:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, xor(list_reduce([4294967295::BIGINT] || list_transform(
+      range(strlen(doc_id || ':' || run)),
+      lambda k: ('0x' || substr(hex(encode(doc_id || ':' || run)), 2 * k + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM runs CROSS JOIN table_
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                ELSE run END AS word, n
+    FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), less AS (
+  SELECT word, at, substr(word, 1, at - 1) || substr(word, at + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS at FROM words)
+), near AS (
+  SELECT a.word, b.word AS other FROM less a JOIN less b
+    ON a.at = b.at AND a.rest = b.rest AND a.word != b.word
+  UNION SELECT rest, less.word FROM less JOIN words ON rest = words.word
+  UNION SELECT less.word, rest FROM less JOIN words ON rest = words.word
+), best AS (
+  SELECT near.word, count(*) AS n_near, max(o.n) AS form_n,
+         arg_min(o.word, (-o.n, o.word)) AS form
+  FROM near JOIN words o ON o.word = other GROUP BY near.word
+), forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN form_n >= 2 * words.n THEN form END AS form,
+         CASE WHEN form_n >= 2 * words.n THEN form_n END AS form_n
+  FROM words LEFT JOIN best ON best.word = words.word
+), chains AS (
+  SELECT word, word AS root FROM forms WHERE form IS NULL
+  UNION ALL SELECT forms.word, root FROM forms JOIN chains ON form = chains.word
+)
+SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN chains ON chains.word = forms.word
+"""
+
+
+ORACLE: dict[str, str] = {"op11_spelling_variants": SPELLING_SQL, "op7_url_filter": URL_SQL, "op10_license_scan": _license_sql()}
