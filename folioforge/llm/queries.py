@@ -208,11 +208,11 @@ WITH RECURSIVE table_ AS (
     FROM hashed)
   WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
 ), less AS (
-  SELECT word, at, substr(word, 1, at - 1) || substr(word, at + 1) AS rest
-  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS at FROM words)
+  SELECT word, place, substr(word, 1, place - 1) || substr(word, place + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS place FROM words)
 ), near AS (
   SELECT a.word, b.word AS other FROM less a JOIN less b
-    ON a.at = b.at AND a.rest = b.rest AND a.word != b.word
+    ON a.place = b.place AND a.rest = b.rest AND a.word != b.word
   UNION SELECT rest, less.word FROM less JOIN words ON rest = words.word
   UNION SELECT less.word, rest FROM less JOIN words ON rest = words.word
 ), best AS (
