@@ -20,8 +20,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.one_per_group(docs)
+    """One document of each group of near copies: four-word shingles, at most four differing bits."""
+    return simhash.one_per_group(docs, shingle=4, radius=4)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
