@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    ann, common, decontaminate, licenses, packing, quality, runs, sharding, simhash, spelling,
+    ann, common, decontaminate, licenses, lm, packing, quality, runs, sharding, simhash, spelling,
     suffix, tokenfile, urlfilter,
 )
 
@@ -78,12 +78,16 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.periodic_runs(common.table(spark, folder, "documents"), prepare=runs.planted)
 
 
+def op13_likelihoods(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.log_likelihoods(common.table(spark, folder, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_shard_documents, op2_pack_documents, op3_quality, op4_decontaminate, op5_simhash,
         op6_suffix_dedup, op7_url_filter, op8_token_file, op9_nearest, op10_license_scan,
-        op11_spelling_variants, op12_periodic_runs,
+        op11_spelling_variants, op12_periodic_runs, op13_likelihoods,
     )
 }
 
