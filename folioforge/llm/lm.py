@@ -25,6 +25,7 @@ other columns may have any name.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -43,18 +44,18 @@ END = b""
 FOLDS, HELD_FOLD = 7, 2
 
 #: Words whose counts go to every task, and words the model has of its own.
-KNOWN = 65_536
-WORDS = 4096
+KNOWN = 1 << 18
+WORDS = 2048
 TAILS = 64
-CLASSES = 32
-EMBEDDING, HIDDEN = 24, 32
+CLASSES = 24
+EMBEDDING, HIDDEN = 16, 24
 ROUNDS = 4
 #: Tokens that one task trains on in a round.
 TASK_TOKENS = 2_000_000
-STEPS, LANES = 16, 64
+STEPS, LANES = 16, 256
 LONGEST = 1024
-SCORE_STEPS, SCORE_LANES = 32, 256
-RATE = 0.08
+SCORE_STEPS, SCORE_LANES = 32, 512
+RATE = 0.15
 FIRST = 1e-4
 CLIP = 1.0
 SEED = 13
@@ -175,44 +176,51 @@ def untrained(known: Vocabulary) -> Model:
     return model
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
-def unroll(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray):
+def unroll(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray,
+           way_back: bool = False):
     """States after each of the (step, lane) ``inputs``; ``keep`` is 0 where a document begins.
 
-    Also gives what the way back needs: gates, candidates, and the states before each step.
+    With ``way_back`` also gates, candidates and the states before each step, else none.
     """
     parts = model.parts
     steps, lanes = inputs.shape
     given = (parts["embedding"][inputs.reshape(-1)] @ parts["inner"] + parts["gates"]).reshape(
         steps, lanes, -1)
-    before = np.empty((steps, lanes, HIDDEN), np.float32)
-    states = np.empty_like(before)
-    gates = np.empty((steps, lanes, 2 * HIDDEN), np.float32)
-    inner = np.empty_like(before)
-    candidates = np.empty_like(before)
+    states = np.empty((steps, lanes, HIDDEN), given.dtype)
+    begins = (keep == 0).any(axis=1).tolist()
+    stored = [], [], [], []
     for t in range(steps):
-        h = state if keep[t].all() else state * keep[t][:, None]
-        before[t] = h
+        h = state * keep[t][:, None] if begins[t] else state
         a = h @ parts["state"]
-        g = sigmoid(given[t, :, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])
-        inner[t] = a[:, 2 * HIDDEN :]
-        n = np.tanh(given[t, :, 2 * HIDDEN :] + g[:, HIDDEN:] * inner[t])
-        state = n + g[:, :HIDDEN] * (h - n)
-        gates[t], candidates[t], states[t] = g, n, state
-    return states, (before, gates, inner, candidates)
-
-
-def _softmax(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log of the target's probability, all probabilities)."""
+        # The logistic function, as a hyperbolic tangent.
+        g = given[t, :, : 2 * HIDDEN] + a[:, : 2 * HIDDEN]
+        g *= 0.5
+        np.tanh(g, out=g)
+        g += 1
+        g *= 0.5
+        n = g[:, HIDDEN:] * a[:, 2 * HIDDEN :]
+        n += given[t, :, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        state = states[t]
+        np.subtract(h, n, out=state)
+        state *= g[:, :HIDDEN]
+        state += n
+        if way_back:
+            for column, value in zip(stored, (h, g, a[:, 2 * HIDDEN :], n)):
+                column.append(value)
+    return states, tuple(np.stack(column) for column in stored) if way_back else None
+
+
+def _softmax(
+    logits: np.ndarray, target: np.ndarray, whole: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
+    """(log of the target's probability, all probabilities if ``whole``)."""
     logits -= logits.max(axis=1, keepdims=True)
-    rows = np.arange(len(target))
-    chosen = logits[rows, target]
+    chosen = logits[np.arange(len(target)), target]
     np.exp(logits, out=logits)
     total = logits.sum(axis=1)
-    logits /= total[:, None]
+    if whole:
+        logits /= total[:, None]
     return chosen - np.log(total), logits
 
 
@@ -229,12 +237,13 @@ def by_class(model: Model, target: np.ndarray) -> Iterator[tuple[int, int, np.nd
 def log_probabilities(model: Model, states: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural logs of the targets' probabilities after the states, one row each."""
     parts = model.parts
-    found, _ = _softmax(states @ parts["class_weights"] + parts["class_bias"], model.class_of[target])
+    found, _ = _softmax(states @ parts["class_weights"] + parts["class_bias"],
+                        model.class_of[target], whole=False)
     found = found.astype(np.float64)
     for low, high, rows in by_class(model, target):
         if high - low > 1:
             logits = states[rows] @ parts["word_weights"][low:high].T + parts["word_bias"][low:high]
-            found[rows] += _softmax(logits, target[rows] - low)[0]
+            found[rows] += _softmax(logits, target[rows] - low, whole=False)[0]
     return found
 
 
@@ -246,7 +255,7 @@ def gradients(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndar
     """
     parts = model.parts
     steps, lanes = inputs.shape
-    states, (before, gates, inner, candidates) = unroll(model, inputs, keep, state)
+    states, (before, gates, inner, candidates) = unroll(model, inputs, keep, state, True)
     at = np.flatnonzero(wanted.reshape(-1))
     h, aim = states.reshape(-1, HIDDEN)[at], target.reshape(-1)[at]
     scale = np.float32(1 / max(1, len(at)))
@@ -268,25 +277,33 @@ def gradients(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndar
             p *= scale
             back[rows] += p @ weights
             words.append((low, high, p.T @ some, p.sum(axis=0)))
-    outer = np.zeros((steps * lanes, HIDDEN), np.float32)
+    outer = np.zeros((steps * lanes, HIDDEN), h.dtype)
     outer[at] = back
     outer = outer.reshape(steps, lanes, HIDDEN)
-    given = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
+    # What each step multiplies its slope with, for all steps at once.
+    z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+    to_candidate = (1 - z) * (1 - candidates * candidates)
+    to_update = (before - candidates) * z * (1 - z)
+    to_reset = inner * r * (1 - r)
+    given = np.empty((steps, lanes, 3 * HIDDEN), h.dtype)
+    later = np.zeros((lanes, HIDDEN), h.dtype)
     carried = np.empty_like(given)
-    later = np.zeros((lanes, HIDDEN), np.float32)
+    back_state = np.ascontiguousarray(parts["state"].T)
+    begins = (keep == 0).any(axis=1).tolist()
     for t in range(steps - 1, -1, -1):
         dh = outer[t] + later
-        z, r = gates[t, :, :HIDDEN], gates[t, :, HIDDEN:]
-        n = candidates[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        row, own = given[t], carried[t]
-        row[:, :HIDDEN] = dh * (before[t] - n) * z * (1 - z)
-        row[:, HIDDEN : 2 * HIDDEN] = dn * inner[t] * r * (1 - r)
+        row = given[t]
+        dn = dh * to_candidate[t]
+        np.multiply(dh, to_update[t], out=row[:, :HIDDEN])
+        np.multiply(dn, to_reset[t], out=row[:, HIDDEN : 2 * HIDDEN])
         row[:, 2 * HIDDEN :] = dn
+        own = carried[t]
         own[:] = row
-        own[:, 2 * HIDDEN :] *= r
-        later = dh * z + own @ parts["state"].T
-        if not keep[t].all():
+        own[:, 2 * HIDDEN :] *= r[t]
+        later = own @ back_state
+        dh *= z[t]
+        later += dh
+        if begins[t]:
             later *= keep[t][:, None]
     flat = given.reshape(-1, 3 * HIDDEN)
     slopes["state"] = before.reshape(-1, HIDDEN).T @ carried.reshape(-1, 3 * HIDDEN)
@@ -392,38 +409,38 @@ def score_texts(model: Model, texts: list[np.ndarray], end: int) -> np.ndarray:
     lanes = min(SCORE_LANES, len(texts))
     own: list[list[int]] = [[] for _ in range(lanes)]
     load = [(0, lane) for lane in range(lanes)]
-    import heapq
-
     for i in by_length:
         size, lane = load[0]
         own[lane].append(i)
         heapq.heapreplace(load, (size + len(texts[i]), lane))
     own.sort(key=lambda some: -sum(len(texts[i]) for i in some))
-    sizes = [sum(len(texts[i]) for i in some) for some in own]
-    rows = [np.concatenate([texts[i] for i in some]) for some in own]
-    who = [np.repeat(some, [len(texts[i]) for i in some]) for some in own]
-    starts = [np.cumsum([0, *(len(texts[i]) for i in some[:-1])]) for some in own]
+    order = [i for some in own for i in some]
+    if not order:
+        return scores
+    # All lanes one behind the other; lane by lane its begin and size, the largest first.
+    places = np.concatenate([texts[i] for i in order])
+    lengths = np.array([len(texts[i]) for i in order])
+    who = np.repeat(order, lengths)
+    fresh = np.zeros(len(places) + 1, bool)
+    fresh[np.cumsum(lengths) - lengths] = True
+    sizes = np.array([sum(len(texts[i]) for i in some) for some in own])
+    begins = np.cumsum(sizes) - sizes
     state = np.zeros((lanes, HIDDEN), np.float32)
     last = np.full(lanes, end, np.int64)
-    for at in range(0, max(sizes, default=0), SCORE_STEPS):
-        n = sum(size > at for size in sizes)  # the lanes that are left come first
-        target = np.full((SCORE_STEPS, n), end, np.int64)
-        text = np.full((SCORE_STEPS, n), -1, np.int64)
-        keep = np.ones((SCORE_STEPS, n), np.float32)
-        for lane in range(n):
-            part = rows[lane][at : at + SCORE_STEPS]
-            target[: len(part), lane] = part
-            text[: len(part), lane] = who[lane][at : at + SCORE_STEPS]
-            begins = starts[lane]
-            low, high = np.searchsorted(begins, (at, at + SCORE_STEPS))
-            keep[begins[low:high] - at, lane] = 0
+    step = np.arange(SCORE_STEPS)[:, None]
+    for at in range(0, int(sizes.max()), SCORE_STEPS):
+        n = int((sizes > at).sum())  # the lanes that are left come first
+        real = at + step < sizes[:n]
+        index = np.where(real, begins[:n] + at + step, 0)
+        target = np.where(real, places[index], end)
+        keep = 1 - (fresh[index] & real).astype(np.float32)
         inputs = np.vstack([last[None, :n], target[:-1]])
         inputs[keep == 0] = end
         states, _ = unroll(model, inputs, keep, state[:n])
-        real = np.flatnonzero(text.reshape(-1) >= 0)
+        chosen = np.flatnonzero(real.reshape(-1))
         logs = log_probabilities(
-            model, states.reshape(-1, HIDDEN)[real], target.reshape(-1)[real])
-        scores += np.bincount(text.reshape(-1)[real], logs, len(texts))
+            model, states.reshape(-1, HIDDEN)[chosen], target.reshape(-1)[chosen])
+        scores += np.bincount(who[index.reshape(-1)[chosen]], logs, len(texts))
         state, last = states[-1], target[-1]
     return scores
 
@@ -517,27 +534,62 @@ def _averaged(copies: DataFrame) -> np.ndarray:
     return whole / np.float32(blocks[0].tokens)
 
 
-def train(raw: DataFrame, known: Vocabulary, rounds: int = ROUNDS,
-          task_tokens: int = TASK_TOKENS) -> Model:
-    """A model fitted to (doc_id, raw) documents, each of which is used in one round."""
-    spark = raw.sparkSession
-    shared = spark.sparkContext.broadcast(known)  # of a fixed size
-    end = int(known.entry[known.words.index(END)])
+CODED = (
+    "row long, doc_id long, held_out boolean, n_tokens long, n_known long, known_base double, "
+    "rest double, places binary, tail_words array<binary>, tail_n array<int>"
+)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+
+def coded_documents(raw: DataFrame, known: Vocabulary) -> DataFrame:
+    """Documents as places in the model, the sums of what the tasks know, and words they do not.
+
+    ``known_base`` sums the logs of the known words' counts, ``rest`` what the words that are not
+    the model's own have within their groups, but for the words the tasks do not know.
+    """
+    shared = raw.sparkSession.sparkContext.broadcast(known)  # of a fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        encoder = Encoder(known)
+        logs = np.log10(known.counts + 1.0)
+        seen = known.counts > 0
+        sizes = np.zeros(len(known.entry))
+        sizes[encoder.groups] = np.log10(known.tails.sum(axis=1) + 1.0)
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            found = [encoder.encode(text)[1].astype("<u2") for text in common.texts(batch, "raw")]
+            out: list[list] = [[] for _ in range(8)]
+            for text in common.texts(batch, "raw"):
+                codes, places, unknown = encoder.encode(text)
+                inside = codes[codes >= 0]
+                tail = Counter(unknown)
+                values = (
+                    row, len(codes), int(seen[inside].sum()), float(logs[inside].sum()),
+                    float(logs[inside[inside >= known.own]].sum() - sizes[places].sum()),
+                    places.astype("<u2").tobytes(), list(tail.keys()), list(tail.values()))
+                for column, value in zip(out, values):
+                    column.append(value)
+                row += 1
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(),
+                     pa.list_(pa.binary()), pa.list_(pa.int32())]
+            first, *rest = (pa.array(column, kind) for column, kind in zip(out, types))
             yield pa.RecordBatch.from_arrays(
-                [common.column(batch, "key"), pa.array([len(x) for x in found], pa.int64()),
-                 pa.array([x.tobytes() for x in found], pa.binary())], ["key", "tokens", "places"])
-
-    # Equal documents have equal keys and places, so their order makes no difference.
-    keyed = raw.select(F.xxhash64("doc_id", "raw").alias("key"), "raw")
-    encoded = common.materialize(
-        keyed.mapInArrow(encode, "key long, tokens long, places binary").withColumn(
-            "round", F.pmod("key", F.lit(rounds)).cast("int")), "encoded")
-    sizes = {r.round: r.n for r in encoded.groupBy("round").agg(F.sum("tokens").alias("n")).collect()}
+                [first, common.column(batch, "doc_id"), common.column(batch, "held_out"), *rest],
+                ["row", "doc_id", "held_out", "n_tokens", "n_known", "known_base", "rest", "places",
+                 "tail_words", "tail_n"])
+
+    return raw.mapInArrow(run, CODED)
+
+
+def train(coded: DataFrame, known: Vocabulary, rounds: int = ROUNDS,
+          task_tokens: int = TASK_TOKENS) -> Model:
+    """A model fitted to all coded documents that are not held out, each used in one round."""
+    spark = coded.sparkSession
+    end = int(known.entry[known.words.index(END)])
+    # Documents of equal keys are equal, so their order makes no difference.
+    key = F.xxhash64("doc_id", "places")
+    training = coded.where(~F.col("held_out")).select(
+        key.alias("key"), "n_tokens", "places", F.pmod(key, F.lit(rounds)).cast("int").alias("round"))
+    sizes = {r.round: r.n for r in training.groupBy("round").agg(F.sum("n_tokens").alias("n")).collect()}
     model = untrained(known)
     seen = Model(np.full(len(model.numbers), FIRST, np.float32), model.limits)
     for number in sorted(sizes):
@@ -558,7 +610,7 @@ def train(raw: DataFrame, known: Vocabulary, rounds: int = ROUNDS,
                 ["task", "block", "tokens", "numbers"])
 
         tasks = -(-sizes[number] // task_tokens)
-        dealt = encoded.where(F.col("round") == number).repartition(tasks, "key")
+        dealt = training.where(F.col("round") == number).repartition(tasks, "key")
         copies = dealt.sortWithinPartitions("key").select("places").mapInArrow(
             fit, "task long, block long, tokens long, numbers binary")
         numbers = _averaged(copies)
@@ -568,51 +620,20 @@ def train(raw: DataFrame, known: Vocabulary, rounds: int = ROUNDS,
     return model
 
 
-SCORED = (
-    "row long, doc_id long, held_out boolean, n_tokens long, n_known long, known_base double, "
-    "score double, tail_words array<binary>, tail_n array<int>"
-)
-
-
-def _scored(raw: DataFrame, known: Vocabulary, model: Model) -> DataFrame:
-    """Documents with the sums of what the tasks know, and the words whose counts they lack."""
-    spark = raw.sparkSession
-    shared = spark.sparkContext.broadcast((known, model.numbers, model.limits))  # of a fixed size
+def _scored(coded: DataFrame, known: Vocabulary, model: Model) -> DataFrame:
+    """(row, model_score): log10 probabilities of the documents' places."""
+    shared = coded.sparkSession.sparkContext.broadcast((model.numbers, model.limits))
     end = int(known.entry[known.words.index(END)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, numbers, limits = shared.value
-        encoder, model = Encoder(known), Model(numbers, limits)
-        logs = np.log10(known.counts + 1.0)
-        seen = known.counts > 0
-        # Within a group of words that are not the model's own: log of its size.
-        sizes = np.zeros(int(limits[-1]))
-        sizes[encoder.groups] = np.log10(known.tails.sum(axis=1) + 1.0)
-        row = TaskContext.get().partitionId() << 40
+        model = Model(*shared.value)
         for batch in batches:
-            coded = [encoder.encode(text) for text in common.texts(batch, "raw")]
-            scores = score_texts(model, [places for _, places, _ in coded], end) / np.log(10)
-            out: list[list] = [[] for _ in range(7)]
-            for i, (codes, places, unknown) in enumerate(coded):
-                inside = codes[codes >= 0]
-                others = inside[inside >= known.own]
-                tail = Counter(unknown)
-                values = (
-                    row + i, len(codes), int(seen[inside].sum()), float(logs[inside].sum()),
-                    float(scores[i] + logs[others].sum() - sizes[places].sum()),
-                    list(tail.keys()), list(tail.values()))
-                for column, value in zip(out, values):
-                    column.append(value)
-            row += len(coded)
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.list_(pa.binary()), pa.list_(pa.int32())]
-            a, *rest = (pa.array(column, kind) for column, kind in zip(out, types))
+            texts = [np.frombuffer(x, "<u2").astype(np.int64) for x in common.texts(batch, "places")]
+            scores = score_texts(model, texts, end) / np.log(10)
             yield pa.RecordBatch.from_arrays(
-                [a, common.column(batch, "doc_id"), common.column(batch, "held_out"), *rest],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "known_base", "score",
-                 "tail_words", "tail_n"])
+                [common.column(batch, "row"), pa.array(scores)], ["row", "model_score"])
 
-    return raw.mapInArrow(run, SCORED)
+    return coded.select("row", "places").mapInArrow(run, "row long, model_score double")
 
 
 def log_likelihoods(docs: DataFrame, known: int = KNOWN, own: int = WORDS, rounds: int = ROUNDS,
@@ -623,19 +644,19 @@ def log_likelihoods(docs: DataFrame, known: int = KNOWN, own: int = WORDS, round
     """
     common.python_batches(docs.sparkSession)
     raw = _raw(docs)
-    training = raw.where(~F.col("held_out")).select("doc_id", "raw")
-    counts = common.materialize(token_counts(training), "token-counts")
+    counts = common.materialize(token_counts(raw.where(~F.col("held_out"))), "token-counts")
     words = learn_vocabulary(counts, known, own)
-    model = train(training, words, rounds, task_tokens)
-    scored = common.materialize(_scored(raw, words, model), "scored")
+    coded = common.materialize(coded_documents(raw, words), "coded")
+    model = train(coded, words, rounds, task_tokens)
     # Unknown words are rarer than all known ones, so no word is common but one unseen in training.
-    tail = scored.select("row", F.inline(F.arrays_zip("tail_words", "tail_n"))).select(
+    tail = coded.select("row", F.inline(F.arrays_zip("tail_words", "tail_n"))).select(
         "row", F.col("tail_words").alias("word"), F.col("tail_n").alias("times"))
     joined = tail.join(counts, "word", "left")
     sums = joined.groupBy("row").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("more"))
-    whole = scored.drop("tail_words", "tail_n").join(sums, "row", "left")
+    whole = coded.drop("places", "tail_words", "tail_n").join(_scored(coded, words, model), "row").join(
+        sums, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     size = float(np.log10(words.tokens + words.different + 1.0))
     return whole.select(
@@ -643,4 +664,4 @@ def log_likelihoods(docs: DataFrame, known: int = KNOWN, own: int = WORDS, round
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(words.tokens).cast("long").alias("train_tokens"),
         (F.col("known_base") + more - F.col("n_tokens") * size).alias("base_score"),
-        (F.col("score") + more).alias("score"))
+        (F.col("model_score") + F.col("rest") + more).alias("score"))
