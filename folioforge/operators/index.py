@@ -14,14 +14,12 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import field_terms, positioned_terms, term_runs
 from ..sources.documents_json import KEY_FIELDS, flat_names
-from ..sources.store import path_exists
+from ..sources.tables import input_bytes
 from .skew import hot_join
 
 BUCKETS, MAX_BUCKETS = 16, 4096
 BUCKET_BYTES = 1 << 30
 TASK_BYTES = 256 << 20
-# Spark's estimate where it knows nothing is about this or more.
-UNKNOWN_BYTES = 1 << 60
 LOG_BASE = 10.0
 
 
@@ -115,13 +113,6 @@ def term_bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the files ``df`` reads; inputs of unknown size count as empty."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return sum(size for size in sizes if size < UNKNOWN_BYTES)
-
-
 def bucket_count(df: DataFrame) -> int:
     """Term buckets for an index of ``df``: one per ``BUCKET_BYTES`` of input, within bounds."""
     return min(MAX_BUCKETS, max(BUCKETS, input_bytes(df) // BUCKET_BYTES))
@@ -147,6 +138,12 @@ def _write_postings(postings: DataFrame, path: str, buckets: int) -> None:
     )
 
 
+def _write_dictionary(counted: DataFrame, path: str) -> None:
+    """Counts per term in folders by term bucket, sorted by term inside each file."""
+    counted.repartition("bucket").sortWithinPartitions("bucket", "term").write.partitionBy(
+        "bucket").option("compression", "zstd").mode("overwrite").parquet(path)
+
+
 def _write_layout(spark: SparkSession, path: str, buckets: int) -> None:
     layout = spark.createDataFrame([(buckets,)], LAYOUT)
     layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
@@ -158,8 +155,9 @@ def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
     buckets = buckets or bucket_count(docs)
     _write_layout(spark, path, buckets)
     _write_postings(index_postings(docs), f"{path}/postings", buckets)
-    written = spark.read.parquet(f"{path}/postings")
-    document_frequencies(written).write.mode("overwrite").parquet(f"{path}/dictionary")
+    written = spark.read.schema(POSITIONAL["postings"]).parquet(f"{path}/postings")
+    counted = written.groupBy("bucket", "term").agg(F.count("*").alias("df"))
+    _write_dictionary(counted, f"{path}/dictionary")
     # Written last: its presence marks the index as complete.
     docs.agg(F.count("*").alias("n_docs")).write.mode("overwrite").parquet(f"{path}/stats")
 
@@ -170,10 +168,9 @@ def build_field_index(docs: DataFrame, path: str, buckets: int | None = None) ->
     buckets = buckets or bucket_count(docs)
     _write_layout(spark, path, buckets)
     _write_postings(field_postings(docs), f"{path}/postings", buckets)
-    written = spark.read.parquet(f"{path}/postings")
-    written.groupBy("field", "term").agg(F.count("*").alias("df")).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/dictionary")
+    written = spark.read.schema(FIELDED["postings"]).parquet(f"{path}/postings")
+    counted = written.groupBy("bucket", "field", "term").agg(F.count("*").alias("df"))
+    _write_dictionary(counted, f"{path}/dictionary")
     field_statistics(written).write.mode("overwrite").parquet(f"{path}/stats")
 
 
@@ -182,22 +179,17 @@ LAYOUT = "buckets int"
 # Schemas of the tables of an index; stating them saves a look into the files.
 POSITIONAL = {
     "postings": "doc_id bigint, term string, tf bigint, pos_list array<int>, bucket int",
-    "dictionary": "term string, df bigint",
+    "dictionary": "term string, df bigint, bucket int",
     "stats": "n_docs bigint",
 }
 FIELDED = {
     "postings": "doc_id string, field string, term string, tf bigint, field_len bigint, "
     "leads boolean, bucket int",
-    "dictionary": "field string, term string, df bigint",
+    "dictionary": "field string, term string, df bigint, bucket int",
     "stats": "field string, n_docs bigint, total_len bigint",
 }
 
 
-def index_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the last table of an index has been written completely."""
-    return path_exists(spark, f"{path}/stats/_SUCCESS")
-
-
 def open_index(
     spark: SparkSession, path: str, schemas: dict[str, str], buckets: int | None = None
 ) -> Index:

@@ -9,13 +9,16 @@ whole posting list anyway, read it out, salted.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import query as grammar
 from ..functions.terms import TERM, field_terms, term_runs
 from ..functions.text import words
-from ..session import materialize
+from ..session import counted, materialize
+from ..sources import store
 from .index import Index, idf, term_bucket
 from .skew import hot_join, number_rows, salted_join, top_per_group
 from .stage import compute_once
@@ -77,13 +80,12 @@ def asked_lists(lists: DataFrame, wanted: DataFrame, item: list[str]) -> DataFra
     terms is pushed to the files, which are sorted by term; a larger one is broadcast while
     its size allows, and joined beyond it.
     """
-    items = materialize(wanted.select(*item).distinct(), "items")
-    n = items.count()
-    if "bucket" in item:
-        buckets = [r[0] for r in items.select("bucket").distinct().collect()]
-        lists = lists.where(F.col("bucket").isin(buckets))
-    if "term" in item and n <= PUSHED_TERMS:
-        lists = lists.where(F.col("term").isin([r[0] for r in items.select("term").collect()]))
+    items, n = counted(wanted.select(*item).distinct(), "items")
+    exact = [c for c in ("bucket", "term") if c in item and (c == "bucket" or n <= PUSHED_TERMS)]
+    if exact:
+        rows = items.select(*exact).distinct().collect()
+        for c in exact:
+            lists = lists.where(F.col(c).isin(sorted({r[c] for r in rows})))
     return lists.join(F.broadcast(items) if n <= BROADCAST_IDS else items, item, "left_semi")
 
 
@@ -154,9 +156,12 @@ def known_terms(queries: DataFrame, index: Index) -> DataFrame:
     The weight is the idf of the term times its count in the query.
     """
     n_docs = index.stats.select("n_docs").scalar()
-    known = free_terms(queries).join(index.dictionary, "term")
+    asked = materialize(
+        free_terms(queries).withColumn("bucket", term_bucket(index.buckets)), "asked-terms")
+    item = ["bucket", "term"]
+    known = asked.join(asked_lists(index.dictionary, asked, item), item)
     return known.select(
-        "query_id", term_bucket(index.buckets).alias("bucket"), "term",
+        "query_id", "bucket", "term",
         F.col("df").alias("rarity"), (F.col("qtf") * idf(n_docs, F.col("df"))).alias("weight"),
     )
 
@@ -188,9 +193,8 @@ def rank_ascending(hits: DataFrame) -> DataFrame:
 
 def matching_documents(hits: DataFrame, docs: DataFrame) -> DataFrame:
     """The documents that are hit, found where they are stored while their ids are few."""
-    ids = materialize(hits.select("doc_id").distinct(), "hit-ids")
-    few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    ids, n = counted(hits.select("doc_id").distinct(), "hit-ids")
+    return docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_semi")
 
 
 def fetch_documents(hits: DataFrame, docs: DataFrame) -> DataFrame:
@@ -204,6 +208,17 @@ def fetch_documents(hits: DataFrame, docs: DataFrame) -> DataFrame:
     return hot_join(hits, matching_documents(hits, docs), "doc_id", "query_id", counts)
 
 
+def fetch_stored(hits: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
+    """Hits with the columns of their documents in the keyed store at ``path``.
+
+    A few ids are looked up by folder and file statistics, so the store is not read through.
+    """
+    hits = materialize(hits, "hits")
+    counts = hits.groupBy("doc_id").agg(F.count("*").alias("n"))
+    docs = store.lookup(hits.sparkSession, path, hits.select("doc_id"), key)
+    return hot_join(hits, docs.withColumnRenamed(key, "doc_id"), "doc_id", "query_id", counts)
+
+
 def hit_counts(queries: DataFrame, hits: DataFrame) -> DataFrame:
     """(query_id, n_hits) for every query, 0 where nothing was found."""
     counts = hits.groupBy("query_id").agg(F.count("*").alias("n_hits"))
@@ -230,20 +245,23 @@ def clause_hits(clauses: DataFrame, index: Index) -> DataFrame:
     item, group = ["bucket", "term", "field"], ["clause", "field"]
     part = F.col("weight") * _bm25(F.col("tf"), F.col("field_len"), F.col("mean_len"))
 
-    # All terms: the field is part of the item, so the list of a group is that of one field.
-    together = terms.where("op = 'AND'").withColumn("in_field", F.col("field"))
-    joint = intersect(
-        together, postings, ["clause", "in_field"], item, ["weight", "mean_len"], part, "n_terms"
-    ).select("clause", "doc_id", F.col("total").alias("score"))
-
-    any_term = terms.where("op = 'OR'").select(*item, "clause", "weight", "mean_len")
-    either = (
-        salted_join(postings, any_term, item, "doc_id")
-        .groupBy(*group, "doc_id")
-        .agg(F.sum(part).alias("score"))
-        .select("clause", "doc_id", "score")
-    )
-    return joint.unionByName(either).groupBy("clause", "doc_id").agg(
+    found = []
+    ops = {r["op"] for r in terms.select("op").distinct().collect()}
+    if "AND" in ops:
+        # All terms: the field is part of the item, so the list of a group is that of one field.
+        together = terms.where("op = 'AND'").withColumn("in_field", F.col("field"))
+        found.append(intersect(
+            together, postings, ["clause", "in_field"], item, ["weight", "mean_len"], part, "n_terms"
+        ).select("clause", "doc_id", F.col("total").alias("score")))
+    if "OR" in ops or not ops:
+        any_term = terms.where("op = 'OR'").select(*item, "clause", "weight", "mean_len")
+        found.append(
+            salted_join(asked_lists(postings, any_term, item), any_term, item, "doc_id")
+            .groupBy(*group, "doc_id")
+            .agg(F.sum(part).alias("score"))
+            .select("clause", "doc_id", "score")
+        )
+    return reduce(DataFrame.unionByName, found).groupBy("clause", "doc_id").agg(
         F.max("score").alias("score")
     )
 
@@ -253,15 +271,17 @@ def _field_terms_with_weights(clauses: DataFrame, index: Index) -> DataFrame:
 
     An all-fields clause gets a row for every field that has the term.
     """
-    wanted = clause_terms(clauses).withColumnRenamed("field", "asked")
-    asked = F.col("asked")
-    found = salted_join(index.dictionary, wanted, ["term"], "field").where(
-        (asked == grammar.ALL_FIELDS) | (asked == F.col("field"))
+    asked = clause_terms(clauses).withColumnRenamed("field", "asked")
+    wanted = materialize(asked.withColumn("bucket", term_bucket(index.buckets)), "asked-terms")
+    item = ["bucket", "term"]
+    dictionary = asked_lists(index.dictionary, wanted, item)
+    found = salted_join(dictionary, wanted, item, "field").where(
+        (F.col("asked") == grammar.ALL_FIELDS) | (F.col("asked") == F.col("field"))
     )
     n, df = F.col("n_docs"), F.col("df")
     weight = F.col("qtf") * F.log(1 + (n - df + 0.5) / (df + 0.5))
     return salted_join(found, index.stats, ["field"], "term").select(
-        "clause", "op", "n_terms", term_bucket(index.buckets).alias("bucket"), "term", "field",
+        "clause", "op", "n_terms", "bucket", "term", "field",
         df.alias("rarity"), weight.alias("weight"), (F.col("total_len") / n).alias("mean_len"),
     )
 
@@ -273,11 +293,15 @@ def search_fields(clauses: DataFrame, index: Index) -> DataFrame:
     """
     same = F.to_json(F.struct("op", "field", "value"))
     keyed = clauses.withColumn("clause", same)
-    asked = keyed.groupBy("query_id", "clause").agg(F.count("*").alias("weight"))
+    asked = materialize(
+        keyed.groupBy("query_id", "clause").agg(F.count("*").alias("weight")), "asked-clauses")
     sizes = asked.groupBy("query_id").agg(F.count("*").alias("n_clauses"))
     found = materialize(
         clause_hits(keyed.select("clause", "op", "field", "value").distinct(), index), "clauses"
     )
+    if sizes.agg(F.max("n_clauses")).first()[0] in (None, 1):
+        return salted_join(found, asked, ["clause"], "doc_id").select(
+            "query_id", "doc_id", (F.col("score") * F.col("weight")).alias("score"))
     rarity = found.groupBy("clause").agg(F.count("*").alias("rarity"))
     wanted = asked.join(rarity, "clause").join(sizes, "query_id")
     return intersect(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import documents, index, pages
-from ..sources import csv, xml
+from ..sources import csv, store, xml
 
 
 def dump_to_extract(spark: SparkSession, dump: str, target: str, parts: int | None = None) -> None:
@@ -24,8 +24,7 @@ def positional_index(
     spark: SparkSession, path: str, docs: Callable[[], DataFrame], buckets: int | None = None
 ) -> index.Index:
     """The positional index of (doc_id, text) at ``path``, built only if it is not there."""
-    if not index.index_exists(spark, path):
-        index.build_index(docs(), path, buckets)
+    store.publish_once(spark, path, lambda aside: index.build_index(docs(), aside, buckets))
     return index.open_index(spark, path, index.POSITIONAL, buckets)
 
 
@@ -33,6 +32,5 @@ def field_index(
     spark: SparkSession, path: str, docs: Callable[[], DataFrame], buckets: int | None = None
 ) -> index.Index:
     """The fielded index of documents at ``path``, built only if it is not there."""
-    if not index.index_exists(spark, path):
-        index.build_field_index(docs(), path, buckets)
+    store.publish_once(spark, path, lambda aside: index.build_field_index(docs(), aside, buckets))
     return index.open_index(spark, path, index.FIELDED, buckets)

@@ -71,6 +71,15 @@ def text_index(spark: SparkSession, folder: str) -> index.Index:
     return etl.positional_index(spark, path, lambda: index.with_index_text(texts(spark, folder)))
 
 
+def text_store(spark: SparkSession, folder: str) -> str:
+    """The path of a keyed store of (doc_id, title, text)."""
+    path = _index_path(spark, folder, "text-store")
+    docs = read_table(spark, folder, "documents").select(
+        "doc_id", F.col("source").alias("title"), "text")
+    store.publish_once(spark, path, lambda aside: store.upsert(docs, aside, "doc_id"))
+    return path
+
+
 def wiki_index(spark: SparkSession, folder: str) -> index.Index:
     path = _index_path(spark, folder, "wiki")
     return etl.field_index(spark, path, lambda: wiki_documents(spark, folder))
@@ -554,9 +563,8 @@ def search_tfidf_ranked(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def search_tfidf_docs(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents").select(
-        "doc_id", F.col("source").alias("title"), "text")
-    return flat_hits(search.fetch_documents(_text_hits(spark, folder), docs), "title", "text")
+    path = text_store(spark, folder)
+    return flat_hits(search.fetch_stored(_text_hits(spark, folder), path), "title", "text")
 
 
 @register

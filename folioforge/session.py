@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -18,6 +19,8 @@ def build_session(master: str | None = None, app: str = "folioforge") -> SparkSe
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Lists of terms and ids are tested value by value where the files are read.
+        .config("spark.sql.parquet.pushdown.inFilterThreshold", "500")
         # Recording the call site of every column expression slows plan building down.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -54,6 +57,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``materialize``, and the number of rows, which is counted while they are written."""
+    seen = Observation()
+    table = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return table, seen.get["n"]
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 

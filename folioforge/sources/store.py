@@ -5,29 +5,37 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .tables import input_bytes
 
-STORE_BUCKETS = 64
-MANIFEST = "bucket int, folder string, buckets int"
+#: Buckets of a new store: one for each ``BUCKET_BYTES`` of input, within these bounds.
+MIN_BUCKETS, MAX_BUCKETS = 64, 16_384
+BUCKET_BYTES = 256 << 20
+#: Input of one writing task.
+TASK_BYTES = 512 << 20
+#: Ids written into the scan itself, and ids that may be broadcast, 8 to 16 bytes each.
+PUSHED_IDS = 500
+BROADCAST_IDS = 1_000_000
 
+ROW, KEY = "store_row", "store_key"
 
-def latest_by_id(writes: DataFrame, key: str = "id", order: str = "seq") -> DataFrame:
+
+def latest_by_id(writes: DataFrame, key: str = "id", order: str | None = "seq") -> DataFrame:
     """The last write of every id; of equal ``order`` the row that comes last in the input.
 
-    Only ids, orders and row numbers are aggregated, combined per task, so an id written very
-    often shrinks before anything is shuffled; the documents join the rows that are left.
+    Without an ``order`` the place in the input alone decides.  Only ids, orders and row numbers
+    are aggregated, combined per task, so an id written very often shrinks before anything is
+    shuffled; the documents join the rows that are left.
     """
-    numbered = materialize(writes.withColumn("_row", F.monotonically_increasing_id()), "writes")
-    slim = numbered.select(key, order, "_row")
-    top = slim.groupBy(key).agg(F.max(order).alias("_top"))
-    tied = slim.join(top.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")))
-    last = tied.where(F.col(order).eqNullSafe(F.col("_top"))).groupBy("_key").agg(
-        F.max("_row").alias("_last"))
-    kept = numbered.join(last.select("_last"), F.col("_row") == F.col("_last"), "left_semi")
-    return kept.drop(order, "_row")
+    numbered = materialize(writes.withColumn(ROW, F.monotonically_increasing_id()), "writes")
+    rank = F.max(F.struct(*([F.col(order)] if order else []), ROW)).alias("last")
+    last = numbered.groupBy(key).agg(rank).select(F.col(f"last.{ROW}").alias(ROW))
+    kept = numbered.join(last, ROW, "left_semi").drop(ROW)
+    return kept.drop(order) if order else kept
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -43,71 +51,143 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 # --- keyed store -----------------------------------------------------------------------
 #
-# data/<write>/bucket=<n>: documents by bucket of their id.  manifest/<number>: which folder
-# holds each bucket; the highest complete manifest is the store.  A write that is interrupted
-# leaves folders that no manifest names.
-
-
-def _manifest(spark: SparkSession, path: str) -> tuple[int, dict[int, str], int | None]:
-    """Number, folder of each bucket, and bucket count of the current state."""
-    where, files = _file_system(spark, f"{path}/manifest")
-    numbers = []
-    if files.exists(where):
-        names = [int(entry.getPath().getName()) for entry in files.listStatus(where)]
-        numbers = [n for n in names if path_exists(spark, f"{path}/manifest/{n}/_SUCCESS")]
-    if not numbers:
-        return -1, {}, None
-    # One row per bucket.
-    rows = spark.read.schema(MANIFEST).parquet(f"{path}/manifest/{max(numbers)}").collect()
-    folders = {r.bucket: r.folder for r in rows if r.bucket is not None}
-    return max(numbers), folders, next((r.buckets for r in rows), None)
-
-
-def _bucket(key: str, buckets: int) -> Column:
+# A Parquet table partitioned by bucket of the documents' ids.  Writes replace whole buckets by
+# Spark's dynamic partition overwrite.  Inside a bucket rows are sorted by id, and the id has
+# bloom filters, so a lookup opens few buckets and skips most row groups of those.
+
+BUCKET, BUCKETS = "store_bucket", "store_buckets"
+
+
+def key_bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+def stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """The bucket count of the store at ``path``, which its folders are named by."""
+    where, files = _file_system(spark, path)
+    if not files.exists(where):
+        return None
+    names = [str(entry.getPath().getName()) for entry in files.listStatus(where)]
+    return next((int(n.split("=")[1]) for n in names if n.startswith(BUCKETS + "=")), None)
+
+
+def open_store(spark: SparkSession, path: str) -> DataFrame:
+    """All documents of a store and their bucket; documents may differ in columns."""
+    if stored_buckets(spark, path) is None:
+        raise ValueError(f"nothing is stored at {path}")
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(BUCKETS)
+
+
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """All documents of a store."""
-    _, folders, _ = _manifest(spark, path)
-    if not folders:
-        raise ValueError(f"nothing is stored at {path}")
-    return spark.read.parquet(*sorted(folders.values()))
+    return open_store(spark, path).drop(BUCKET)
 
 
-def upsert(
-    docs: DataFrame, path: str, key: str = "id", buckets: int = STORE_BUCKETS
+def write_buckets(
+    docs: DataFrame, path: str, key: str, buckets: int, size: int = 0, mode: str = "overwrite"
 ) -> None:
+    """Write documents to their buckets; ``overwrite`` replaces the buckets that they have.
+
+    A bucket is written by one task for each ``TASK_BYTES`` of its share of ``size``.
+    """
+    slices = max(1, -(-size // (buckets * TASK_BYTES)))
+    place = F.pmod(F.xxhash64(F.lit("slice"), F.col(key)), F.lit(slices))
+    (
+        docs.withColumn(BUCKETS, F.lit(buckets))
+        .withColumn(BUCKET, key_bucket(key, buckets))
+        .repartition(BUCKET, place)
+        .sortWithinPartitions(BUCKET, key)
+        .write.partitionBy(BUCKETS, BUCKET)
+        .option("compression", "zstd")
+        .option(f"parquet.bloom.filter.enabled#{key}", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode(mode)
+        .parquet(path)
+    )
+
+
+def upsert(docs: DataFrame, path: str, key: str = "id", buckets: int | None = None) -> None:
     """Write documents to the store at ``path``; each replaces the one stored under its id.
 
     Only the buckets that the new ids fall into are read and written anew.  Of several new
     documents with one id the last in the input is stored; null ids are one id.  The bucket
-    count of an existing store is its own.
+    count of an existing store is its own; that of a new one follows from the input's size.
     """
     spark = docs.sparkSession
-    number, folders, stored = _manifest(spark, path)
-    buckets = stored or buckets
-    new = materialize(latest_by_id(docs.withColumn("_seq", F.lit(0)), key, "_seq"), "upsert")
-    touched = [r[0] for r in new.select(_bucket(key, buckets).alias("b")).distinct().collect()]
-    old = [folders[b] for b in sorted(touched) if b in folders]
-    if old:
-        ids = new.select(F.col(key).alias("_key"))
-        kept = spark.read.parquet(*old).join(ids, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    size = input_bytes(docs)
+    stored = stored_buckets(spark, path)
+    buckets = stored or buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, size // BUCKET_BYTES))
+    new = latest_by_id(docs, key, None)
+    if stored:
+        ids = materialize(
+            new.select(F.col(key).alias(KEY), key_bucket(key, buckets).alias(BUCKET)), "new-ids")
+        touched = [r[0] for r in ids.select(BUCKET).distinct().collect()]  # at most all buckets
+        kept = open_store(spark, path).where(F.col(BUCKET).isin(touched)).drop(BUCKET).join(
+            ids.select(KEY), F.col(key).eqNullSafe(F.col(KEY)), "left_anti")
         new = new.unionByName(kept, allowMissingColumns=True)
-    data = f"{path}/data/{uuid.uuid4().hex}"
-    new.withColumn("bucket", _bucket(key, buckets)).repartition("bucket").write.partitionBy(
-        "bucket").option("compression", "zstd").parquet(data)
-    now = {**folders, **{b: f"{data}/bucket={b}" for b in touched}}
-    rows = [(b, folder, buckets) for b, folder in now.items()] or [(None, None, buckets)]
-    # Written last: the new state holds from its success marker on.
-    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(f"{path}/manifest/{number + 1}")
+    write_buckets(new, path, key, buckets, size)
+
+
+def pushed_ids(stored: DataFrame, key: str, ids: DataFrame, buckets: int) -> DataFrame:
+    """The rows of ``stored`` whose ids are among those of ``ids``, one column of unique ids.
+
+    A few ids go into the scan, where folders, row groups and bloom filters are tested; more are
+    broadcast, and very many are joined.  The documents are never moved for fewer.
+    """
+    (name,) = ids.columns
+    few = [r[0] for r in ids.limit(PUSHED_IDS + 1).collect()]
+    if len(few) <= PUSHED_IDS:
+        places = {r[0] for r in ids.select(key_bucket(name, buckets)).collect()}
+        return stored.where(F.col(BUCKET).isin(sorted(places)) & F.col(key).isin(sorted(few)))
+    wanted = ids.select(F.col(name).alias(KEY), key_bucket(name, buckets).alias("of_bucket"))
+    if ids.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    same = (F.col(key) == F.col(KEY)) & (F.col(BUCKET) == F.col("of_bucket"))
+    return stored.join(wanted, same, "left_semi")
+
+
+def lookup(spark: SparkSession, path: str, ids: DataFrame, key: str = "id") -> DataFrame:
+    """The stored documents with the ids in the one column of ``ids``; a null id finds none."""
+    (name,) = ids.columns
+    wanted = materialize(ids.where(F.col(name).isNotNull()).distinct(), "asked-ids")
+    found = pushed_ids(open_store(spark, path), key, wanted, stored_buckets(spark, path))
+    return found.drop(BUCKET)
+
+
+# --- tables that are built once --------------------------------------------------------
+
+
+def publish_once(spark: SparkSession, path: str, build: Callable[[str], None]) -> bool:
+    """Whether this call made the folder ``path``, whole, by ``build`` writing to a folder aside.
+
+    The folder aside gets the name ``path`` in one step, which fails if another builder was
+    faster; then its folder stays and this one is removed.  So ``path`` is whole if it is there.
+    """
+    if path_exists(spark, path):
+        return False
+    aside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    build(aside)
+    jvm = spark._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark._jsc.hadoopConfiguration())
+    never_replace = spark._sc._gateway.new_array(
+        jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        files.rename(source, target, never_replace)
+    except Py4JJavaError:
+        if not path_exists(spark, path):
+            raise
+        files.delete(source, True)
+        return False
+    return True
 
 
 def build_if_absent(
     spark: SparkSession, path: str, build: Callable[[], DataFrame]
 ) -> tuple[DataFrame, bool]:
     """The table at ``path`` and whether this call built it; an existing one is reused."""
-    absent = not path_exists(spark, f"{path}/_SUCCESS")
-    if absent:
-        build().write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path), absent
+    new = publish_once(
+        spark, path, lambda aside: build().write.option("compression", "zstd").parquet(aside))
+    return spark.read.parquet(path), new

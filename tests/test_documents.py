@@ -1,5 +1,9 @@
 import os
 import random
+import re
+import threading
+
+import pytest
 
 from folioforge.operators import display, documents
 from folioforge.sources import documents_json, store
@@ -105,21 +109,59 @@ def test_json_lines_in_both_layouts_and_rejects(spark, fresh):
     assert [r.reject for r in rows if r.reject is not None] == ["broken {"]
 
 
+def files_of(path):
+    return {os.path.join(at, n) for at, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
 def test_upserts_rewrite_only_the_buckets_they_touch(spark, fresh):
     rows = [(str(i), f"v{i}") for i in range(200)]
     store.upsert(spark.createDataFrame(rows, "id string, value string"), fresh, buckets=8)
-    _, before, _ = store._manifest(spark, fresh)
+    before = files_of(fresh)
     new = [("5", "first"), ("5", "last"), ("x", "added"), (None, "no id")]
     store.upsert(spark.createDataFrame(new, "id string, value string").coalesce(1), fresh)
-    _, after, buckets = store._manifest(spark, fresh)
-    assert buckets == 8 and 1 <= sum(before[b] != after[b] for b in after) <= 3
+    after = files_of(fresh)
+    assert store.stored_buckets(spark, fresh) == 8
+    assert len({os.path.dirname(f) for f in before ^ after}) <= 3 and len(before & after) >= 5
     got = dict(map(tuple, store.read_store(spark, fresh).collect()))
     assert got == {**dict(rows), "5": "last", "x": "added", None: "no id"}
-    # An interrupted write leaves a folder that no complete manifest names.
-    os.makedirs(f"{fresh}/manifest/9")
+    more = spark.createDataFrame([("7", "v7", 1)], "id string, value string, more int")
+    store.upsert(more, fresh)
+    assert {r.more for r in store.read_store(spark, fresh).collect()} == {None, 1}
+    store.upsert(spark.createDataFrame([], "id string, value string"), fresh)
     assert store.read_store(spark, fresh).count() == 202
 
 
+def test_lookups_push_ids_and_buckets_to_the_files(spark, fresh, monkeypatch):
+    rows = [(i, f"v{i}") for i in range(3000)]
+    store.upsert(spark.createDataFrame(rows, "doc_id long, value string"), fresh, "doc_id", buckets=8)
+    ids = [(5,), (17,), (17,), (99_999,), (None,)]
+    found = store.lookup(spark, fresh, spark.createDataFrame(ids, "d long"), "doc_id")
+    assert sorted(map(tuple, found.collect())) == [(5, "v5"), (17, "v17")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*store_bucket", plan)
+    assert re.search(r"PushedFilters: \[[^]]*In\(doc_id, \[[0-9,]+\]\)", plan)
+    assert "Join" not in plan
+    many = spark.range(0, 4000, 2).withColumnRenamed("id", "d")
+    for limit in (store.BROADCAST_IDS, 10):
+        monkeypatch.setattr(store, "BROADCAST_IDS", limit)
+        assert store.lookup(spark, fresh, many, "doc_id").count() == 1500
+    assert store.lookup(spark, fresh, many.limit(0), "doc_id").count() == 0
+
+
+def test_bloom_filters_are_written(spark, fresh):
+    import pyarrow.parquet as pq
+
+    store.upsert(spark.range(20_000).withColumnRenamed("id", "doc_id"), fresh, "doc_id", buckets=2)
+    (file, *_) = files_of(fresh)
+    group = pq.ParquetFile(file).metadata.row_group(0).column(0)
+    assert group.statistics.has_min_max
+    with open(file, "rb") as raw:
+        content = raw.read()
+    # The footer points to a filter in front of it: the file is longer than its columns.
+    end = max(pq.ParquetFile(file).metadata.row_group(0).column(c).total_compressed_size for c in range(1))
+    assert len(content) > end + 1024
+
+
 def test_latest_write_wins(spark):
     rows = [("a", i, f"v{i}") for i in range(50)] + [("b", 1, "w")]
     df = spark.createDataFrame(rows, "id string, seq int, value string").repartition(5)
@@ -137,3 +179,34 @@ def test_table_is_built_once(spark, fresh):
     assert (first.count(), new) == (3, True)
     second, new = store.build_if_absent(spark, fresh, lambda: build(9))
     assert (second.count(), new, built) == (3, False, [3])
+
+
+def test_two_builders_leave_one_whole_table(spark, fresh):
+    path = fresh + "/table"
+    together = threading.Barrier(2)
+    results = []
+
+    def build(n):
+        together.wait()
+        return spark.range(n).repartition(3)
+
+    def run(n):
+        results.append((n, store.build_if_absent(spark, path, lambda: build(n))[1]))
+
+    builders = [threading.Thread(target=run, args=(n,)) for n in (1000, 2000)]
+    for b in builders:
+        b.start()
+    for b in builders:
+        b.join()
+    (winner,) = [n for n, new in results if new]
+    assert len(results) == 2 and spark.read.parquet(path).count() == winner
+    assert sorted(os.listdir(fresh)) == ["table"]
+
+
+def test_a_failed_build_leaves_no_table(spark, fresh):
+    def build():
+        raise ValueError("no input")
+
+    with pytest.raises(ValueError):
+        store.build_if_absent(spark, fresh, build)
+    assert store.build_if_absent(spark, fresh, lambda: spark.range(2))[1]
