@@ -118,14 +118,19 @@ def bucket_count(df: DataFrame) -> int:
     return min(MAX_BUCKETS, max(BUCKETS, input_bytes(df) // BUCKET_BYTES))
 
 
-def _write_postings(postings: DataFrame, path: str, buckets: int) -> None:
-    """Postings in folders by term bucket, sorted by term inside each file.
+def slice_count(size: int, buckets: int) -> int:
+    """Document slices per bucket, so that ``size`` bytes make tasks of ``TASK_BYTES``."""
+    return max(1, -(-size // (buckets * TASK_BYTES)))
+
+
+def append_postings(postings: DataFrame, path: str, buckets: int) -> None:
+    """Add postings in folders by term bucket, sorted by term inside each file.
 
     Every (bucket, document slice) is one writing task, and the number of slices follows from
     the size of the input, so a term that owns a third of the postings is written by as many
     tasks as there are slices.
     """
-    slices = max(1, -(-input_bytes(postings) // (buckets * TASK_BYTES)))
+    slices = slice_count(input_bytes(postings), buckets)
     out = postings.withColumn("bucket", term_bucket(buckets))
     place = F.col("bucket") * slices + F.pmod(F.xxhash64("doc_id"), F.lit(slices)).cast("int")
     (
@@ -133,7 +138,7 @@ def _write_postings(postings: DataFrame, path: str, buckets: int) -> None:
         .sortWithinPartitions("bucket", "term", "doc_id")
         .write.partitionBy("bucket")
         .option("compression", "zstd")
-        .mode("overwrite")
+        .mode("append")
         .parquet(path)
     )
 
@@ -150,11 +155,11 @@ def _write_layout(spark: SparkSession, path: str, buckets: int) -> None:
 
 
 def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
-    """Write the positional index of (doc_id, text) documents."""
+    """Write the positional index of (doc_id, text) documents to a new folder."""
     spark = docs.sparkSession
     buckets = buckets or bucket_count(docs)
     _write_layout(spark, path, buckets)
-    _write_postings(index_postings(docs), f"{path}/postings", buckets)
+    append_postings(index_postings(docs), f"{path}/postings", buckets)
     written = spark.read.schema(POSITIONAL["postings"]).parquet(f"{path}/postings")
     counted = written.groupBy("bucket", "term").agg(F.count("*").alias("df"))
     _write_dictionary(counted, f"{path}/dictionary")
@@ -163,11 +168,11 @@ def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
 
 
 def build_field_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
-    """Write the fielded index of (id, title, type, fields) documents."""
+    """Write the fielded index of (id, title, type, fields) documents to a new folder."""
     spark = docs.sparkSession
     buckets = buckets or bucket_count(docs)
     _write_layout(spark, path, buckets)
-    _write_postings(field_postings(docs), f"{path}/postings", buckets)
+    append_postings(field_postings(docs), f"{path}/postings", buckets)
     written = spark.read.schema(FIELDED["postings"]).parquet(f"{path}/postings")
     counted = written.groupBy("bucket", "field", "term").agg(F.count("*").alias("df"))
     _write_dictionary(counted, f"{path}/dictionary")

@@ -310,13 +310,21 @@ NAME = "'''name'': ''' || p_name || ''''"
 MUST = "'''name'': ''' || p_name || ''' ''all'': ''' || p_brand || ''''"
 
 
-def _hits(raw: str) -> str:
+def _hits(raw: str, more: dict[str, str] | None = None) -> str:
     return _with(
         "SELECT query_id, doc_id, round(score, 6) AS score FROM field_hits",
-        {**_clauses_sql(raw), **SEARCH},
+        {**_clauses_sql(raw), **SEARCH, **(more or {})},
     )
 
 
+# The documents' entries after an update of every third document, with copies of every sixth.
+LIVE_ENTRIES = f"""SELECT id, key, CASE WHEN CAST(id AS BIGINT) % 3 = 0 AND key IN ('name', 'title')
+          THEN 'revised ' || value ELSE value END AS value FROM ({CTES['entries']}) e
+        UNION ALL SELECT 'n' || id, key, CASE WHEN key = 'id' THEN 'n' || id ELSE value END
+        FROM ({CTES['entries']}) e WHERE CAST(id AS BIGINT) % 6 = 1"""
+REVISED = f"""CASE WHEN p_partkey % 2 = 0 THEN '''name'': ''revised ' || p_name || '''' ELSE {NAME} END"""
+
+
 def oracle_sql() -> dict[str, str]:
     box_fields = {
         "extract_book": (book, r"(?i)\{\{Infobox *(book|short story)"),
@@ -455,6 +463,8 @@ def oracle_sql() -> dict[str, str]:
         "search_all_fields_and": _hits("p_name || ' ' || p_type"),
         "search_all_fields_or": _hits("p_name || ' -OR'"),
         "search_bool_must": _hits(MUST),
+        "search_after_upsert": _hits(REVISED, {"entries": LIVE_ENTRIES}),
+        "search_after_compaction": _hits(REVISED, {"entries": LIVE_ENTRIES}),
         "search_topk": _with(
             f"""SELECT query_id, doc_id, round(score, 6) AS score, rank FROM (
               SELECT *, row_number() OVER (PARTITION BY query_id

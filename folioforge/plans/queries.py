@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes, fold, markup, text
 from ..operators.stage import compute_once
-from ..operators import counters, display, documents, index, pages, search
+from ..operators import counters, display, documents, index, live, pages, search
 from ..session import materialize, scratch_path, scratch_root
 from ..sources import csv, documents_json, store, xml
 from ..sources.tables import read_table, spread
@@ -547,6 +547,47 @@ def search_topk(spark: SparkSession, folder: str) -> DataFrame:
     return flat_hits(top.withColumn("rank", F.col("rank").cast("bigint")), "rank")
 
 
+def _revised(docs: DataFrame) -> DataFrame:
+    """An update: every third document gets another title and name, every sixth a copy."""
+    number = F.col("id").cast("bigint")
+    marked = lambda c: F.concat(F.lit("revised "), c)
+    fields = F.transform_values("fields", lambda k, v: F.when(k == "name", marked(v)).otherwise(v))
+    third = docs.where(number % 3 == 0).select("id", marked(F.col("title")).alias("title"), "type",
+                                               fields.alias("fields"))
+    copies = docs.where(number % 6 == 1).select(
+        F.concat(F.lit("n"), "id").alias("id"), "title", "type", "fields")
+    return third.unionByName(copies)
+
+
+def _live_query() -> Column:
+    revised = F.concat(F.lit("'name': 'revised "), F.col("p_name"), F.lit("'"))
+    return F.when(F.col("p_partkey") % 2 == 0, revised).otherwise(_name_query())
+
+
+@register
+def search_after_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "live")
+    docs = materialize(wiki_documents(spark, folder), "documents")
+    live.upsert(docs, path)
+    live.upsert(_revised(docs), path)
+    clauses = _clauses(spark, folder, _live_query())
+    return flat_hits(search.search_fields(clauses, live.open_live(spark, path)))
+
+
+@register
+def search_after_compaction(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "live")
+    docs = materialize(wiki_documents(spark, folder), "documents")
+    live.upsert(docs, path)
+    live.upsert(docs.withColumn("title", F.lit("passing")).where("type != 'film'"), path)
+    live.upsert(docs, path)
+    live.compact(spark, path)
+    live.upsert(_revised(docs), path)
+    live.compact(spark, path)
+    clauses = _clauses(spark, folder, _live_query())
+    return flat_hits(search.search_fields(clauses, live.open_live(spark, path)))
+
+
 def _text_hits(spark: SparkSession, folder: str) -> DataFrame:
     return search.search_tfidf(text_queries(spark, folder), text_index(spark, folder))
 

@@ -107,6 +107,11 @@ def write_buckets(
     )
 
 
+def bucket_count(size: int) -> int:
+    """Buckets of a new store for ``size`` bytes of input."""
+    return min(MAX_BUCKETS, max(MIN_BUCKETS, size // BUCKET_BYTES))
+
+
 def upsert(docs: DataFrame, path: str, key: str = "id", buckets: int | None = None) -> None:
     """Write documents to the store at ``path``; each replaces the one stored under its id.
 
@@ -117,7 +122,7 @@ def upsert(docs: DataFrame, path: str, key: str = "id", buckets: int | None = No
     spark = docs.sparkSession
     size = input_bytes(docs)
     stored = stored_buckets(spark, path)
-    buckets = stored or buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, size // BUCKET_BYTES))
+    buckets = stored or buckets or bucket_count(size)
     new = latest_by_id(docs, key, None)
     if stored:
         ids = materialize(
