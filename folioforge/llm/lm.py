@@ -64,6 +64,8 @@ BLOCK = 1 << 14
 COPIES = 64
 #: Different words counted in a task before they are handed on.
 HELD = 400_000
+#: Ranges of counts per doubling, in which the commonest words are chosen.
+COUNT_RANGES = 64
 
 
 # --- vocabulary ----------------------------------------------------------------------------
@@ -114,25 +116,26 @@ class Encoder:
     def __init__(self, known: Vocabulary) -> None:
         self.known = known
         self.codes = Codes(zip(known.words, range(len(known.words))))
-        self.own = known.entry[: known.own]
         self.groups = known.entry[known.own :]
-        # Groups of the known words that are not the model's own.
-        self.group = np.array([tail_of(w) for w in known.words[known.own :]], np.int64)
-
-    def encode(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """(places of the tokens among the known words, in the model, words that are unknown)."""
-        words = raw.translate(LOWER).split()
-        words.append(END)
+        group = np.array([tail_of(w) for w in known.words[known.own :]], np.int64)
+        # Of each known word; the last place is for those that are not.
+        self.place = np.concatenate([known.entry[: known.own], self.groups[group], [0]])
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Of all texts' tokens, one text behind the other: places among the known words (-1 for
+        others), places in the model, the texts' lengths, and the words that are unknown."""
+        split = [raw.translate(LOWER).split() for raw in texts]
+        lengths = np.array([len(words) + 1 for words in split], np.int64)
+        words: list[bytes] = []
+        for some in split:
+            words += some
+            words.append(END)
         codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
-        places = np.empty(len(codes), np.int64)
-        own = (codes >= 0) & (codes < self.known.own)
-        places[own] = self.own[codes[own]]
-        rest = codes >= self.known.own
-        places[rest] = self.groups[self.group[codes[rest] - self.known.own]]
+        places = self.place[codes]
         other = np.flatnonzero(codes < 0)
         unknown = [words[i] for i in other.tolist()]
         places[other] = self.groups[np.fromiter(map(tail_of, unknown), np.int64, len(unknown))]
-        return codes, places, unknown
+        return codes, places, lengths, unknown
 
 
 # --- the model -----------------------------------------------------------------------------
@@ -483,9 +486,22 @@ def token_counts(raw: DataFrame) -> DataFrame:
 
 
 def learn_vocabulary(counts: DataFrame, known: int = KNOWN, own: int = WORDS) -> Vocabulary:
-    """Of (word, n) counts, a written table; what reaches the driver has a fixed size."""
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(known).collect()
+    """Of (word, n) counts, a written table; what reaches the driver has a fixed size.
+
+    The known words are those of the largest counts, as many ranges of counts as hold no more
+    than ``known`` words; so no task ranks them all.
+    """
+    size = F.floor(F.log2("n") * COUNT_RANGES).cast("int")
+    ranges = counts.groupBy(size.alias("size")).agg(
+        F.sum("n").alias("n"), F.count("*").alias("words")).collect()
+    total = sum(r.n for r in ranges), sum(r.words for r in ranges)
+    least, room = 1 << 30, known
+    for r in sorted(ranges, key=lambda r: -r["size"]):
+        room -= r.words
+        if room < 0:
+            break
+        least = r["size"]
+    top = sorted(counts.where(size >= least).collect(), key=lambda r: (-r.n, bytes(r.word)))
     # The end token is always the model's own.
     rows = [(bytes(r.word), r.n) for r in top]
     own = min(own, max(1, len(rows)))
@@ -551,24 +567,29 @@ def coded_documents(raw: DataFrame, known: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         encoder = Encoder(known)
-        logs = np.log10(known.counts + 1.0)
-        seen = known.counts > 0
+        # By code; the last is that of unknown words, which the tasks know nothing of.
+        logs = np.append(np.log10(known.counts + 1.0), 0.0)
+        seen = np.append(known.counts > 0, False)
+        inner = np.concatenate([np.zeros(known.own), logs[known.own :]])
         sizes = np.zeros(len(known.entry))
         sizes[encoder.groups] = np.log10(known.tails.sum(axis=1) + 1.0)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out: list[list] = [[] for _ in range(8)]
-            for text in common.texts(batch, "raw"):
-                codes, places, unknown = encoder.encode(text)
-                inside = codes[codes >= 0]
-                tail = Counter(unknown)
-                values = (
-                    row, len(codes), int(seen[inside].sum()), float(logs[inside].sum()),
-                    float(logs[inside[inside >= known.own]].sum() - sizes[places].sum()),
-                    places.astype("<u2").tobytes(), list(tail.keys()), list(tail.values()))
-                for column, value in zip(out, values):
-                    column.append(value)
-                row += 1
+            if not batch.num_rows:
+                continue
+            codes, places, lengths, unknown = encoder.encode(common.texts(batch, "raw"))
+            stop = np.cumsum(lengths)
+            begin = stop - lengths
+            total = lambda x: np.add.reduceat(x, begin)
+            missing = total((codes < 0).astype(np.int64))
+            raw_places = places.astype("<u2").tobytes()
+            tails = [Counter(unknown[j - n : j]) for n, j in zip(missing.tolist(), np.cumsum(missing).tolist())]
+            out = [
+                np.arange(row, row + len(lengths)), lengths, total(seen[codes].astype(np.int64)),
+                total(logs[codes]), total(inner[codes] - sizes[places]),
+                [raw_places[2 * i : 2 * j] for i, j in zip(begin.tolist(), stop.tolist())],
+                [list(tail.keys()) for tail in tails], [list(tail.values()) for tail in tails]]
+            row += len(lengths)
             types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(),
                      pa.list_(pa.binary()), pa.list_(pa.int32())]
             first, *rest = (pa.array(column, kind) for column, kind in zip(out, types))

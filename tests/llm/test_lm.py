@@ -66,7 +66,7 @@ def trained():
     seen = lm.Model(np.full(len(model.numbers), lm.FIRST, np.float32), model.limits)
     encoder = lm.Encoder(known)
     end = int(known.entry[known.words.index(b"")])
-    coded = [encoder.encode(t.encode())[1] for t in texts]
+    coded = [encoder.encode([t.encode()])[1] for t in texts]
     losses = [lm.train_on(model, seen, iter(coded), end)[1] for _ in range(8)]
     return texts, known, counts, model, encoder, end, coded, losses
 
