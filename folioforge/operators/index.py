@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from ..functions.terms import field_terms, positioned_terms, term_runs
 from ..sources.documents_json import KEY_FIELDS, flat_names
 from ..sources.tables import input_bytes
-from .skew import hot_join
+from .skew import hot_join, salted_join
 
 BUCKETS, MAX_BUCKETS = 16, 4096
 BUCKET_BYTES = 1 << 30
+# Input per block of documents, and the fewest blocks.
+BLOCK_BYTES = 1 << 20
+BLOCKS = 64
 TASK_BYTES = 256 << 20
 LOG_BASE = 10.0
 
@@ -47,6 +50,16 @@ def document_frequencies(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"))
 
 
+# Okapi BM25 with its usual constants.
+K1 = 1.2
+B = 0.75
+
+
+def bm25(tf: Column, length: Column, mean_length: Column) -> Column:
+    """What a term's count adds to a field's score, before its weight."""
+    return tf / (tf + K1 * ((1 - B) + B * length / mean_length))
+
+
 def idf(n_docs: Column, df: Column) -> Column:
     return F.greatest(F.log(LOG_BASE, n_docs / df), F.lit(0.0))
 
@@ -101,12 +114,13 @@ def field_statistics(postings: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """Tables of a built index."""
+    """Tables of a built index; ``blocks`` bounds what postings of a term add to a score."""
 
     postings: DataFrame
     dictionary: DataFrame
     stats: DataFrame
     buckets: int
+    blocks: DataFrame | None = None
 
 
 def term_bucket(buckets: int) -> Column:
@@ -123,8 +137,10 @@ def slice_count(size: int, buckets: int) -> int:
     return max(1, -(-size // (buckets * TASK_BYTES)))
 
 
-def append_postings(postings: DataFrame, path: str, buckets: int) -> None:
-    """Add postings in folders by term bucket, sorted by term inside each file.
+def append_postings(
+    postings: DataFrame, path: str, buckets: int, order: tuple[str, ...] = ("doc_id",)
+) -> None:
+    """Add postings in folders by term bucket, sorted by term and ``order`` inside each file.
 
     Every (bucket, document slice) is one writing task, and the number of slices follows from
     the size of the input, so a term that owns a third of the postings is written by as many
@@ -135,7 +151,7 @@ def append_postings(postings: DataFrame, path: str, buckets: int) -> None:
     place = F.col("bucket") * slices + F.pmod(F.xxhash64("doc_id"), F.lit(slices)).cast("int")
     (
         out.repartitionById(buckets * slices, place)
-        .sortWithinPartitions("bucket", "term", "doc_id")
+        .sortWithinPartitions("bucket", "term", *order)
         .write.partitionBy("bucket")
         .option("compression", "zstd")
         .mode("append")
@@ -167,16 +183,35 @@ def build_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
     docs.agg(F.count("*").alias("n_docs")).write.mode("overwrite").parquet(f"{path}/stats")
 
 
-def build_field_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
-    """Write the fielded index of (id, title, type, fields) documents to a new folder."""
+def build_field_index(
+    docs: DataFrame, path: str, buckets: int | None = None, blocks: int | None = None
+) -> None:
+    """Write the fielded index of (id, title, type, fields) documents to a new folder.
+
+    Documents fall into ``blocks``.  The postings of a term are sorted by them, and a directory
+    holds for every term, field and block what bounds the score of its documents.
+    """
     spark = docs.sparkSession
     buckets = buckets or bucket_count(docs)
+    blocks = blocks or max(BLOCKS, input_bytes(docs) // BLOCK_BYTES)
     _write_layout(spark, path, buckets)
-    append_postings(field_postings(docs), f"{path}/postings", buckets)
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
+    append_postings(field_postings(docs).withColumn("block", block), f"{path}/postings", buckets,
+                    ("field", "block", "doc_id"))
     written = spark.read.schema(FIELDED["postings"]).parquet(f"{path}/postings")
-    counted = written.groupBy("bucket", "field", "term").agg(F.count("*").alias("df"))
+    field_statistics(written).write.parquet(f"{path}/stats")
+    stats = spark.read.schema(FIELDED["stats"]).parquet(f"{path}/stats").select(
+        "field", (F.col("total_len") / F.col("n_docs")).alias("mean_len"))
+    part = bm25(F.col("tf"), F.col("field_len"), F.col("mean_len"))
+    directory = salted_join(written, stats, ["field"], "block").groupBy(
+        "bucket", "term", "field", "block").agg(F.count("*").alias("n"), F.max(part).alias("most"))
+    place = F.pmod(F.col("block"), F.lit(max(1, blocks // BLOCKS)))
+    directory.repartition("bucket", place).sortWithinPartitions(
+        "bucket", "term", "field", "block").write.partitionBy("bucket").option(
+        "compression", "zstd").parquet(f"{path}/blocks")
+    counted = spark.read.schema(FIELDED["blocks"]).parquet(f"{path}/blocks").groupBy(
+        "bucket", "field", "term").agg(F.sum("n").alias("df"))
     _write_dictionary(counted, f"{path}/dictionary")
-    field_statistics(written).write.mode("overwrite").parquet(f"{path}/stats")
 
 
 LAYOUT = "buckets int"
@@ -187,11 +222,14 @@ POSITIONAL = {
     "dictionary": "term string, df bigint, bucket int",
     "stats": "n_docs bigint",
 }
+FIELD_POSTING = (
+    "doc_id string, field string, term string, tf bigint, field_len bigint, leads boolean"
+)
 FIELDED = {
-    "postings": "doc_id string, field string, term string, tf bigint, field_len bigint, "
-    "leads boolean, bucket int",
+    "postings": f"{FIELD_POSTING}, block int, bucket int",
     "dictionary": "field string, term string, df bigint, bucket int",
     "stats": "field string, n_docs bigint, total_len bigint",
+    "blocks": "term string, field string, block int, n bigint, most double, bucket int",
 }
 
 
@@ -202,8 +240,7 @@ def open_index(
     stored = spark.read.schema(LAYOUT).parquet(f"{path}/layout").first()["buckets"]
     if buckets not in (None, stored):
         raise ValueError(f"the index at {path} has {stored} buckets, not {buckets}")
-    tables = (
-        spark.read.schema(schemas[name]).parquet(f"{path}/{name}")
-        for name in ("postings", "dictionary", "stats")
-    )
-    return Index(*tables, buckets=stored)
+    tables = {
+        name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in schemas.items()
+    }
+    return Index(**tables, buckets=stored)

@@ -29,7 +29,7 @@ from . import index
 
 SEGMENTS = "segment bigint, term_buckets int"
 GONE = "doc_id string, segment bigint"
-POSTINGS = index.FIELDED["postings"].replace("bucket int", "segment bigint, bucket int")
+POSTINGS = f"{index.FIELD_POSTING}, segment bigint, bucket int"
 DICTIONARY = index.FIELDED["dictionary"].replace("bucket int", "segment bigint, bucket int")
 STATS = index.FIELDED["stats"] + ", segment bigint"
 DOCUMENT = ["id", "title", "type", "fields"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import query as grammar
@@ -19,7 +19,7 @@ from ..functions.terms import TERM, field_terms, term_runs
 from ..functions.text import words
 from ..session import counted, materialize
 from ..sources import store
-from .index import Index, idf, term_bucket
+from .index import Index, bm25, idf, term_bucket
 from .skew import hot_join, number_rows, salted_join, top_per_group
 from .stage import compute_once
 
@@ -34,10 +34,6 @@ PUSHED_TERMS = 500
 # on the order of its terms in the last digits, so a finer ranking would not be repeatable.
 TIE_DIGITS = 9
 
-# Okapi BM25 with its usual constants.
-K1 = 1.2
-B = 0.75
-
 
 # --- query tables ----------------------------------------------------------------------
 
@@ -81,7 +77,8 @@ def asked_lists(lists: DataFrame, wanted: DataFrame, item: list[str]) -> DataFra
     its size allows, and joined beyond it.
     """
     items, n = counted(wanted.select(*item).distinct(), "items")
-    exact = [c for c in ("bucket", "term") if c in item and (c == "bucket" or n <= PUSHED_TERMS)]
+    exact = [c for c in ("bucket", "term", "block")
+             if c in item and (c == "bucket" or n <= PUSHED_TERMS)]
     if exact:
         rows = items.select(*exact).distinct().collect()
         for c in exact:
@@ -230,10 +227,6 @@ def hit_counts(queries: DataFrame, hits: DataFrame) -> DataFrame:
 # --- fielded search --------------------------------------------------------------------
 
 
-def _bm25(tf: Column, length: Column, mean_length: Column) -> Column:
-    return tf / (tf + K1 * ((1 - B) + B * length / mean_length))
-
-
 def clause_hits(clauses: DataFrame, index: Index) -> DataFrame:
     """(clause, doc_id, score): documents matching a clause, of (clause, op, field, value).
 
@@ -243,7 +236,7 @@ def clause_hits(clauses: DataFrame, index: Index) -> DataFrame:
     terms = materialize(_field_terms_with_weights(clauses, index), "terms")
     postings = index.postings.select("bucket", "term", "field", "doc_id", "tf", "field_len")
     item, group = ["bucket", "term", "field"], ["clause", "field"]
-    part = F.col("weight") * _bm25(F.col("tf"), F.col("field_len"), F.col("mean_len"))
+    part = F.col("weight") * bm25(F.col("tf"), F.col("field_len"), F.col("mean_len"))
 
     found = []
     ops = {r["op"] for r in terms.select("op").distinct().collect()}
@@ -310,6 +303,107 @@ def search_fields(clauses: DataFrame, index: Index) -> DataFrame:
     ).select("query_id", "doc_id", F.col("total").alias("score"))
 
 
+# --- best hits by bounds ---------------------------------------------------------------
+
+# Bounds are sorted into this many ranges per halving; ranges, not blocks, are ranked.
+BOUND_RANGES = 64
+# How many times as many documents the next round may reach.
+ROUND_GROWTH = 4
+# Scores closer than this count as equal when blocks are left out.
+NEAR = 1e-8
+
+
+def _bounded(terms: DataFrame, index: Index, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(hits, read): the best (clause, doc_id, score) of any-term clauses, and the blocks read.
+
+    A block of documents is bounded by what its best postings would add up to in one document.
+    Blocks are scored from the largest bound down, in rounds of more and more documents.  The
+    last of the best ``limit`` hits so far is the threshold below which blocks are skipped;
+    when none is left above it, the hits are final.  Scores within a block are complete.
+    """
+    item = ["bucket", "term", "field"]
+    place = [*item, "block"]
+    part = F.col("weight") * bm25(F.col("tf"), F.col("field_len"), F.col("mean_len"))
+    lookup = terms.select(*item, "clause", "weight", "mean_len")
+    entries = materialize(
+        salted_join(asked_lists(index.blocks, terms, item), lookup, item, "block").select(
+            *place, "clause", "weight", "mean_len", "n",
+            (F.col("weight") * F.col("most")).alias("most")), "block-entries")
+    fields = entries.groupBy("clause", "block", "field").agg(
+        F.sum("most").alias("bound"), F.max("n").alias("docs"))
+    blocks = materialize(
+        fields.groupBy("clause", "block").agg(
+            F.max("bound").alias("bound"), F.max("docs").alias("docs")), "blocks")
+    # Ranges of bounds, a few hundred per clause, and the documents in the larger ones.
+    size = F.floor(F.log2("bound") * BOUND_RANGES)
+    ranges = blocks.groupBy("clause", size.alias("size")).agg(F.sum("docs").alias("docs"))
+    larger = Window.partitionBy("clause").orderBy(F.desc("size")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    before = ranges.select("clause", "size", F.coalesce(F.sum("docs").over(larger), F.lit(0)).alias("before"))
+    ordered = materialize(
+        salted_join(blocks.withColumn("size", size), before, ["clause", "size"], "block").select(
+            "clause", "block", "bound", "before"), "ordered-blocks")
+
+    def scored(chosen: DataFrame) -> DataFrame:
+        """Hits of the chosen (clause, block), each with its whole score."""
+        asked = entries.join(chosen, ["clause", "block"], "left_semi")
+        asked = materialize(asked.select(*place, "clause", "weight", "mean_len"), "asked-blocks")
+        rows = asked_lists(index.postings, asked, place).select(*place, "doc_id", "tf", "field_len")
+        sums = rows.join(asked, place).groupBy("clause", "field", "doc_id").agg(F.sum(part).alias("score"))
+        return sums.groupBy("clause", "doc_id").agg(F.max("score").alias("score"))
+
+    order = [F.round("score", TIE_DIGITS).desc(), F.col("doc_id")]
+    best, read = None, []
+    rest, reach = ordered, 2 * limit
+    while True:
+        chosen = materialize(
+            rest.where(F.col("before") < reach).select("clause", "block"), "chosen-blocks")
+        read.append(chosen)
+        hits = scored(chosen) if best is None else best.drop("rank").unionByName(scored(chosen))
+        best = materialize(top_per_group(hits, "clause", order, limit, "doc_id"), "best-hits")
+        threshold = best.where(F.col("rank") == limit).select(
+            "clause", F.col("score").alias("threshold"))
+        rest = materialize(
+            salted_join(rest.where(F.col("before") >= reach), threshold, ["clause"], "block", "left")
+            .where(F.col("threshold").isNull() | (F.col("bound") >= F.col("threshold") - NEAR))
+            .drop("threshold"), "other-blocks")
+        if rest.isEmpty():
+            break
+        reach *= ROUND_GROWTH
+    return best.drop("rank"), entries.join(
+        reduce(DataFrame.unionByName, read), ["clause", "block"], "left_semi")
+
+
+def search_top(clauses: DataFrame, index: Index, limit: int = MAX_HITS) -> DataFrame:
+    """``top_hits`` of ``search_fields``, without scoring what cannot be among them.
+
+    Queries of one any-term clause whose lists are longer than ``limit`` skip postings by bounds;
+    others have all their hits ranked.
+    """
+    everything = lambda: top_hits(search_fields(clauses, index), limit)
+    # Every document has an id, so no field is in more documents than that one.
+    if index.blocks is None or (index.stats.agg(F.max("n_docs")).first()[0] or 0) <= limit:
+        return everything()
+    keyed = materialize(
+        clauses.withColumn("clause", F.to_json(F.struct("op", "field", "value"))), "keyed-clauses")
+    single = keyed.groupBy("query_id").agg(
+        F.min("clause").alias("clause"), F.max("clause").alias("other"), F.min("op").alias("op"),
+        F.count("*").alias("times")).where("clause = other and op = 'OR'")
+    alone = keyed.join(single.select("query_id"), "query_id", "left_semi")
+    terms = materialize(_field_terms_with_weights(
+        alone.select("clause", "op", "field", "value").distinct(), index), "terms")
+    long_ = materialize(terms.groupBy("clause").agg(F.sum("rarity").alias("n")).where(
+        F.col("n") > limit).select("clause"), "long-clauses")
+    if long_.isEmpty():
+        return everything()
+    asked = materialize(single.join(long_, "clause").select("query_id", "clause", "times"), "bounded")
+    best, _ = _bounded(terms.join(long_, "clause", "left_semi"), index, limit)
+    bounded = salted_join(best, asked, ["clause"], "doc_id").select(
+        "query_id", "doc_id", (F.col("score") * F.col("times")).alias("score"))
+    others = clauses.join(asked.select("query_id"), "query_id", "left_anti")
+    return top_hits(bounded.unionByName(search_fields(others, index)), limit)
+
+
 def top_hits(hits: DataFrame, limit: int = MAX_HITS) -> DataFrame:
     """The best ``limit`` hits of every query with their ``rank``."""
     return top_per_group(

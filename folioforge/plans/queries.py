@@ -542,8 +542,8 @@ def search_bool_must(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def search_topk(spark: SparkSession, folder: str) -> DataFrame:
-    hits = _field_hits(spark, folder, F.concat(_name_query(), F.lit(" -OR")))
-    top = search.top_hits(hits, TOP_K)
+    clauses = _clauses(spark, folder, F.concat(_name_query(), F.lit(" -OR")))
+    top = search.search_top(clauses, wiki_index(spark, folder), TOP_K)
     return flat_hits(top.withColumn("rank", F.col("rank").cast("bigint")), "rank")
 
 
