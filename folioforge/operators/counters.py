@@ -10,11 +10,10 @@ from .documents import document_type
 from .pages import extract_pages
 
 
-def count_run(pages: DataFrame) -> DataFrame:
-    """One row of all counters of (id, title, text, reject) pages, in one pass.
+def count_pages(pages: DataFrame) -> tuple[DataFrame, Observation]:
+    """(id, title, text, reject) pages that are counted while they are used, and the counts.
 
-    Pages are counted while the documents made of them are; kept, irrelevant and rejected
-    pages add up to those read.
+    Kept, irrelevant and rejected pages add up to those read.
     """
     text, rejected = F.col("text"), F.col("reject").isNotNull()
     complete = ~rejected & F.col("id").isNotNull() & F.col("title").isNotNull() & text.isNotNull()
@@ -24,6 +23,15 @@ def count_run(pages: DataFrame) -> DataFrame:
         seen, F.count(F.lit(1)).alias("pages_read"), F.count_if(complete).alias("pages_complete"),
         F.count_if(kept).alias("pages_kept"), F.count_if(rejected).alias("pages_rejected"),
     )
+    return observed, seen
+
+
+def count_run(pages: DataFrame) -> DataFrame:
+    """One row of all counters of (id, title, text, reject) pages, in one pass.
+
+    Pages are counted while the documents made of them are.
+    """
+    observed, seen = count_pages(pages)
     docs = count_documents(extract_pages(observed.where("reject is null"))).first()
     return pages.sparkSession.createDataFrame(
         [tuple(int(v) for v in (*seen.get.values(), *docs))],

@@ -180,6 +180,46 @@ def search_tfidf(queries: DataFrame, index: Index) -> DataFrame:
     )
 
 
+def phrase_terms(queries: DataFrame) -> DataFrame:
+    """(query_id, term, slots): the places of each accepted word among all words of a query."""
+    split = words(F.lower("raw"))
+    numbered = F.transform(split, lambda w, i: F.struct(w.alias("term"), i.alias("pos")))
+    accepted = F.filter(numbered, lambda t: t.term.rlike(TERM))
+    return queries.select("query_id", F.inline(term_runs(accepted))).select(
+        "query_id", "term", F.col("pos_list").alias("slots"))
+
+
+def search_phrases(queries: DataFrame, index: Index) -> DataFrame:
+    """(query_id, doc_id, n_matches): documents that hold the accepted words of a query, each as
+    far from the first as in the query, and how often.
+
+    Documents with all words are found rarest word first.  Only their positions are fetched:
+    shifted back by the word's places in the query, those of all words meet where a phrase begins.
+    """
+    asked = materialize(
+        phrase_terms(queries).withColumn("bucket", term_bucket(index.buckets)), "phrase-terms")
+    item = ["bucket", "term"]
+    sizes = asked.groupBy("query_id").agg(F.count("*").alias("n_terms"))
+    dictionary = asked_lists(index.dictionary, asked, item)
+    known = asked.join(dictionary, item).join(sizes, "query_id").select(
+        "query_id", *item, F.col("df").alias("rarity"), "n_terms")
+    lists = index.postings.select("bucket", "term", "doc_id", "pos_list")
+    found = materialize(
+        intersect(materialize(known, "known-terms"), lists.select(*item, "doc_id"), ["query_id"],
+                  item, [], F.lit(0), "n_terms").select("query_id", "doc_id"), "with-all-words")
+    wanted = found.join(asked, "query_id").select("query_id", "doc_id", *item, "slots")
+    near = asked_lists(matching_documents(found, lists), asked, item)
+    begins = F.transform(
+        "slots", lambda s: F.transform("pos_list", lambda p: p - s))
+    starts = near.join(wanted, [*item, "doc_id"]).select(
+        "query_id", "doc_id", F.explode(begins).alias("starts"))
+    all_ = starts.groupBy("query_id", "doc_id").agg(F.collect_list("starts").alias("starts"))
+    met = F.aggregate(
+        F.slice("starts", 2, F.size("starts")), F.get("starts", F.lit(0)), F.array_intersect)
+    return all_.select("query_id", "doc_id", F.size(met).cast("bigint").alias("n_matches")).where(
+        "n_matches > 0")
+
+
 def rank_ascending(hits: DataFrame) -> DataFrame:
     """Add ``rank`` 1.. per query, lowest score first."""
     return number_rows(

@@ -347,6 +347,20 @@ def oracle_sql() -> dict[str, str]:
             "SELECT id, title, text FROM extracts UNION ALL SELECT id, title, text FROM "
             "selected_extracts"
         ),
+        "csv_line_breaks": (
+            "SELECT CAST(doc_id AS VARCHAR) AS id, source AS title, text FROM documents"
+        ),
+        "stream_numbered_pages": _with(
+            """SELECT row_number() OVER (ORDER BY 1 - CAST(id AS BIGINT) % 2, CAST(id AS BIGINT)) - 1
+              AS page_no, id, title, text FROM extracts"""
+        ),
+        "stream_batch_counts": _with(
+            """SELECT 1 - CAST(id AS BIGINT) % 2 AS batch, count(*) AS pages_read,
+              count(text) AS pages_complete,
+              sum(CASE WHEN id IN (SELECT id FROM kept) THEN 1 ELSE 0 END)::BIGINT AS pages_kept,
+              0::BIGINT AS pages_rejected
+            FROM wiki GROUP BY 1"""
+        ),
         "json_docs_write": _with(
             "SELECT id, string_agg(key || '=' || value, ';' ORDER BY key) AS doc FROM entries "
             "GROUP BY id"
@@ -481,6 +495,21 @@ def oracle_sql() -> dict[str, str]:
             """SELECT query_id, h.doc_id, round(score, 6) AS score, source AS title, text
             FROM text_hits h JOIN documents d ON d.doc_id = h.doc_id"""
         ),
+        "search_phrases": _with(
+            """SELECT query_id, doc_id, count(*) AS n_matches FROM (
+              SELECT p.query_id, doc_id, pos - slot AS start FROM phrase_words p
+              JOIN phrase_sizes s ON s.query_id = p.query_id JOIN tokens t ON t.term = p.term
+              GROUP BY p.query_id, doc_id, pos - slot, n HAVING count(*) = n) m
+            GROUP BY query_id, doc_id""",
+            {
+                "phrase_words": r"""SELECT query_id, w AS term, slot FROM (
+                    SELECT query_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS slot FROM (
+                      SELECT query_id, list_filter(regexp_split_to_array(lower(raw), '\s+'),
+                        lambda w: w <> '') AS ws FROM text_queries) a) t
+                    WHERE regexp_matches(w, '^[a-z0-9]+$')""",
+                "phrase_sizes": "SELECT query_id, count(*) AS n FROM phrase_words GROUP BY query_id",
+            },
+        ),
         "search_hit_counts": _with(
             """SELECT q.query_id, count(doc_id) AS n_hits FROM text_queries q
             LEFT JOIN text_hits h ON h.query_id = q.query_id GROUP BY q.query_id"""

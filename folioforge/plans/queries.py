@@ -18,6 +18,7 @@ from ..operators import counters, display, documents, index, live, pages, search
 from ..session import materialize, scratch_path, scratch_root
 from ..sources import csv, documents_json, store, xml
 from ..sources.tables import read_table, spread
+from .. import streaming
 from . import etl
 from .fixture import wiki_pages
 
@@ -184,6 +185,36 @@ def csv_append_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return csv.read_extract(spark, path)
 
 
+@register
+def csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "lines")
+    rows = texts(spark, folder).select(F.col("doc_id").cast("string").alias("id"), "title", "text")
+    csv.write_extract(rows, path, parts=1)
+    return csv.read_extract(spark, path, multi_line=True)
+
+
+def _stream(spark: SparkSession, folder: str) -> str:
+    """Two dumps of the wiki pages, by the last bit of their ids, streamed one after the other."""
+    path = scratch_path(spark, "stream")
+    wiki = wiki_pages(spark, folder)
+    for bit in (1, 0):
+        part = wiki.where(F.col("id").cast("bigint") % 2 == bit)
+        xml.write_page_dump(part, f"{path}/dumps/part-{1 - bit}")
+        streaming.stream_numbered(
+            spark, f"{path}/dumps/*", f"{path}/out", f"{path}/progress").awaitTermination()
+    return f"{path}/out"
+
+
+@register
+def stream_numbered_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return streaming.numbered_pages(spark, _stream(spark, folder)).select("page_no", "id", "title", "text")
+
+
+@register
+def stream_batch_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return streaming.batch_counts(spark, _stream(spark, folder))
+
+
 @register
 def json_docs_write(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "documents")
@@ -564,6 +595,11 @@ def _live_query() -> Column:
     return F.when(F.col("p_partkey") % 2 == 0, revised).otherwise(_name_query())
 
 
+@register
+def search_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search_phrases(text_queries(spark, folder), text_index(spark, folder))
+
+
 @register
 def search_after_upsert(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "live")

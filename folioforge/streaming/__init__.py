@@ -1,5 +1,5 @@
 """The append sink as a file stream."""
 
-from .append import stream_extracts
+from .append import batch_counts, numbered_pages, stream_extracts, stream_numbered
 
-__all__ = ["stream_extracts"]
+__all__ = ["batch_counts", "numbered_pages", "stream_extracts", "stream_numbered"]

@@ -1,9 +1,11 @@
 import os
+import random
+from collections import Counter
 
 from folioforge.operators import counters, pages
 from folioforge.plans import etl
 from folioforge.sources import csv, documents_json, xml
-from folioforge.streaming import stream_extracts
+from folioforge.streaming import append, batch_counts, numbered_pages, stream_extracts, stream_numbered
 
 DUMP = """<mediawiki><siteinfo><sitename>x</sitename></siteinfo>
 <page><title>One &amp; only</title><ns>0</ns><id>10</id>
@@ -95,6 +97,27 @@ def test_csv_with_line_breaks_and_existing_target(spark, fresh):
         raise AssertionError("an existing target must not be replaced")
 
 
+def test_csv_rows_over_several_lines_are_read_by_several_tasks(spark, fresh):
+    rng = random.Random(3)
+    cell = lambda: "".join(rng.choice(['"', "\n", ",", "a", "b c", '""', "\r\n", "|", "\n\n"])
+                           for _ in range(rng.randint(0, 60)))
+    rows = [(str(i), cell(), cell()) for i in range(3000)]
+    rows[1500] = ("1500", "long\n" * 20_000, '"\n"' * 3000)
+    df = spark.createDataFrame(rows, csv.EXTRACT_SCHEMA)
+    csv.write_extract(df.coalesce(1), fresh)
+    csv.append_extract(df.limit(10), fresh)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        read = csv.read_extract(spark, fresh, multi_line=True)
+        assert csv._numbered_lines(spark, fresh).rdd.getNumPartitions() > 8
+        found = Counter(map(tuple, read.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == Counter(rows) + Counter(rows[:10])
+
+
 def test_appended_chunks(spark, fresh):
     df = spark.range(10).selectExpr("cast(id as string) id", "'t' title", "'x' text").coalesce(1)
     csv.append_extract(df, fresh, chunk_rows=4)
@@ -129,6 +152,43 @@ def test_stream_appends_new_dumps_only(spark, fresh):
     assert run() == ["10", "20"]
 
 
+def test_stream_numbers_pages_through_batches_and_once(spark, fresh, monkeypatch):
+    def dump(ids):
+        return "<mediawiki>" + "".join(
+            DUMP.split("</siteinfo>")[1].split("<page><title>Two")[0].replace("<id>10</id>", f"<id>{i}</id>")
+            for i in ids) + "<page><id>7</id><title>x</page></mediawiki>"
+
+    def run():
+        stream_numbered(spark, fresh + "/in", fresh + "/out", fresh + "/progress").awaitTermination()
+        return [(r.page_no, r.id, r.batch) for r in numbered_pages(spark, fresh + "/out").orderBy("page_no").collect()]
+
+    write_dump(fresh + "/in", "a.xml", dump([30, 4, 20]))
+    first = [(0, "4", 0), (1, "20", 0), (2, "30", 0)]
+    assert run() == first
+    write_dump(fresh + "/in", "b.xml", dump([9, 8]))
+    replace, calls = append._replace_batch, []
+
+    def fail_at_the_counts(rows, path, batch):
+        calls.append(path)
+        if len(calls) == 2:
+            raise OSError("lost")
+        replace(rows, path, batch)
+
+    monkeypatch.setattr(append, "_replace_batch", fail_at_the_counts)
+    try:
+        run()
+    except Exception as error:
+        assert "lost" in str(error)
+    monkeypatch.undo()
+    assert [(r.page_no, r.id) for r in numbered_pages(spark, fresh + "/out").orderBy("page_no").collect()] == [
+        r[:2] for r in first]
+    # The batch is tried again, from the same number on.
+    assert run() == [*first, (3, "8", 1), (4, "9", 1)]
+    assert run() == [*first, (3, "8", 1), (4, "9", 1)]
+    counts = {r.batch: (r.pages_read, r.pages_kept, r.pages_rejected) for r in batch_counts(spark, fresh + "/out").collect()}
+    assert counts == {0: (4, 3, 1), 1: (3, 2, 1)}
+
+
 def test_counters(spark, fresh):
     write_dump(fresh)
     write_dump(fresh, "bad.xml", "<mediawiki><page><id>7</id><title>x</page></mediawiki>")
