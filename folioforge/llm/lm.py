@@ -215,38 +215,57 @@ def unroll(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray
 
 
 def _softmax(
-    logits: np.ndarray, target: np.ndarray, whole: bool = True
-) -> tuple[np.ndarray, np.ndarray]:
-    """(log of the target's probability, all probabilities if ``whole``)."""
-    logits -= logits.max(axis=1, keepdims=True)
-    chosen = logits[np.arange(len(target)), target]
+    states: np.ndarray, weights: np.ndarray, bias: np.ndarray, reach: float, target: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log of each target's probability, exponentials of the logits, their sums).
+
+    ``reach`` is above all logits, as states lie between -1 and 1; where a row is so far below
+    that its sum vanishes, its own maximum is taken.
+    """
+    logits = states @ weights
+    logits += bias - logits.dtype.type(reach)
+    rows = np.arange(len(target))
+    chosen = logits[rows, target]
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    if whole:
-        logits /= total[:, None]
-    return chosen - np.log(total), logits
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    far = np.flatnonzero(total < 1e-20)
+    if len(far):
+        again = states[far] @ weights + bias
+        again -= again.max(axis=1, keepdims=True)
+        chosen[far] = again[np.arange(len(far)), target[far]]
+        logits[far] = np.exp(again)
+        total[far] = logits[far].sum(axis=1)
+    return chosen - np.log(total), logits, total
+
+
+def _reach(model: Model) -> tuple[float, np.ndarray]:
+    """What no logit exceeds: of the classes, and of the words of each class."""
+    parts = model.parts
+    classes = np.abs(parts["class_weights"]).sum(axis=0) + parts["class_bias"]
+    words = np.abs(parts["word_weights"]).sum(axis=1) + parts["word_bias"]
+    return float(classes.max()), np.maximum.reduceat(words, model.limits[:-1])
 
 
-def by_class(model: Model, target: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(begin, end) of each class that occurs among the targets, and where."""
+def by_class(model: Model, target: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(class, begin, end) of each class that occurs among the targets, and where."""
     group = model.class_of[target]
     order = np.argsort(group, kind="stable")
     begins = np.flatnonzero(np.diff(group[order], prepend=-1))
     for i, j in zip(begins.tolist(), [*begins[1:].tolist(), len(order)]):
-        c = group[order[i]]
-        yield int(model.limits[c]), int(model.limits[c + 1]), order[i:j]
+        c = int(group[order[i]])
+        yield c, int(model.limits[c]), int(model.limits[c + 1]), order[i:j]
 
 
 def log_probabilities(model: Model, states: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural logs of the targets' probabilities after the states, one row each."""
     parts = model.parts
-    found, _ = _softmax(states @ parts["class_weights"] + parts["class_bias"],
-                        model.class_of[target], whole=False)
-    found = found.astype(np.float64)
-    for low, high, rows in by_class(model, target):
+    top, tops = _reach(model)
+    found = _softmax(states, parts["class_weights"], parts["class_bias"], top,
+                     model.class_of[target])[0].astype(np.float64)
+    for c, low, high, rows in by_class(model, target):
         if high - low > 1:
-            logits = states[rows] @ parts["word_weights"][low:high].T + parts["word_bias"][low:high]
-            found[rows] += _softmax(logits, target[rows] - low, whole=False)[0]
+            found[rows] += _softmax(states[rows], parts["word_weights"][low:high].T,
+                                    parts["word_bias"][low:high], tops[c], target[rows] - low)[0]
     return found
 
 
@@ -261,23 +280,25 @@ def gradients(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndar
     states, (before, gates, inner, candidates) = unroll(model, inputs, keep, state, True)
     at = np.flatnonzero(wanted.reshape(-1))
     h, aim = states.reshape(-1, HIDDEN)[at], target.reshape(-1)[at]
-    scale = np.float32(1 / max(1, len(at)))
+    scale = h.dtype.type(1 / max(1, len(at)))
     classes = model.class_of[aim]
-    logs, p = _softmax(h @ parts["class_weights"] + parts["class_bias"], classes)
+    top, tops = _reach(model)
+    logs, p, total = _softmax(h, parts["class_weights"], parts["class_bias"], top, classes)
     loss = -float(logs.sum())
-    p[np.arange(len(at)), classes] -= 1
-    p *= scale
+    p *= (scale / total)[:, None]
+    p[np.arange(len(at)), classes] -= scale
     slopes: dict[str, np.ndarray] = {"class_weights": h.T @ p, "class_bias": p.sum(axis=0)}
     back = p @ parts["class_weights"].T
     words: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-    for low, high, rows in by_class(model, aim):
+    for c, low, high, rows in by_class(model, aim):
         if high - low > 1:
             some = h[rows]
             weights = parts["word_weights"][low:high]
-            logs, p = _softmax(some @ weights.T + parts["word_bias"][low:high], aim[rows] - low)
+            logs, p, total = _softmax(
+                some, weights.T, parts["word_bias"][low:high], tops[c], aim[rows] - low)
             loss -= float(logs.sum())
-            p[np.arange(len(rows)), aim[rows] - low] -= 1
-            p *= scale
+            p *= (scale / total)[:, None]
+            p[np.arange(len(rows)), aim[rows] - low] -= scale
             back[rows] += p @ weights
             words.append((low, high, p.T @ some, p.sum(axis=0)))
     outer = np.zeros((steps * lanes, HIDDEN), h.dtype)

@@ -219,3 +219,20 @@ def test_likelihoods_of_whole_documents(spark):
         # The model gives documents it has not seen a higher probability than frequencies do.
         assert sum(r.score for r in some) > 0.98 * sum(r.base_score for r in some)
         assert sum(r.score > r.base_score for r in some) > 0.8 * len(some)
+
+
+def test_logits_far_below_their_bound_keep_their_probabilities():
+    draw = np.random.default_rng(6)
+    states = draw.uniform(-1, 1, (9, lm.HIDDEN)).astype(np.float32)
+    weights = draw.normal(0, 1, (lm.HIDDEN, 12)).astype(np.float32)
+    weights[:, 5] = 40 * np.sign(draw.normal(size=lm.HIDDEN))
+    bias = draw.normal(0, 3, 12).astype(np.float32)
+    target = np.arange(9)
+    logits = states.astype(np.float64) @ weights + bias
+    wanted = logits - np.log(np.exp(logits - logits.max(axis=1, keepdims=True)).sum(axis=1))[:, None]
+    wanted -= logits.max(axis=1, keepdims=True)
+    reach = float((np.abs(weights).sum(axis=0) + bias).max())
+    assert (logits.max(axis=1) < reach - 100).any()
+    found, exps, total = lm._softmax(states, weights, bias, reach, target)
+    assert np.allclose(found, wanted[np.arange(9), target], rtol=1e-4, atol=1e-3)
+    assert np.allclose((exps / total[:, None]).sum(axis=1), 1, rtol=1e-5)
