@@ -161,7 +161,8 @@ class Model:
             size = int(np.prod(shape))
             self.parts[name] = numbers[at : at + size].reshape(shape)
             at += size
-        self.class_of = np.repeat(np.arange(len(limits) - 1), np.diff(limits))
+        # Small integers: sorting by them takes one pass.
+        self.class_of = np.repeat(np.arange(len(limits) - 1, dtype=np.int16), np.diff(limits))
 
 
 def untrained(known: Vocabulary) -> Model:
@@ -187,31 +188,39 @@ def unroll(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray
     """
     parts = model.parts
     steps, lanes = inputs.shape
-    given = (parts["embedding"][inputs.reshape(-1)] @ parts["inner"] + parts["gates"]).reshape(
-        steps, lanes, -1)
+    # The logistic function is a hyperbolic tangent of half its argument.
+    half = np.ones(3 * HIDDEN, model.numbers.dtype)
+    half[: 2 * HIDDEN] = 0.5
+    given = parts["embedding"][inputs.reshape(-1)] @ (parts["inner"] * half)
+    given += parts["gates"] * half
+    given = given.reshape(steps, lanes, 3 * HIDDEN)
+    turn = parts["state"] * half
     states = np.empty((steps, lanes, HIDDEN), given.dtype)
     begins = (keep == 0).any(axis=1).tolist()
-    stored = [], [], [], []
+    stored: tuple = ()
+    if way_back:
+        stored = (np.empty_like(states), np.empty((steps, lanes, 2 * HIDDEN), given.dtype),
+                  np.empty_like(states), np.empty_like(states))
+        before, gates, inner, candidates = stored
     for t in range(steps):
         h = state * keep[t][:, None] if begins[t] else state
-        a = h @ parts["state"]
-        # The logistic function, as a hyperbolic tangent.
-        g = given[t, :, : 2 * HIDDEN] + a[:, : 2 * HIDDEN]
-        g *= 0.5
+        a = h @ turn
+        g = gates[t] if way_back else np.empty((lanes, 2 * HIDDEN), given.dtype)
+        np.add(given[t, :, : 2 * HIDDEN], a[:, : 2 * HIDDEN], out=g)
         np.tanh(g, out=g)
         g += 1
         g *= 0.5
-        n = g[:, HIDDEN:] * a[:, 2 * HIDDEN :]
+        n = candidates[t] if way_back else np.empty((lanes, HIDDEN), given.dtype)
+        np.multiply(g[:, HIDDEN:], a[:, 2 * HIDDEN :], out=n)
         n += given[t, :, 2 * HIDDEN :]
         np.tanh(n, out=n)
+        if way_back:
+            before[t], inner[t] = h, a[:, 2 * HIDDEN :]
         state = states[t]
         np.subtract(h, n, out=state)
         state *= g[:, :HIDDEN]
         state += n
-        if way_back:
-            for column, value in zip(stored, (h, g, a[:, 2 * HIDDEN :], n)):
-                column.append(value)
-    return states, tuple(np.stack(column) for column in stored) if way_back else None
+    return states, stored
 
 
 def _softmax(
@@ -334,7 +343,7 @@ def gradients(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndar
     slopes["gates"] = flat.sum(axis=0)
     read = inputs.reshape(-1)
     slopes["inner"] = parts["embedding"][read].T @ flat
-    order = np.argsort(read, kind="stable")
+    order = np.argsort(read.astype(np.uint16), kind="stable")
     begins = np.flatnonzero(np.diff(read[order], prepend=-1))
     embedded = (np.add.reduceat((flat @ parts["inner"].T)[order], begins), read[order][begins])
     return loss, (slopes, embedded, words), states[-1]
@@ -367,101 +376,83 @@ class Trainer:
             self._step("word_bias", bias * size, slice(low, high))
 
 
-def windows(texts: Iterator[np.ndarray], end: int):
-    """(lanes, targets, first, wanted) of texts that run through ``LANES``, one behind the other.
-
-    ``first`` marks the words a text begins with, ``wanted`` all but the filling behind the last.
-    When texts run out, windows become longer as lanes become fewer, so that each has as many words.
-    """
-    held = [np.empty(0, np.int64)] * LANES
-    active = np.arange(LANES)
-    steps, more = STEPS, True
-    while len(active):
-        target = np.full((steps, len(active)), end, np.int64)
-        wanted = np.zeros((steps, len(active)), bool)
-        first = np.zeros((steps, len(active)), bool)
-        for place, lane in enumerate(active.tolist()):
-            at = 0
-            while at < steps:
-                own = held[lane]
-                if not len(own):
-                    own = next(texts, None) if more else None
-                    if own is None:
-                        more = False
-                        break
-                    first[at, place] = True
-                n = min(steps - at, len(own))
-                target[at : at + n, place] = own[:n]
-                wanted[at : at + n, place] = True
-                held[lane] = own[n:]
-                at += n
-        if wanted.any():
-            yield active, target, first, wanted
-        if not more:
-            active = np.array([lane for lane in active.tolist() if len(held[lane])], np.int64)
-            steps = min(LONGEST, STEPS * LANES // max(1, len(active)))
+class Lanes:
+    """Texts that run through lanes, one behind the other, each to the emptiest lane."""
+
+    def __init__(self, texts: list[np.ndarray], lanes: int) -> None:
+        own: list[list[int]] = [[] for _ in range(min(lanes, len(texts)))]
+        load = [(0, lane) for lane in range(len(own))]
+        for i, text in enumerate(texts):
+            size, lane = load[0]
+            own[lane].append(i)
+            heapq.heapreplace(load, (size + len(text), lane))
+        sizes = [sum(len(texts[i]) for i in some) for some in own]
+        self.order = [i for _, some in sorted(zip(sizes, own), key=lambda x: -x[0]) for i in some]
+        # All lanes one behind the other; lane by lane its begin and size, the largest first.
+        self.sizes = np.array(sorted(sizes, reverse=True), np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.lengths = np.array([len(texts[i]) for i in self.order], np.int64)
+        self.places = np.concatenate([np.empty(0, np.int64), *(texts[i] for i in self.order)])
+        self.first = np.zeros(len(self.places) + 1, bool)
+        self.first[np.cumsum(self.lengths) - self.lengths] = True
+
+    def windows(self, steps: int, longest: int, end: int):
+        """(index, target, first, wanted) of the lanes that are left, which come first.
+
+        ``first`` marks the words a text begins with, ``wanted`` all but the filling behind a
+        lane's last.  Windows grow up to ``longest`` steps as lanes become fewer, so that each has
+        as many words.
+        """
+        words, at = steps * len(self.sizes), 0
+        while (n := int((self.sizes > at).sum())):
+            steps = min(longest, max(steps, words // n))
+            step = at + np.arange(steps)[:, None]
+            wanted = step < self.sizes[:n]
+            index = np.where(wanted, self.begins[:n] + step, 0)
+            yield index, np.where(wanted, self.places[index], end), self.first[index] & wanted, wanted
+            at += steps
 
 
 def train_on(
-    model: Model, seen: Model, texts: Iterator[np.ndarray], end: int
+    model: Model, seen: Model, texts: list[np.ndarray], end: int
 ) -> tuple[int, float]:
-    """Train on texts of model places that end in ``end``; gives tokens and the mean loss."""
+    """Train on texts of model places that end in ``end``; gives tokens and the mean loss.
+
+    A text's words follow the end token, which is the last to be predicted; its state starts anew.
+    """
     trainer = Trainer(model, seen)
-    states = np.zeros((LANES, HIDDEN), np.float32)
-    last = np.full(LANES, end, np.int64)
+    lanes = Lanes(texts, LANES)
+    state = np.zeros((len(lanes.sizes), HIDDEN), np.float32)
+    last = np.full(len(lanes.sizes), end, np.int64)
     tokens, total = 0, 0.0
-    for lanes, target, first, wanted in windows(texts, end):
-        inputs = np.vstack([last[None, lanes], target[:-1]])
+    for _, target, first, wanted in lanes.windows(STEPS, LONGEST, end):
+        left = target.shape[1]
+        inputs = np.vstack([last[None, :left], target[:-1]])
         inputs[first] = end
         n = int(wanted.sum())
-        loss, slopes, states[lanes] = gradients(
-            model, inputs, (~first).astype(np.float32), states[lanes], target, wanted)
+        loss, slopes, state = gradients(
+            model, inputs, (~first).astype(np.float32), state[:left], target, wanted)
         # Few texts say little of the others, however long they are.
-        trainer.step(slopes, len(lanes) / LANES * n / wanted.size)
-        last[lanes] = target[-1]
+        trainer.step(slopes, left / LANES * n / wanted.size)
+        last = target[-1]
         tokens, total = tokens + n, total + loss
     return tokens, total / max(1, tokens)
 
 
 def score_texts(model: Model, texts: list[np.ndarray], end: int) -> np.ndarray:
-    """Sums of the natural logs of the probabilities of each text's tokens, all in one pass.
-
-    Lanes get texts by length, the longest first, always to the emptiest lane.
-    """
+    """Sums of the natural logs of the probabilities of each text's tokens, all in one pass."""
     scores = np.zeros(len(texts), np.float64)
     by_length = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    lanes = min(SCORE_LANES, len(texts))
-    own: list[list[int]] = [[] for _ in range(lanes)]
-    load = [(0, lane) for lane in range(lanes)]
-    for i in by_length:
-        size, lane = load[0]
-        own[lane].append(i)
-        heapq.heapreplace(load, (size + len(texts[i]), lane))
-    own.sort(key=lambda some: -sum(len(texts[i]) for i in some))
-    order = [i for some in own for i in some]
-    if not order:
-        return scores
-    # All lanes one behind the other; lane by lane its begin and size, the largest first.
-    places = np.concatenate([texts[i] for i in order])
-    lengths = np.array([len(texts[i]) for i in order])
-    who = np.repeat(order, lengths)
-    fresh = np.zeros(len(places) + 1, bool)
-    fresh[np.cumsum(lengths) - lengths] = True
-    sizes = np.array([sum(len(texts[i]) for i in some) for some in own])
-    begins = np.cumsum(sizes) - sizes
-    state = np.zeros((lanes, HIDDEN), np.float32)
-    last = np.full(lanes, end, np.int64)
-    step = np.arange(SCORE_STEPS)[:, None]
-    for at in range(0, int(sizes.max()), SCORE_STEPS):
-        n = int((sizes > at).sum())  # the lanes that are left come first
-        real = at + step < sizes[:n]
-        index = np.where(real, begins[:n] + at + step, 0)
-        target = np.where(real, places[index], end)
-        keep = 1 - (fresh[index] & real).astype(np.float32)
-        inputs = np.vstack([last[None, :n], target[:-1]])
-        inputs[keep == 0] = end
-        states, _ = unroll(model, inputs, keep, state[:n])
-        chosen = np.flatnonzero(real.reshape(-1))
+    lanes = Lanes([texts[i] for i in by_length], SCORE_LANES)
+    who = np.repeat(np.array(by_length, np.int64)[lanes.order], lanes.lengths)
+    state = np.zeros((len(lanes.sizes), HIDDEN), np.float32)
+    last = np.full(len(lanes.sizes), end, np.int64)
+    for index, target, first, wanted in lanes.windows(SCORE_STEPS, SCORE_STEPS, end):
+        left = target.shape[1]
+        inputs = np.vstack([last[None, :left], target[:-1]])
+        inputs[first] = end
+        states, _ = unroll(model, inputs, (~first).astype(np.float32), state[:left])
+        chosen = np.flatnonzero(wanted.reshape(-1))
         logs = log_probabilities(
             model, states.reshape(-1, HIDDEN)[chosen], target.reshape(-1)[chosen])
         scores += np.bincount(who[index.reshape(-1)[chosen]], logs, len(texts))
@@ -640,8 +631,8 @@ def train(coded: DataFrame, known: Vocabulary, rounds: int = ROUNDS,
         def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             *both, limits = now.value
             copy, own = (Model(x.copy(), limits) for x in both)
-            texts = (np.frombuffer(x, "<u2").astype(np.int64)
-                     for batch in batches for x in batch.column(0).to_pylist())
+            texts = [np.frombuffer(x, "<u2").astype(np.int64)
+                     for batch in batches for x in batch.column(0).to_pylist()]
             tokens, _ = train_on(copy, own, texts, end)
             whole = np.concatenate([copy.numbers, own.numbers]) * np.float32(tokens)
             blocks = [whole[i : i + BLOCK].tobytes() for i in range(0, len(whole), BLOCK)]

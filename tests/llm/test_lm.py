@@ -67,7 +67,7 @@ def trained():
     encoder = lm.Encoder(known)
     end = int(known.entry[known.words.index(b"")])
     coded = [encoder.encode([t.encode()])[1] for t in texts]
-    losses = [lm.train_on(model, seen, iter(coded), end)[1] for _ in range(8)]
+    losses = [lm.train_on(model, seen, coded, end)[1] for _ in range(8)]
     return texts, known, counts, model, encoder, end, coded, losses
 
 
@@ -153,23 +153,23 @@ def test_slopes_are_those_of_the_loss(trained):
             assert abs((up - down) / (2 * change) - slope[i]) < 2e-3 * max(0.05, abs(slope[i])), name
 
 
-def test_windows_hold_every_word_once_and_stay_of_a_size(monkeypatch):
-    monkeypatch.setattr(lm, "LANES", 4)
-    monkeypatch.setattr(lm, "STEPS", 3)
+def test_lanes_hold_every_word_once_in_windows_of_a_size():
     draw = np.random.default_rng(4)
     texts = [draw.integers(1, 50, n) for n in (1, 40, 3, 7, 90, 2, 5)]
-    lanes = [[] for _ in range(4)]
-    for active, target, first, wanted in lm.windows(iter(texts), 0):
-        assert target.size <= 12
-        for place, lane in enumerate(active):
-            lanes[lane] += [(t, f) for t, f, w in zip(target[:, place], first[:, place], wanted[:, place]) if w]
+    lanes = lm.Lanes(texts, 4)
+    rows = [[] for _ in range(4)]
+    for index, target, first, wanted in lanes.windows(3, 8, 0):
+        assert target.size <= 12 and (lanes.places[index][wanted] == target[wanted]).all()
+        for lane in range(target.shape[1]):
+            rows[lane] += [(t, f) for t, f, w in zip(target[:, lane], first[:, lane], wanted[:, lane]) if w]
     found = []
-    for lane in lanes:
-        for word, begins in lane:
+    for row in rows:
+        for word, begins in row:
             if begins:
                 found.append([])
             found[-1].append(int(word))
     assert sorted(found) == sorted(t.tolist() for t in texts)
+    assert list(lm.Lanes([], 4).windows(3, 8, 0)) == []
 
 
 def test_copies_are_averaged_by_their_tokens(spark, monkeypatch):
