@@ -23,7 +23,8 @@ URL_RULES = [
 
 
 def op1_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return sharding.assign(common.table(spark, folder, "documents").select("doc_id"), ["doc_id"])
+    """Whole documents by their source, so that one source may own a large share of the rows."""
+    return sharding.assign(common.table(spark, folder, "documents"), ["source"])
 
 
 def op2_pack_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,49 +121,82 @@ def _license_sql() -> str:
         f"({i}, {quote(name)}, {quote(text)})" for i, (name, text) in enumerate(licenses.TEMPLATES))
     plain = f"translate({{}}, '{licenses.UPPER}', '{licenses.LOWER}')"
     words = lambda text: f"regexp_extract_all({plain.format(text)}, '[a-z0-9]+')"
+    different = lambda text: f"list_distinct({words(text)})"
+    likely = lambda text: (
+        f"coalesce(len(list_intersect({different(text)}, vocabulary)) >= {licenses.TEMPLATE_SHARE} "
+        f"* nullif(len({different(text)}), 0), false)")
+
+    def best(texts: str, key: str) -> str:
+        """Names of expressions: terms, weights, norms, dots and the best template of texts."""
+        return f"""{key}_terms AS (
+  SELECT {key}, term, count(*) AS tf
+  FROM (SELECT {key}, unnest({words(key)}) AS term FROM {texts}) GROUP BY ALL
+), {key}_weighed AS (
+  SELECT {key}, t.term, tf * coalesce(idf, ln(total + 1.0) + 1.0) AS w
+  FROM {key}_terms t CROSS JOIN total LEFT JOIN idf ON idf.term = t.term
+), {key}_norms AS (SELECT {key}, sqrt(sum(w * w)) AS norm FROM {key}_weighed GROUP BY {key}),
+{key}_dots AS (
+  SELECT {key}, template, sum(w * tw) AS dot FROM {key}_weighed JOIN phrases USING (term) GROUP BY ALL
+), {key}_best AS (
+  SELECT {key}, license, cosine FROM (
+    SELECT {key}, license, round(dot / (norm * tn), 6) AS cosine,
+           row_number() OVER (PARTITION BY {key}
+                              ORDER BY round(dot / (norm * tn), 6) DESC, license) AS place
+    FROM {key}_dots JOIN {key}_norms USING ({key}) JOIN phrase_norms USING (template)
+    JOIN known USING (template))
+  WHERE place = 1 AND cosine >= {licenses.COSINE}
+)"""
+
     return f"""
 WITH known(template, license, phrase) AS (VALUES {values}),
+phrase_terms AS (
+  SELECT template, term, count(*) AS tf
+  FROM (SELECT template, unnest({words("phrase")}) AS term FROM known) GROUP BY ALL
+), vocabularies AS (SELECT list(DISTINCT term) AS vocabulary FROM phrase_terms),
 files AS (
   SELECT doc_id, coalesce(text, '') AS text,
          concat_ws('/', source, lang, doc_id // 100, doc_id) AS path
   FROM documents
+), lines AS (
+  SELECT path, text, line, i, vocabulary, {likely("line")} AS likely
+  FROM (SELECT path, text, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM files WHERE regexp_matches({plain.format("text")}, '{licenses.HEADER}')) s
+  CROSS JOIN vocabularies
+), starts AS (
+  SELECT a.path, a.text, a.line, a.i, (
+      SELECT coalesce(min(b.i), 1000000000) FROM lines b
+      WHERE b.path = a.path AND b.i > a.i AND NOT b.likely) AS stop
+  FROM lines a WHERE regexp_matches({plain.format("a.line")}, '{licenses.HEADER}')
 ), headers AS (
-  SELECT path, text, line
-  FROM (SELECT path, text, unnest(string_split(text, chr(10))) AS line FROM files)
-  WHERE regexp_matches({plain.format("line")}, '{licenses.HEADER}')
-), lines AS (SELECT line, count(*) AS n FROM headers GROUP BY line),
-terms AS (
-  SELECT line, n, term, count(*) AS tf
-  FROM (SELECT line, n, unnest({words("line")}) AS term FROM lines) GROUP BY ALL
-), phrase_terms AS (
-  SELECT template, term, count(*) AS tf
-  FROM (SELECT template, unnest({words("phrase")}) AS term FROM known) GROUP BY ALL
-), total AS (SELECT coalesce(sum(n), 0) AS total FROM lines),
+  SELECT DISTINCT path, text, line AS header FROM starts
+  UNION SELECT s.path, any_value(s.text), string_agg(l.line, ' ' ORDER BY l.i)
+  FROM starts s JOIN lines l ON l.path = s.path AND l.i >= s.i AND l.i < s.stop
+  GROUP BY s.path, s.i HAVING count(*) > 1
+), blocks AS (SELECT header, count(*) AS n FROM headers GROUP BY header),
+total AS (SELECT coalesce(sum(n), 0) AS total FROM blocks),
 idf AS (
   SELECT v.term, ln((total + 1.0) / (1.0 + coalesce(sum(n), 0))) + 1.0 AS idf
   FROM (SELECT DISTINCT term FROM phrase_terms) v CROSS JOIN total
-  LEFT JOIN terms ON terms.term = v.term GROUP BY v.term, total
+  LEFT JOIN (SELECT n, unnest({different("header")}) AS term FROM blocks) t ON t.term = v.term
+  GROUP BY v.term, total
 ), phrases AS (SELECT template, term, tf * idf AS tw FROM phrase_terms JOIN idf USING (term)),
 phrase_norms AS (SELECT template, sqrt(sum(tw * tw)) AS tn FROM phrases GROUP BY template),
-weighed AS (
-  SELECT line, terms.term, tf * coalesce(idf, ln(total + 1.0) + 1.0) AS w
-  FROM terms CROSS JOIN total LEFT JOIN idf USING (term)
-), norms AS (SELECT line, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY line),
-dots AS (
-  SELECT line, template, sum(w * tw) AS dot FROM weighed JOIN phrases USING (term) GROUP BY ALL
-), best AS (
-  SELECT line, license, cosine FROM (
-    SELECT line, license, round(dot / (norm * tn), 6) AS cosine,
-           row_number() OVER (PARTITION BY line
-                              ORDER BY round(dot / (norm * tn), 6) DESC, license) AS place
-    FROM dots JOIN norms USING (line) JOIN phrase_norms USING (template) JOIN known USING (template))
-  WHERE place = 1 AND cosine >= {licenses.COSINE}
+wholes AS (
+  SELECT DISTINCT text AS whole FROM files CROSS JOIN vocabularies
+  WHERE regexp_matches({plain.format("text")}, '{licenses.HEADER}') AND {likely("text")}
+), {best("blocks", "header")}, {best("wholes", "whole")},
+near AS (
+  SELECT path, license, cosine, 0 AS kind,
+         len({words("header")}) >= {licenses.FILE_SHARE} * len({words("text")})
+         OR regexp_matches({plain.format("path")}, '{licenses.FILE_NAME}') AS is_file
+  FROM headers JOIN header_best USING (header)
+  UNION ALL SELECT path, license, cosine, 1, true FROM files JOIN whole_best ON whole = text
 ), own AS (
-  SELECT path, license, cosine, is_file FROM (
-    SELECT path, license, cosine,
-           len({words("line")}) >= {licenses.FILE_SHARE} * len({words("text")}) AS is_file,
-           row_number() OVER (PARTITION BY path ORDER BY cosine DESC, license, line) AS place
-    FROM headers JOIN best USING (line))
+  SELECT path, license, cosine, kind, is_file FROM (
+    SELECT path, license, cosine, kind, bool_or(is_file) OVER (PARTITION BY path) AS is_file,
+           row_number() OVER (PARTITION BY path ORDER BY cosine DESC, license, kind) AS place
+    FROM near)
   WHERE place = 1
 ), license_files AS (
   SELECT folder, license, cosine FROM (
@@ -179,7 +213,7 @@ dots AS (
   WHERE place = 1
 )
 SELECT files.doc_id, files.path, coalesce(own.license, nearest.license) AS license,
-       CASE WHEN own.license IS NOT NULL THEN 'header'
+       CASE WHEN own.license IS NOT NULL THEN CASE kind WHEN 1 THEN 'text' ELSE 'header' END
             WHEN nearest.license IS NOT NULL THEN 'directory' ELSE 'none' END AS basis,
        coalesce(own.cosine, nearest.cosine) AS similarity
 FROM files LEFT JOIN own ON own.path = files.path

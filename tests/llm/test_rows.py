@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
 from folioforge.llm import ann, common, decontaminate, licenses, quality, queries, sharding, urlfilter
@@ -43,16 +45,50 @@ def test_lookup_table():
     assert moved < 0.1 * len(big)
 
 
+def slot_of(key, piece, slots):
+    """Spark's hash of the key column, then of the piece, chained by its seed."""
+    h = 42 if key is None else xxhash.xxh64_intdigest(key.encode(), 42)
+    if piece:
+        h = xxhash.xxh64_intdigest(piece.to_bytes(4, "little"), h)
+    h -= (1 << 64) if h >> 63 else 0
+    return h % slots
+
+
+def check_placement(rows, table, slots, key):
+    for r in rows:
+        assert r.slot == slot_of(r[key], r.piece, slots) and r.shard == table[r.slot]
+
+
 def test_sharding_of_odd_rows(spark):
     docs = odd_documents(spark)
-    found = sharding.assign(docs, ["doc_id"], slots=257)
-    assert found.columns == [c for c in docs.columns if c != "slot"] + ["slot", "shard", "piece"]
-    rows = found.collect()
     table = sharding.lookup_table([f"shard-{i:04d}" for i in range(64)], 257)
-    assert len(rows) == len(odd_rows()) and all(table[r.slot] == r.shard for r in rows)
+    for key in ("text", "lang"):
+        found = sharding.assign(docs, [key], slots=257)
+        assert found.columns == [c for c in docs.columns if c != "slot"] + ["slot", "shard", "piece"]
+        rows = found.collect()
+        keep = [i for i, c in enumerate(docs.columns) if c != "slot"]
+        assert Counter(tuple(r)[:-3] for r in rows) == Counter(
+            tuple(r[i] for i in keep) for r in odd_rows())
+        check_placement(rows, table, 257, key)
     assert sharding.assign(no_documents(spark), ["doc_id"], slots=257).count() == 0
 
 
+def test_whole_documents_are_placed_by_their_source(spark):
+    docs = common.table(spark, SMALL, "documents")
+    found = queries.op1_shard_documents(spark, SMALL)
+    assert found.columns == [*docs.columns, "slot", "shard", "piece"]
+    rows = found.collect()
+    assert Counter(tuple(r)[:-3] for r in rows) == Counter(map(tuple, docs.collect()))
+    table = sharding.lookup_table([f"shard-{i:04d}" for i in range(sharding.SHARDS)])
+    check_placement(rows, table, sharding.SLOTS, "source")
+    # Sources with more than half a shard's share are in pieces, those with less are whole.
+    sizes = Counter(r.source for r in rows)
+    pieces = {name: {r.piece for r in rows if r.source == name} for name in sizes}
+    limit = len(rows) // (2 * sharding.SHARDS)
+    assert all((len(pieces[name]) > 1) == (n > limit) for name, n in sizes.items() if n != limit + 1)
+    assert max(Counter(r.shard for r in rows).values()) <= 0.1 * len(rows)
+
+
 def test_a_hot_key_is_split_and_the_shards_stay_even(spark):
     rows = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
     found = sharding.assign(rows, ["k"], [f"n{i}" for i in range(8)], 4099)
@@ -169,6 +205,43 @@ def test_license_scan_of_odd_rows(spark):
     assert licenses.scan(files.limit(0)).count() == 0
 
 
+def wrapped(text, width=60):
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def test_whole_license_texts_and_headers_over_several_lines(spark):
+    mit, isc, bsd = (next(t for name, t in licenses.TEMPLATES if name == n and len(t) > 400)
+                     for n in ("MIT", "ISC", "BSD-3-Clause"))
+    assert mit != isc
+    prose = "\n".join(f"word{i} other{i} and more{i} of it" for i in range(60))
+    notice = "Licensed under the Apache License, Version 2.0 (the\nLicense); you may not use this\nfile except in compliance with the License."
+    gpl = "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n" + prose
+    rows = [
+        ("p/LICENSE", "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + wrapped(mit)),
+        ("p/src/a.py", "x = 1"), ("p/src/deep/b.py", prose), ("q/legal/terms.txt", wrapped(isc, 40)),
+        ("q/legal/x", ""), ("q/x", None), ("r/c.py", wrapped(notice) + "\n" + prose), ("r/d.py", prose),
+        ("s/COPYING", gpl), ("s/e.py", prose), ("t/f.py", gpl), ("t/g.py", prose),
+        ("u/LICENSE.txt", wrapped(bsd, 70)), ("u/h.py", "no license is named here but licensed"),
+    ]
+    schema = "path string, text string, n int, own string, up string, license string, of_path string, basis int, Similarity int"
+    files = spark.createDataFrame([(*r, i, "o", "u", "l", "p", 1, 2) for i, r in enumerate(rows)], schema)
+    scanned = licenses.scan(files)
+    assert scanned.columns == ["n", "own", "up", "of_path", "path", "license", "basis", "similarity"]
+    found = {r.path: (r.license, r.basis) for r in scanned.collect()}
+    assert found["p/LICENSE"][0] == "MIT"
+    assert found["p/src/a.py"] == found["p/src/deep/b.py"] == ("MIT", "directory")
+    assert found["q/legal/terms.txt"][0] == "ISC" and found["q/legal/x"] == ("ISC", "directory")
+    assert found["q/x"] == (None, "none")
+    # A header in the middle of a program is its own, and no license of its folder.
+    assert found["r/c.py"] == ("Apache-2.0", "header") and found["r/d.py"] == (None, "none")
+    # A long text counts for its folder if it is named like a license file.
+    assert found["s/COPYING"] == ("GPL-3.0", "header") and found["s/e.py"] == ("GPL-3.0", "directory")
+    assert found["t/f.py"] == ("GPL-3.0", "header") and found["t/g.py"] == (None, "none")
+    assert found["u/LICENSE.txt"][0] == "BSD-3-Clause" and found["u/h.py"] == ("BSD-3-Clause", "directory")
+    again = {r.path: r.similarity for r in scanned.collect()}
+    assert again["p/LICENSE"] > 0.9 and again["p/src/a.py"] == again["p/LICENSE"]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_with_sql(spark, name):
     con = duckdb.connect()
