@@ -3,16 +3,21 @@
 A byte goes if it is covered by a string of ``width`` bytes that starts anywhere else, too.
 Every window of that width is represented by one anchor inside it: the leftmost 16-byte gram
 with the smallest hash among its first places.  Equal windows have equal anchors, so only
-anchors are exchanged, with the hash of the bytes every window of that anchor contains (k1)
-and of all bytes of its windows together (k2).
+anchors are exchanged, with a polynomial hash of the bytes every window of that anchor contains (k1)
+and a cryptographic one of all bytes of its windows together (k2).
 
 * k1 occurs once: none of its windows is repeated.
-* (k1, k2) occurs several times: all of its windows are.
+* (k1, k2) occurs several times: all of its windows are.  Their bytes are not brought together;
+  64 bits of a cryptographic hash tell that they agree, besides the 64 of k1.
 * Otherwise windows are compared one by one.  The bytes around one anchor of each kind meet by
   k1; suffixes are sorted from the anchors on by mergesort, comparing through prefix hashes
   and a binary search for the common extension; neighbours with equal bytes on both sides are
-  repeated windows, checked byte by byte.  Kinds of an overfull k1 are compared by the hashes
-  of their windows, counted in a combining aggregate, so no anchor fills a task.
+  repeated windows, checked byte by byte.  Kinds of an overfull k1 are compared by a polynomial
+  and a cryptographic hash of every window, 64 bits each, counted in a combining aggregate, so no
+  anchor fills a task.
+
+Texts move twice at most: those with windows to compare, one copy of each, and those with spans.
+Marks of fixed size, broadcast, keep nearly all others where they are.
 
 A null text is empty.  Texts are compared by place, so repeated rows count as repeats, also of
 equal ids; texts shorter than ``width`` lose nothing.  Spans are kept per different text.
@@ -28,6 +33,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +47,9 @@ CHUNK = 1 << 17
 GROUP = 2000
 TASK = 2000
 PLACE_BITS = np.uint64(28)
-BASES = (np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F))
+BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of the marks by which texts are kept where they are.
+MARKS = 1 << 25
 
 ANCHORS = "k1 long, k2 long, d1 long, d2 long, at int, left int, span int"
 
@@ -75,6 +83,14 @@ class Prefixes:
         return mix((self.sums[end] - self.sums[begin]) * self.inverse[begin])
 
 
+def strong(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Cryptographic hashes of parts of a buffer, 64 bits each."""
+    data, new = memoryview(raw), hashlib.blake2b
+    return np.frombuffer(b"".join(
+        [new(data[i:j], digest_size=8).digest() for i, j in zip(begin.tolist(), end.tolist())]
+    ), np.uint64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
@@ -89,7 +105,7 @@ def anchors(raw: np.ndarray, owner: np.ndarray, width: int) -> tuple[np.ndarray,
     reach = spread(width)
     if len(raw) < width:
         return tuple(np.empty(0, np.int64) for _ in range(5))
-    first, second = (Prefixes(raw, base) for base in BASES)
+    first = Prefixes(raw, BASE)
     places = np.arange(len(raw) - GRAM + 1)
     grams = first.of(places, places + GRAM)
     low = (grams >> PLACE_BITS << PLACE_BITS) | places.astype(np.uint64)
@@ -105,7 +121,7 @@ def anchors(raw: np.ndarray, owner: np.ndarray, width: int) -> tuple[np.ndarray,
     stop = np.flatnonzero(inside & ((np.diff(at, append=-1) != 0) | ~np.append(inside[1:], False)))
     at = at[begin]
     k1 = first.of(at, at + width - reach + 1)
-    k2 = second.of(begin, stop + width) ^ mix(((at - begin) << 20 | (stop - begin)).astype(np.uint64))
+    k2 = strong(raw, begin, stop + width) ^ mix(((at - begin) << 20 | (stop - begin)).astype(np.uint64))
     return k1.view(np.int64), k2.view(np.int64), at, at - begin, stop - begin
 
 
@@ -166,7 +182,7 @@ class Suffixes:
 
     def __init__(self, raw: np.ndarray, at: np.ndarray, length: np.ndarray) -> None:
         self.raw, self.at, self.length = raw, at, length
-        self.hashes = Prefixes(raw, BASES[0])
+        self.hashes = Prefixes(raw, BASE)
 
     def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Length of the common extension, by binary search."""
@@ -263,22 +279,49 @@ def repeated_windows(
     return pairs[:, 0], pairs[:, 1]
 
 
+# --- marks ---------------------------------------------------------------------------------
+
+
+def marks_of(digests: DataFrame) -> Broadcast:
+    """A bit for every d1; ``MARKS`` bits in all, however many digests there are."""
+    bit = F.pmod("d1", F.lit(MARKS))
+    word = F.shiftright(bit, 6)
+    one = F.expr(f"shiftleft(1L, cast(pmod(d1, {MARKS}) & 63 as int))")
+    rows = digests.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits")).collect()
+    marks = np.zeros(MARKS // 64, np.int64)
+    for row in rows:
+        marks[row.word] = row.bits
+    return digests.sparkSession.sparkContext.broadcast(marks)
+
+
+def marked(marks: np.ndarray, d1: np.ndarray) -> np.ndarray:
+    """Whether a digest may be among those that were marked; certainly not, where it is false."""
+    bit = d1 % MARKS
+    return (marks[bit >> 6] >> (bit & 63)) & 1 == 1
+
+
 # --- jobs ----------------------------------------------------------------------------------
 
 SPANS = "d1 long, d2 long, begin long, stop long"
 CONTEXTS = "k1 long, n long, d1 long, d2 long, at int, left int, span int, bytes binary"
 
 
-def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of every different text (d1, d2) of a task."""
-    seen: set[tuple[int, int]] = set()
-    for batch in batches:
-        new = []
-        for i, key in enumerate(zip(*(common.texts(batch, c) for c in ("d1", "d2")))):
-            if key not in seen:
-                seen.add(key)
-                new.append(i)
-        yield batch.take(pa.array(new, pa.int64()))
+def _first_copies(shared: Broadcast):
+    """The first row of every different text (d1, d2) of a task, of texts that are marked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            d1, d2 = (np.asarray(common.column(batch, c)) for c in ("d1", "d2"))
+            new = []
+            for i in np.flatnonzero(marked(shared.value, d1)).tolist():
+                key = (int(d1[i]), int(d2[i]))
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
+            yield batch.take(pa.array(new, pa.int64()))
+
+    return run
 
 
 def _sorted_kinds(width: int):
@@ -310,8 +353,8 @@ def _hashed_windows(contexts: DataFrame, width: int) -> DataFrame:
             for row in batch.to_pylist():
                 raw = np.frombuffer(row["bytes"], np.uint8)
                 start = np.arange(row["span"] + 1)
-                h1, h2 = (Prefixes(raw, base).of(start, start + width).view(np.int64)
-                          for base in BASES)
+                h1 = Prefixes(raw, BASE).of(start, start + width).view(np.int64)
+                h2 = strong(raw, start, start + width).view(np.int64)
                 same = lambda name: np.full(len(start), row[name])
                 yield pa.RecordBatch.from_pydict({
                     "h1": h1, "h2": h2, "n": same("n"), "d1": same("d1"), "d2": same("d2"),
@@ -367,11 +410,10 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     schema = ("k1 long, kinds long, n long, at int, left int, span int, d1 long, d2 long, "
               "bytes binary")
-    # Of a text's copies each task hands on one, and one of those is cut.  The digests are written
-    # first, so that the join stands alone in its stage and a hot one is split.
-    held = common.materialize(parts.select("d1", "d2").distinct(), "mixed-texts")
-    single = texts.join(held, ["d1", "d2"], "left_semi").select("d1", "d2", "text").mapInArrow(
-        _first_copies, "d1 long, d2 long, text string")
+    # Of a text's copies each task hands on one, and one of those is cut.
+    marks = marks_of(parts.select("d1"))
+    single = texts.select("d1", "d2", "text").mapInArrow(
+        _first_copies(marks), "d1 long, d2 long, text string")
     single = single.groupBy("d1", "d2").agg(F.first("text").alias("text"))
     contexts = single.join(wanted, ["d1", "d2"]).mapInArrow(cut, schema)
     tasks = max(1, parts.where(F.col("kinds") <= GROUP).count() // TASK + 1)
@@ -412,9 +454,8 @@ def kept(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[i:j] for i, j in zip(ends, begins))
 
 
-def _with_spans(docs: DataFrame, width: int) -> tuple[DataFrame, str]:
+def _with_spans(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` and the name of a column with the spans of each text."""
-    found = repeated_spans(docs, width)
     text = F.coalesce(F.col("text"), F.lit(""))
     d1, d2, of1, of2, spans = common.unused(docs, "d1", "d2", "of_d1", "of_d2", "spans")
     found = found.select(F.col("d1").alias(of1), F.col("d2").alias(of2), F.col("spans").alias(spans))
@@ -424,28 +465,47 @@ def _with_spans(docs: DataFrame, width: int) -> tuple[DataFrame, str]:
     return joined.drop(d1, d2, of1, of2), spans
 
 
+SUMMARY = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
 def summaries(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
+    docs = common.documents(docs)
+    found = repeated_spans(docs, width)
+    marks = marks_of(found)
+
+    def rows(ids: pa.Array, texts: list[str], spans: list) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for text, some in zip(texts, spans):
+            raw, gone = text.encode(), merged(some)
+            rest = kept(raw, gone)
+            out.append((len(raw), len(raw) - len(rest), len(gone), hashlib.sha256(rest).hexdigest()))
+        columns = list(zip(*out)) if out else [[]] * 4
+        kinds = [pa.int64()] * 3 + [pa.string()]
+        return pa.RecordBatch.from_arrays(
+            [ids.cast(pa.int64()), *(pa.array(c, kind) for c, kind in zip(columns, kinds))],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(~marked(marks.value, np.asarray(common.column(batch, "d1")))))
+            texts = common.texts(batch)
+            yield rows(common.column(batch, "doc_id"), texts, [None] * len(texts))
 
-    joined, name = _with_spans(common.documents(docs), width)
+    def open_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = pa.array(marked(marks.value, np.asarray(common.column(batch, "d1"))))
+            yield batch.select(["doc_id", "text"]).filter(some)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for text, spans in zip(common.texts(batch), common.texts(batch, name)):
-                raw, gone = text.encode(), merged(spans)
-                rest = kept(raw, gone)
-                out.append((len(raw), len(raw) - len(rest), len(gone),
-                            hashlib.sha256(rest).hexdigest()))
-            columns = list(zip(*out)) if out else [[]] * 4
-            kinds = [pa.int64()] * 3 + [pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [common.column(batch, "doc_id").cast(pa.int64()),
-                 *(pa.array(c, kind) for c, kind in zip(columns, kinds))],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    return joined.mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+            yield rows(common.column(batch, "doc_id"), common.texts(batch), common.texts(batch, name))
+
+    keyed = docs.select("doc_id", "text", digest("text")[0])
+    schema = docs.select(F.col("doc_id"), "text").schema
+    # Both sides grow with the documents, so neither is broadcast.
+    joined, name = _with_spans(keyed.mapInArrow(open_, schema), found.hint("merge"))
+    return keyed.mapInArrow(whole, SUMMARY).union(joined.mapInArrow(cut, SUMMARY))
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -461,7 +521,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             kept(text.encode(), merged(json.loads(found))).decode(errors="ignore")
             for text, found in zip(texts, spans)], dtype="object")
 
-    joined, spans = _with_spans(docs, width)
+    joined, spans = _with_spans(docs, repeated_spans(docs, width))
     rest = joined.withColumn("text", cut("text", F.to_json(spans)))
     if "n_chars" in docs.columns:
         n = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text"))
