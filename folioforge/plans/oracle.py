@@ -48,6 +48,9 @@ def found(x: str, pattern: str) -> str:
     return f"array_to_string(regexp_extract_all({x}, '(?is){pattern}'), '')"
 
 
+# Which fields of a box or section are extracted, and the words put before them.
+
+
 def book(x: str) -> str:
     return (
         f"'book | ' || {found(x, r'name *=.*?\|')} || {found(x, r'author *=.*?\] *\|')}"
