@@ -30,7 +30,7 @@ SEGMENT_TOKENS = 1 << 18
 LIMIT = 18
 END_ID = 0
 
-IDS = "doc_id long, place long, ids binary"
+IDS = "doc_id long, place long, ids binary, counts binary"
 SEGMENTS = (
     "part int, segment int, first long, n_tokens long, doc_ids array<long>, "
     "doc_tokens array<long>, bits binary, marks binary"
@@ -131,7 +131,10 @@ def decode_bits(
 
 
 def token_ids(docs: DataFrame, shared: Broadcast, kind: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, place, ids): ids of type ``kind`` of each text, then the end id."""
+    """(doc_id, place, ids, counts): ids of type ``kind`` of each text, then the end id.
+
+    The last row of a task has no place and holds ``counts``, how often each id occurs in it.
+    """
     spark = docs.sparkSession
     common.python_batches(spark)
     end = np.array([end_id], kind).tobytes()
@@ -139,36 +142,41 @@ def token_ids(docs: DataFrame, shared: Broadcast, kind: str, end_id: int = END_I
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = tokens.encoder(shared)
         place = TaskContext.get().partitionId() << 40
+        counts = np.zeros(1, np.int64)
         for batch in batches:
             found = worker.encode(common.texts(batch))
+            more = np.bincount(np.concatenate([*found, np.full(len(found), end_id, "<u4")]))
+            if len(more) > len(counts):
+                counts = np.append(counts, np.zeros(len(more) - len(counts), np.int64))
+            counts[: len(more)] += more
             yield pa.RecordBatch.from_arrays(
                 [
                     common.column(batch, "doc_id").cast(pa.int64()),
                     pa.array(range(place, place + len(found)), pa.int64()),
                     pa.array([ids.astype(kind).tobytes() + end for ids in found], pa.binary()),
+                    pa.array([None] * len(found), pa.binary()),
                 ],
-                ["doc_id", "place", "ids"],
+                ["doc_id", "place", "ids", "counts"],
             )
             place += len(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None], t) for t in (pa.int64(), pa.int64(), pa.binary())]
+            + [pa.array([counts.tobytes()], pa.binary())], ["doc_id", "place", "ids", "counts"])
 
     return common.documents(docs).mapInArrow(encode, IDS)
 
 
-def id_counts(ids: DataFrame, kind: str) -> np.ndarray:
-    """How often each id occurs; one row per task and id moves, one per id reaches the driver."""
+def id_counts(ids: DataFrame) -> np.ndarray:
+    """How often each id occurs; a row per task and id moves, one per id reaches the driver."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                more = np.bincount(np.frombuffer(data, kind))
-                if len(more) > len(total):
-                    total = np.append(total, np.zeros(len(more) - len(total), np.int64))
-                total[: len(more)] += more
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
-
-    per_task = ids.select("ids").mapInArrow(count, "id long, n long")
+                total = np.frombuffer(data, np.int64)
+                used = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+
+    per_task = ids.where("place is null").select("counts").mapInArrow(unfold, "id long, n long")
     rows = per_task.groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.id for r in rows), default=0) + 1, np.int64)
     for row in rows:
@@ -184,7 +192,7 @@ def write_token_file(
     vocabulary_data = tokens.share_vocabulary(spark, vocabulary)
     kind = vocabulary_data.value.id_type
     ids = common.materialize(token_ids(docs, vocabulary_data, kind, end_id), "token-ids")
-    lengths = code_lengths(id_counts(ids, kind))
+    lengths = code_lengths(id_counts(ids))
     codes = canonical_codes(lengths)
     book = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(book, "id long, length int").coalesce(1).write.parquet(f"{path}/codebook")
@@ -220,7 +228,7 @@ def write_token_file(
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("place")]
     (
-        ids.repartitionByRange(*order)
+        ids.where("place is not null").repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select("doc_id", "ids")
         .mapInArrow(segments, SEGMENTS)

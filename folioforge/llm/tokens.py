@@ -19,8 +19,8 @@ import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-#: Pieces remembered by a worker, and the longest piece worth remembering.
-CACHE_PIECES = 600_000
+#: Pieces remembered by a worker in each of two generations, and the longest worth remembering.
+CACHE_PIECES = 300_000
 CACHE_LENGTH = 32
 MARKS = ".,;:!?"
 
@@ -92,7 +92,10 @@ class Encoder:
         self.added, self.normalized = vocabulary.added, vocabulary.normalized
         # Words joined by line ends must not spell an added token.
         self.joined = not self.normalized and not any("\n" in token for token in self.added)
-        self.cache: dict[str, bytes] = {}  # by piece without the blank in front of it
+        # By piece without the blank in front of it: those met since the last change, and those
+        # met before it.  What is met again is taken over, so common pieces are never forgotten.
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         (self.line_end,) = self._each(["\n"])
         self.byte_level = vocabulary.byte_level
@@ -132,7 +135,7 @@ class Encoder:
         word = stem[1:] if blank else stem
         if not self.byte_level or not word.isalpha():
             return None
-        ids = self.cache.get(word) if blank else None
+        ids = (self.cache.get(word) or self.older.get(word)) if blank else None
         if ids is None:
             ids = self._unit(stem)
             if blank and len(word) <= CACHE_LENGTH:
@@ -177,9 +180,9 @@ class Encoder:
         return [found[i] for i in range(len(texts))]
 
     def _by_pieces(self, texts: list[str]) -> list[np.ndarray]:
-        cache = self.cache
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
+        if len(self.cache) > CACHE_PIECES:
+            self.older, self.cache = self.cache, {}
+        cache, older = self.cache, self.older
         cut = [pieces(text) for text in texts]
         first = self._ids([row[0] for row in cut])
         found, gaps, missing = [], [], set()
@@ -190,8 +193,9 @@ class Encoder:
             missing.update([row[i] for i in open_])
             found.append(ids)
             gaps.append(open_)
-        wanted = list(missing)
-        known = dict(zip(wanted, self._ids([" " + p for p in wanted])))
+        known = {p: older[p] for p in missing if p in older}
+        wanted = [p for p in missing if p not in known]
+        known.update(zip(wanted, self._ids([" " + p for p in wanted])))
         for row, ids, open_ in zip(cut, found, gaps):
             for i in open_:
                 ids[i] = known[row[i]]
