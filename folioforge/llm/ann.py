@@ -25,10 +25,11 @@ K = 20
 TABLES = 4
 #: Share of the signed axes that a query probes in each table.
 PROBED = 0.375
-#: Axes searched together, and the rows and queries of one block.
+#: Axes searched together, and the rows and queries of one block.  Every row is sent once per block
+#: of queries and every query once per block of rows, so both are as large as a task holds.
 AXES = 16
 ROWS = 8192
-QUERIES = 2048
+QUERIES = 16_384
 SEED = 7
 
 
