@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import textwrap
+import zlib
 from collections import Counter
 
 import duckdb
@@ -111,6 +113,45 @@ def test_margin_is_the_sum_over_all_pairs():
     assert np.isclose(quality.margins(model, index, value, np.array([0]))[0], wanted)
 
 
+def slow_margin(model, text):
+    """All pairs of features one by one, features counted letter by letter."""
+    words = Counter(text.split())
+    weight = {w: math.log1p(n) for w, n in words.items()}
+    norm = math.sqrt(sum(x * x for x in weight.values())) or 1.0
+    pairs = [(zlib.crc32(w.encode()) % (1 << quality.WORD_BITS), x / norm) for w, x in weight.items()]
+    raw = text.encode()
+    kinds = [
+        lambda b: 97 <= b <= 122, lambda b: 65 <= b <= 90, lambda b: 48 <= b <= 57,
+        lambda b: b in b" \t", lambda b: b in b"\n\r", lambda b: b in b".,;:'\"-",
+        None, lambda b: b >= 128]
+    shares = [sum(map(k, raw)) if k else 0 for k in kinds]
+    shares[6] = len(raw) - sum(shares)
+    lines = text.split("\n")
+    n, size = max(1, sum(words.values())), len(raw)
+    values = [math.sqrt(x / max(1, size)) for x in shares] + [
+        len(words) / n, max(words.values(), default=0) / n,
+        sum(k for w, k in words.items() if not any(c.isalnum() for c in w)) / n,
+        len(set(lines)) / len(lines), min(1, size / n / 16),
+        min(1, math.log1p(size / len(lines)) / 10), min(1, math.log1p(size) / 14)]
+    assert len(values) == quality.STATISTICS
+    pairs += [((1 << quality.WORD_BITS) + i * quality.BINS + min(quality.BINS - 1, int(v * quality.BINS)),
+               quality.STATISTICS**-0.5) for i, v in enumerate(values)]
+    index, value = np.array([i for i, _ in pairs]), np.array([x for _, x in pairs])
+    vectors = model.factors[index] * value[:, None]
+    products = vectors @ vectors.T
+    return model.bias + (model.weights[index] * value).sum() + (products.sum() - np.trace(products)) / 2
+
+
+def test_scores_of_whole_documents_by_all_pairs(spark):
+    docs, labels = (common.table(spark, SMALL, n) for n in ("documents", "labels"))
+    model = quality.train(docs, labels)
+    found = {r.doc_id: r for r in quality.score(docs, model).collect()}
+    for row in docs.collect():
+        wanted = 1 / (1 + math.exp(-max(-35, min(35, slow_margin(model, row.text or "")))))
+        assert abs(found[row.doc_id].score - wanted) < 1e-6
+        assert found[row.doc_id].held_out == (zlib.crc32(str(row.doc_id).encode()) % 4 == 2)
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (common.table(spark, folder, n) for n in ("documents", "labels"))

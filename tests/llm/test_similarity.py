@@ -9,6 +9,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import regex
 import xxhash
 
 from folioforge.llm import common, components, decontaminate, simhash, suffix
@@ -286,6 +287,41 @@ def test_every_whole_item_in_a_document_is_found(spark):
     assert decontaminate.overlaps(docs, tests.limit(0)).count() == 0
 
 
+def slow_overlaps(doc, item):
+    """Whether some alignment of two lists of words is an overlap, by trying all of them."""
+    number = {w: i for i, w in enumerate(dict.fromkeys([*doc, *item]))}
+    m = len(item)
+    padded = np.array([-1] * m + [number[w] for w in doc] + [-1] * m)
+    wanted = np.array([number[w] for w in item])
+    same = np.lib.stride_tricks.sliding_window_view(padded, m) == wanted
+    outside = np.lib.stride_tricks.sliding_window_view(padded, m) < 0
+    if (same.sum(axis=1) >= 0.8 * m).any():
+        return True
+    for row, out in zip(same[same.sum(axis=1) >= 13], outside[same.sum(axis=1) >= 13]):
+        now = 0
+        for hit, beyond in zip(row.tolist(), out.tolist()):
+            now = 0 if beyond else max(0, now + (1 if hit else -4))
+            if now >= 13:
+                return True
+    return False
+
+
+def test_overlaps_of_whole_tables_are_those_of_all_alignments(spark):
+    docs, tests = (common.table(spark, SMALL, n) for n in ("documents", "benchmark"))
+    split = lambda t: [w for w in regex.split(r"[^\p{L}\p{N}]+", (t or "").lower()) if w]
+    items = [(r.item_id, split(r.text)) for r in tests.collect()]
+    wanted = set()
+    for r in docs.collect():
+        words = split(r.text)
+        said = set(words)
+        # Fewer words in common than either kind of overlap needs.
+        wanted |= {(r.doc_id, i) for i, item in items
+                   if sum(w in said for w in item) >= min(13, 0.8 * len(item)) and slow_overlaps(words, item)}
+    found = decontaminate.overlaps(docs, tests).collect()
+    assert len(found) == len({(r.doc_id, r.item_id) for r in found})
+    assert {(r.doc_id, r.item_id) for r in found} == wanted and wanted
+
+
 def test_decontamination_runs_no_python(spark):
     plan = decontaminate.overlaps(odd_documents(spark), common.table(spark, SMALL, "benchmark"))
     text = plan._jdf.queryExecution().executedPlan().toString()
