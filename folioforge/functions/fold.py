@@ -117,20 +117,39 @@ def _suspects() -> str:
     return "[^" + "".join(f"\\x{cp:02x}" for cp in settled) + "]"
 
 
+# The short names of the letters a Hangul syllable is made of, in their order.
+HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
+INITIALS = "g gg n d dd r m b bb s ss - j jj c k t p h".split()
+VOWELS = "a ae ya yae eo e yeo ye o wa wae oe yo u weo we wi yu eu yi i".split()
+FINALS = "- g gg gs n nj nh d l lg lm lb ls lt lp lh m b bs s ss ng j c k t p h".split()
+
+
+def _syllable(char: Column) -> Column:
+    """Spelling of a Hangul syllable, whose number is composed of those of its letters."""
+    number = F.ascii(char) - HANGUL_FIRST
+    place = [F.floor(number / (len(VOWELS) * len(FINALS))),
+             F.floor(number / len(FINALS)) % len(VOWELS), number % len(FINALS)]
+    letters = [F.array(*(F.lit(x.replace("-", "")) for x in names))
+               for names in (INITIALS, VOWELS, FINALS)]
+    return F.concat(*(F.get(names, at.cast("int")) for names, at in zip(letters, place)))
+
+
 def ascii_fold(col: Column) -> Column:
     """ASCII spelling of ``col``; text that is ASCII already is passed through.
 
     Characters with longer spellings are replaced one by one, but only those that occur
-    in the text; all others follow in a single ``translate``.
+    in the text; all others follow in a single ``translate``.  Hangul syllables are spelled by rule.
     """
     source, target, longer = _plan()
     listed = "\x02".join(f"{char}\x01{spelling}" for char, spelling in longer)
     spelling = F.str_to_map(F.lit(listed), F.lit("\x02"), F.lit("\x01"))
     present = F.array_distinct(F.regexp_extract_all(col, F.lit(_suspects()), F.lit(0)))
+    hangul = lambda c: c.between(chr(HANGUL_FIRST), chr(HANGUL_LAST))
     spelled = F.aggregate(
-        F.filter(present, lambda c: F.map_contains_key(spelling, c)),
+        F.filter(present, lambda c: F.map_contains_key(spelling, c) | hangul(c)),
         col,
-        lambda text, c: F.replace(text, c, F.element_at(spelling, c)),
+        lambda text, c: F.replace(
+            text, c, F.when(hangul(c), _syllable(c)).otherwise(F.element_at(spelling, c))),
     )
     return F.when(
         col.rlike(r"[^\x00-\x7F]"), F.translate(spelled, source, target)

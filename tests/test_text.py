@@ -125,3 +125,13 @@ def test_runs_of_random_words(spark):
                 expected.setdefault(word, []).append(pos)
         assert {r.term: r.pos_list for r in runs} == expected
         assert all(r.tf == len(r.pos_list) for r in runs)
+
+
+def test_hangul_syllables_fold_to_their_names(spark):
+    syllables = [chr(cp) for cp in range(0xAC00, 0xD7A4)]
+    names = [unicodedata.name(c).split()[-1].lower() for c in syllables]
+    # All syllables in texts of sixty, and a few in context.
+    texts = ["x".join(syllables[i : i + 60]) for i in range(0, len(syllables), 60)]
+    wanted = ["x".join(names[i : i + 60]) for i in range(0, len(names), 60)]
+    found = column(spark, [*texts, "한국어 é!", "a 안녕하세요"], ascii_fold(F.col("text")))
+    assert [f for (f,) in found] == [*wanted, "hangugeo e!", "a annyeonghaseyo"]
