@@ -125,23 +125,33 @@ def intersect(
         "candidates",
     )
     single = candidates.where(size == 0).select(*group, "doc_id", F.col("part").alias("total"))
-    checks = candidates.where(size > 0).select(
-        *group, "doc_id", F.col("part").alias("first_part"), size.alias("wanted"),
-        F.explode("others").alias("other"),
-    ).select(*group, "doc_id", "first_part", "wanted", "other.*")
-    # The list of a common term is cut down to the candidates before it is moved.
-    several = (
-        checks.join(matching_documents(candidates.where(size > 0), lists), [*item, "doc_id"])
+    # The list of a common term is cut down to the candidates before it is moved.  The second
+    # rarest item leaves few of them, and only those are looked up in the lists of all others.
+    several = candidates.where(size > 0)
+    near = matching_documents(several, lists)
+    second = several.select(
+        *group, "doc_id", F.col("part").alias("first_part"),
+        F.slice("others", 2, size).alias("rest"), F.get("others", F.lit(0)).alias("next"),
+    ).select(*group, "doc_id", "first_part", "rest", "next.*")
+    left = materialize(
+        second.join(near, [*item, "doc_id"]).select(
+            *group, "doc_id", "rest", (F.col("first_part") + part).alias("so_far")), "survivors")
+    pairs = left.where(F.size("rest") == 0).select(*group, "doc_id", F.col("so_far").alias("total"))
+    checks = left.where(F.size("rest") > 0).select(
+        *group, "doc_id", "so_far", F.size("rest").alias("wanted"), F.explode("rest").alias("other"),
+    ).select(*group, "doc_id", "so_far", "wanted", "other.*")
+    others = (
+        checks.join(near, [*item, "doc_id"])
         .groupBy(*group, "doc_id")
         .agg(
             F.count("*").alias("found"),
             F.first("wanted").alias("wanted"),
-            (F.first("first_part") + F.sum(part)).alias("total"),
+            (F.first("so_far") + F.sum(part)).alias("total"),
         )
         .where(F.col("found") == F.col("wanted"))
         .select(*group, "doc_id", "total")
     )
-    return single.unionByName(several)
+    return single.unionByName(pairs).unionByName(others)
 
 
 # --- TF-IDF search ---------------------------------------------------------------------
