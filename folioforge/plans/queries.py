@@ -17,12 +17,14 @@ from ..operators.stage import compute_once
 from ..operators import counters, display, documents, index, live, pages, search
 from ..session import materialize, scratch_path, scratch_root
 from ..sources import csv, documents_json, store, xml
-from ..sources.tables import read_table, spread
+from ..sources.tables import input_bytes, read_table, spread
 from .. import streaming
 from . import etl
 from .fixture import wiki_pages
 
 TOP_K = search.MAX_HITS
+# Input of one file of CSV rows over several lines, about twice a split of it.
+CSV_FILE_BYTES = 128 << 20
 
 # Search strings tried besides those taken from the tables.
 FIXED_QUERIES = [
@@ -189,7 +191,9 @@ def csv_append_chunks(spark: SparkSession, folder: str) -> DataFrame:
 def csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "lines")
     rows = texts(spark, folder).select(F.col("doc_id").cast("string").alias("id"), "title", "text")
-    csv.write_extract(rows, path, parts=1)
+    # Whole files of several splits each, so that rows reach from one split into the next.
+    parts = max(1, -(-input_bytes(rows) // CSV_FILE_BYTES))
+    csv.write_extract(rows, path, parts)
     return csv.read_extract(spark, path, multi_line=True)
 
 

@@ -199,3 +199,18 @@ def test_counters(spark, fresh):
     row = counters.count_run(raw).first()
     assert (row.pages_read, row.pages_kept, row.pages_rejected) == (5, 1, 1)
     assert (row.docs_indexed, row.docs_failed) == (1, 0)
+
+
+def test_rows_over_several_lines_are_written_by_as_many_tasks_as_the_input_asks_for(spark, monkeypatch):
+    from conftest import SMALL
+
+    from folioforge.plans import queries
+
+    files = []
+    write = queries.csv.write_extract
+    monkeypatch.setattr(queries, "CSV_FILE_BYTES", 100_000, raising=False)
+    monkeypatch.setattr(queries.csv, "write_extract", lambda rows, path, parts=None: (
+        write(rows, path, parts), files.append(spark.read.text(path).inputFiles())))
+    rows = queries.REGISTRY["csv_line_breaks"](spark, SMALL).count()
+    assert rows == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+    assert len(files[0]) > 2
