@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Input of one task of costly narrow work.
+TASK_BYTES = 16 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on an input of a few splits, such as one parquet row group.
 
     The narrow work downstream (regular expressions, sorting of words) is far more
-    expensive than moving the rows once.  Inputs with a split per core or more, as on a
-    cluster, are returned as they are.
+    expensive than moving the rows once.  A large input makes a task for each
+    ``TASK_BYTES``, however large its row groups are; inputs with that many splits are
+    returned as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = max(cores, -(-input_bytes(df) // TASK_BYTES))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -214,3 +214,14 @@ def test_rows_over_several_lines_are_written_by_as_many_tasks_as_the_input_asks_
     rows = queries.REGISTRY["csv_line_breaks"](spark, SMALL).count()
     assert rows == spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert len(files[0]) > 2
+
+
+def test_a_large_input_is_spread_over_more_tasks_than_cores(spark, monkeypatch):
+    from conftest import SMALL
+
+    from folioforge.sources import tables
+
+    docs = tables.read_table(spark, SMALL, "documents")
+    size = tables.input_bytes(docs)
+    monkeypatch.setattr(tables, "TASK_BYTES", size // 40, raising=False)
+    assert tables.spread(docs).rdd.getNumPartitions() >= 40
