@@ -22,7 +22,8 @@ BUCKET_BYTES = 1 << 30
 # Input per block of documents, and the fewest blocks.
 BLOCK_BYTES = 1 << 20
 BLOCKS = 64
-TASK_BYTES = 256 << 20
+# Input of one writing task; its postings take about ten times as much while they are sorted.
+TASK_BYTES = 16 << 20
 LOG_BASE = 10.0
 
 

@@ -107,3 +107,9 @@ def test_field_postings_and_statistics(spark):
     stats = {r.field: (r.n_docs, r.total_len) for r in index.field_statistics(postings).collect()}
     assert got[("1", "=id", "no")] == (1, 1)
     assert stats == {"id": (2, 2), "title": (2, 3), "type": (2, 2), "x": (2, 4), "=id": (1, 1)}
+
+
+def test_writing_tasks_do_not_grow_with_the_input():
+    for size in (1 << 30, 6 << 30, 60 << 30):
+        buckets = max(index.BUCKETS, size // index.BUCKET_BYTES)
+        assert size / (buckets * index.slice_count(size, buckets)) <= 16 << 20
