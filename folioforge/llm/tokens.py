@@ -1,7 +1,8 @@
 """Token ids of whole texts, by a vocabulary file of the tokenizers library.
 
 Byte-level BPE never merges across a single space between two visible characters, so a text
-is cut there and every piece is encoded once per worker: natural text repeats most of them.
+is cut there and every different piece is looked up once per batch and encoded once per worker:
+natural text repeats most of them.
 The pieces give exactly the ids of the whole text.  A text that holds the string of an added
 token, which the library matches before all else, is encoded whole.
 """
@@ -11,24 +12,32 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import zlib
 from array import array
+from itertools import compress
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 #: Pieces remembered by a worker in each of two generations, and the longest worth remembering.
 CACHE_PIECES = 300_000
 CACHE_LENGTH = 32
-MARKS = ".,;:!?"
+START_PIECES = 50_000
+#: All but the apostrophe, with which the usual pattern begins units of letters.
+MARKS = string.punctuation.replace("'", "")
 
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _HIDDEN = [b for b in range(256) if b not in _VISIBLE]
 #: How byte-level vocabularies spell bytes: visible ones as themselves, the others from 256 on.
 BYTE_LETTERS = {**{b: b for b in _VISIBLE}, **{b: 256 + i for i, b in enumerate(_HIDDEN)}}
 
+BLANK = chr(BYTE_LETTERS[ord(" ")])
+
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _ENCODERS: dict[int, Encoder] = {}
@@ -67,13 +76,39 @@ def share_vocabulary(spark: SparkSession, path: str | None = None) -> Broadcast:
     return spark.sparkContext.broadcast(read_vocabulary(path))
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut at single blanks between visible characters; the blanks are left out."""
-    # A blank next to other white space belongs to a run, which must stay whole.
-    if ("  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
-            or _OTHER_SPACE.search(text)):
-        return _BETWEEN.split(text)
-    return text.split(" ")
+def runs_of_space(text: str) -> bool:
+    """Whether blanks may stand next to other white space, in runs that must stay whole."""
+    return ("  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
+            or _OTHER_SPACE.search(text) is not None)
+
+
+def pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The texts cut at single blanks between visible characters, and the number of pieces of each.
+
+    The blanks are left out; every text has a piece, if an empty one.
+    """
+    cut: list[pa.Array] = []
+    counts = np.empty(len(texts), np.int64)
+    odd = [runs_of_space(text) for text in texts]
+    begins = [0, *(i for i in range(1, len(texts)) if odd[i] != odd[i - 1]), len(texts)]
+    for i, j in zip(begins, begins[1:]):
+        if odd[i]:
+            split = pa.array([_BETWEEN.split(text) for text in texts[i:j]], pa.list_(pa.large_string()))
+        else:
+            split = pc.split_pattern(pa.array(texts[i:j], pa.large_string()), " ")
+        cut.append(split.flatten())
+        counts[i:j] = pc.list_value_length(split)
+    return pa.concat_arrays(cut), counts
+
+
+def gathered(parts: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the parts that the codes name, one behind the other, and the number of each."""
+    ids = np.frombuffer(b"".join(parts), "<u4")
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
+    begin = np.cumsum(size) - size
+    sizes = size[codes]
+    shift = begin[codes] - (np.cumsum(sizes) - sizes)
+    return ids[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
 
 
 def visible(part: str) -> bool:
@@ -89,6 +124,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary.content)
+        self.model = self.tokenizer.model
         self.added, self.normalized = vocabulary.added, vocabulary.normalized
         # Words joined by line ends must not spell an added token.
         self.joined = not self.normalized and not any("\n" in token for token in self.added)
@@ -97,6 +133,7 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}  # words without a blank in front
         (self.line_end,) = self._each(["\n"])
         self.byte_level = vocabulary.byte_level
 
@@ -121,8 +158,11 @@ class Encoder:
         return [raw[i:j] for i, j in zip(begin, [*(4 * ends).tolist(), len(raw)])]
 
     def _unit(self, unit: str) -> bytes:
-        spelled = unit.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+        if unit.isascii():  # letters or marks, which are spelled as themselves
+            spelled = unit.replace(" ", BLANK)
+        else:
+            spelled = unit.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _word(self, piece: str) -> bytes | None:
         """Ids of letters with marks behind them, by the tokenizer's model; else None.
@@ -135,19 +175,50 @@ class Encoder:
         word = stem[1:] if blank else stem
         if not self.byte_level or not word.isalpha():
             return None
-        ids = (self.cache.get(word) or self.older.get(word)) if blank else None
+        ids = (self.cache.get(word) or self.older.get(word)) if blank else self.starts.get(word)
         if ids is None:
             ids = self._unit(stem)
-            if blank and len(word) <= CACHE_LENGTH:
-                self.cache[word] = ids
-        if len(stem) < len(piece):
-            marks = piece[len(stem) :]
-            if marks not in self.marks:
-                if len(self.marks) > 10_000:
-                    self.marks.clear()
-                self.marks[marks] = self._unit(marks)
-            ids += self.marks[marks]
-        return ids
+            if len(word) <= CACHE_LENGTH:
+                if len(self.starts) > START_PIECES:
+                    self.starts.clear()
+                (self.cache if blank else self.starts)[word] = ids
+        return ids + self._marks(piece[len(stem) :]) if len(stem) < len(piece) else ids
+
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks.clear()
+            self.marks[marks] = self._unit(marks)
+        return self.marks[marks]
+
+    def _behind_blanks(self, names: list[str]) -> list[bytes]:
+        """Ids of different pieces, which come without the blank in front of them.
+
+        Letters with marks behind them are looked up and remembered as by ``_word``, without marks.
+        """
+        cache, older, tokenize = self.cache, self.older, self.model.tokenize
+        keys = names
+        if self.byte_level:
+            keys = [w if (w := name.rstrip(MARKS)).isalpha() else name for name in names]
+        found = list(map(cache.get, keys))
+        fresh: dict[str, bytes] = {}
+        others = []
+        for key in dict.fromkeys(compress(keys, [ids is None for ids in found])):
+            ids = older.get(key)
+            if ids is not None:
+                fresh[key] = ids
+            elif not self.byte_level or not key.isalpha():
+                others.append(key)
+            elif key.isascii():
+                fresh[key] = array("I", [t.id for t in tokenize(BLANK + key)]).tobytes()
+            else:
+                fresh[key] = self._unit(" " + key)
+        fresh.update(zip(others, self._ids([" " + key for key in others])))
+        found = [fresh[key] if ids is None else ids for key, ids in zip(keys, found)]
+        cache.update(
+            (key, ids) for key, ids in fresh.items() if len(key) <= CACHE_LENGTH and "\n" not in key)
+        return [ids if len(key) == len(name) else ids + self._marks(name[len(key) :])
+                for name, key, ids in zip(names, keys, found)]
 
     def _ids(self, wanted: list[str]) -> list[bytes]:
         """Ids of pieces, blanks in front included."""
@@ -180,28 +251,22 @@ class Encoder:
         return [found[i] for i in range(len(texts))]
 
     def _by_pieces(self, texts: list[str]) -> list[np.ndarray]:
+        """Different pieces are looked up once for all texts, whose ids are put together from them."""
+        if not texts:
+            return []
         if len(self.cache) > CACHE_PIECES:
             self.older, self.cache = self.cache, {}
-        cache, older = self.cache, self.older
-        cut = [pieces(text) for text in texts]
-        first = self._ids([row[0] for row in cut])
-        found, gaps, missing = [], [], set()
-        for row, head in zip(cut, first):
-            ids = list(map(cache.get, row))
-            ids[0] = head
-            open_ = [i for i, x in enumerate(ids) if x is None] if None in ids else []
-            missing.update([row[i] for i in open_])
-            found.append(ids)
-            gaps.append(open_)
-        known = {p: older[p] for p in missing if p in older}
-        wanted = [p for p in missing if p not in known]
-        known.update(zip(wanted, self._ids([" " + p for p in wanted])))
-        for row, ids, open_ in zip(cut, found, gaps):
-            for i in open_:
-                ids[i] = known[row[i]]
-        cache.update(
-            (p, ids) for p, ids in known.items() if len(p) <= CACHE_LENGTH and "\n" not in p)
-        return [np.frombuffer(b"".join(ids), "<u4") for ids in found]
+        cut, counts = pieces(texts)
+        begins = np.cumsum(counts) - counts
+        met = cut.dictionary_encode()
+        codes = met.indices.to_numpy().astype(np.int64)
+        # A text's first piece has no blank in front.
+        heads = cut.take(pa.array(begins)).to_pylist()
+        codes[begins] = len(met.dictionary) + np.arange(len(texts))
+        ids = self._behind_blanks(met.dictionary.to_numpy(zero_copy_only=False).tolist())
+        found, sizes = gathered(ids + self._ids(heads), codes)
+        ends = np.cumsum(np.add.reduceat(sizes, begins)).tolist()
+        return [found[i:j] for i, j in zip([0, *ends], ends)]
 
 
 def encoder(vocabulary: Broadcast) -> Encoder:

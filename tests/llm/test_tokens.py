@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import string
 import zlib
 from collections import defaultdict
 
@@ -36,6 +37,34 @@ def test_pieces_give_the_ids_of_the_whole_text(tokenizer, encoder, text):
     assert encoder.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_of_a_batch_are_looked_up_once_and_put_together(tokenizer):
+    worker = tokens.Encoder(tokens.read_vocabulary(PATH))
+    asked = []
+    look_up = worker._behind_blanks
+    worker._behind_blanks = lambda names: asked.append(names) or look_up(names)
+    texts = ["Say word, say word. say word!", "", "a  run of  spaces ", "say word, (word)\nnext word,",
+             " led by one", "word, word,", "\u00a0 über, straße.\u00a0", "one",
+             " ".join(f"word{a}{b} é{b}{a} x{a}y{b}" for a in string.punctuation for b in "*'._3é")]
+    found = [ids.tolist() for ids in worker.encode(texts)]
+    assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    (names,) = asked
+    assert len(names) == len(set(names)) and {"word,", "word.", "word!"} <= set(names)
+    # Remembered without the marks.
+    assert "word" in worker.cache and not {"word,", "word.", "word!"} & set(worker.cache)
+    cut, counts = tokens.pieces(texts)
+    assert counts.tolist() == [6, 1, 2, 4, 3, 2, 2, 1, 576] and len(cut) == counts.sum()
+
+
+def test_pieces_forgotten_between_batches_are_taken_over(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 5)
+    worker = tokens.Encoder(tokens.read_vocabulary(PATH))
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdeé", k=4)) + draw.choice(["", ",", "...", "-x", "\nnew"]) for _ in range(40)]
+    for _ in range(20):
+        text = " ".join(draw.choices(words, k=12))
+        assert worker.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_strings_of_added_tokens_give_their_ids(encoder):
     plain = Tokenizer.from_file(PATH)
     texts = ["a <|endoftext|> b", "plain words", "<|endoftext|>", "x<|endoftext|>  <|endoftext|>\ny z",
