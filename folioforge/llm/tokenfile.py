@@ -28,6 +28,11 @@ from . import common, tokens
 BLOCK = 256
 SEGMENT_TOKENS = 1 << 18
 LIMIT = 18
+#: Bits of a code length in the decoding table.
+SIZE_BITS = 5
+SIZE_MASK = (1 << SIZE_BITS) - 1
+#: Ids whose bits are written together, few enough for a core's own cache.
+AT_ONCE = 1 << 13
 END_ID = 0
 
 IDS = "doc_id long, place long, ids binary, counts binary"
@@ -79,52 +84,56 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decode_table(lengths: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
-    """Id and code length for every possible next ``limit`` bits."""
+def decode_table(lengths: np.ndarray, limit: int = LIMIT) -> np.ndarray:
+    """Id and code length, the latter in the last ``SIZE_BITS``, for every possible next ``limit`` bits."""
+    if len(lengths) > 1 << (32 - SIZE_BITS):
+        raise ValueError(f"{len(lengths)} ids do not fit the table")
     codes = canonical_codes(lengths)
-    ids, sizes = np.zeros(1 << limit, np.uint32), np.ones(1 << limit, np.int64)
+    table = np.ones(1 << limit, np.uint32)
     for i in np.flatnonzero(lengths):
         size = int(lengths[i])
         begin = int(codes[i]) << (limit - size)
-        ids[begin : begin + (1 << (limit - size))] = i
-        sizes[begin : begin + (1 << (limit - size))] = size
-    return ids, sizes
+        table[begin : begin + (1 << (limit - size))] = int(i) << SIZE_BITS | size
+    return table
 
 
 def encode_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, bytes]:
-    """The code bits and the marks of one segment."""
+    """The code bits and the marks of one segment, written ``AT_ONCE`` ids at a time."""
     if not len(ids):
         return b"", b""
     size = lengths[ids]
     end = np.cumsum(size)
-    start = end - size
-    word = start >> 5
-    value = codes[ids] << (64 - (start & 31) - size).astype(np.uint64)
-    first = np.flatnonzero(np.diff(word, prepend=-1))
     out = np.zeros(int(end[-1] >> 5) + 2, np.uint64)
-    out[word[first]] += np.add.reduceat(value >> np.uint64(32), first)
-    out[word[first] + 1] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), first)
-    return out.astype(">u4").tobytes(), start[::BLOCK].astype("<u8").tobytes()
+    for i in range(0, len(ids), AT_ONCE):
+        some = slice(i, i + AT_ONCE)
+        start = end[some] - size[some]
+        word = start >> 5
+        value = codes[ids[some]] << (64 - (start & 31) - size[some]).astype(np.uint64)
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        at = word[first]
+        out[at] += np.add.reduceat(value >> np.uint64(32), first)
+        out[at + 1] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), first)
+    return out.astype(">u4").tobytes(), (end - size)[::BLOCK].astype("<u8").tobytes()
 
 
 def decode_bits(
-    bits: bytes, marks: bytes, n: int, table: tuple[np.ndarray, np.ndarray], limit: int = LIMIT
+    bits: bytes, marks: bytes, n: int, table: np.ndarray, limit: int = LIMIT
 ) -> np.ndarray:
     """The ids of a segment: one table step of all its blocks at a time."""
     if not n:
         return np.empty(0, np.uint32)
-    ids, sizes = table
     words = np.frombuffer(bits, ">u4").astype(np.uint64)
     pairs = (words << np.uint64(32)) | np.append(words[1:], np.uint64(0))
     at = np.frombuffer(marks, "<u8").astype(np.int64)
-    out = np.empty((len(at), BLOCK), np.uint32)
-    for k in range(min(BLOCK, n)):
+    out = np.empty((min(BLOCK, n), len(at)), np.uint32)
+    for k in range(len(out)):
         # The last block may end early; what it decodes beyond its end is cut off below.
-        window = pairs[np.minimum(at >> 5, len(pairs) - 1)]
+        window = pairs.take(at >> 5, mode="clip")
         key = (window >> (64 - limit - (at & 31)).astype(np.uint64)) & np.uint64((1 << limit) - 1)
-        out[:, k] = ids[key]
-        at += sizes[key]
-    return out.reshape(-1)[:n]
+        found = table.take(key.view(np.int64))
+        out[k] = found
+        at += found & SIZE_MASK
+    return (out.T >> SIZE_BITS).reshape(-1)[:n]
 
 
 # --- jobs ----------------------------------------------------------------------------------

@@ -39,7 +39,8 @@ BYTE_LETTERS = {**{b: b for b in _VISIBLE}, **{b: 256 + i for i, b in enumerate(
 BLANK = chr(BYTE_LETTERS[ord(" ")])
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Blanks that may stand next to other white space or at an end, or white space but for line ends.
+RUNS_OF_SPACE = r"\A | \z|  | \n|\n |[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ENCODERS: dict[int, Encoder] = {}
 
 
@@ -76,12 +77,6 @@ def share_vocabulary(spark: SparkSession, path: str | None = None) -> Broadcast:
     return spark.sparkContext.broadcast(read_vocabulary(path))
 
 
-def runs_of_space(text: str) -> bool:
-    """Whether blanks may stand next to other white space, in runs that must stay whole."""
-    return ("  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
-            or _OTHER_SPACE.search(text) is not None)
-
-
 def pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
     """The texts cut at single blanks between visible characters, and the number of pieces of each.
 
@@ -89,26 +84,27 @@ def pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
     """
     cut: list[pa.Array] = []
     counts = np.empty(len(texts), np.int64)
-    odd = [runs_of_space(text) for text in texts]
+    # A blank next to other white space belongs to a run, which must stay whole.
+    whole = pa.array(texts, pa.large_string())
+    odd = pc.match_substring_regex(whole, RUNS_OF_SPACE).to_pylist()
     begins = [0, *(i for i in range(1, len(texts)) if odd[i] != odd[i - 1]), len(texts)]
     for i, j in zip(begins, begins[1:]):
         if odd[i]:
             split = pa.array([_BETWEEN.split(text) for text in texts[i:j]], pa.list_(pa.large_string()))
         else:
-            split = pc.split_pattern(pa.array(texts[i:j], pa.large_string()), " ")
+            split = pc.split_pattern(whole[i:j], " ")
         cut.append(split.flatten())
         counts[i:j] = pc.list_value_length(split)
     return pa.concat_arrays(cut), counts
 
 
 def gathered(parts: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of the parts that the codes name, one behind the other, and the number of each."""
-    ids = np.frombuffer(b"".join(parts), "<u4")
-    size = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
-    begin = np.cumsum(size) - size
-    sizes = size[codes]
-    shift = begin[codes] - (np.cumsum(sizes) - sizes)
-    return ids[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
+    """The ids of the parts that the codes name, one behind the other, and where each part begins;
+    the last number is the end."""
+    put = pa.array(parts, pa.large_binary()).take(pa.array(codes))
+    _, offsets, data = put.buffers()
+    begins = np.frombuffer(offsets, np.int64, len(codes) + 1) >> 2
+    return np.frombuffer(data or b"", "<u4", int(begins[-1])), begins
 
 
 def visible(part: str) -> bool:
@@ -264,9 +260,9 @@ class Encoder:
         heads = cut.take(pa.array(begins)).to_pylist()
         codes[begins] = len(met.dictionary) + np.arange(len(texts))
         ids = self._behind_blanks(met.dictionary.to_numpy(zero_copy_only=False).tolist())
-        found, sizes = gathered(ids + self._ids(heads), codes)
-        ends = np.cumsum(np.add.reduceat(sizes, begins)).tolist()
-        return [found[i:j] for i, j in zip([0, *ends], ends)]
+        found, places = gathered(ids + self._ids(heads), codes)
+        places = [*places[begins].tolist(), len(found)]
+        return [found[i:j] for i, j in zip(places, places[1:])]
 
 
 def encoder(vocabulary: Broadcast) -> Encoder:

@@ -99,6 +99,23 @@ def test_blocks_round_trip_and_start_at_their_marks():
     assert (third == ids[2 * tokenfile.BLOCK : 3 * tokenfile.BLOCK]).all()
 
 
+def test_bits_written_in_parts_are_those_written_at_once(monkeypatch):
+    draw = random.Random(2)
+    ids = np.array([min(int(draw.expovariate(0.01)), 5000) for _ in range(5000)], np.uint16)
+    lengths = tokenfile.code_lengths(np.bincount(ids))
+    codes = tokenfile.canonical_codes(lengths)
+    found = []
+    for at_once in (1, 7, 1000, 1 << 20):
+        monkeypatch.setattr(tokenfile, "AT_ONCE", at_once)
+        found.append(tokenfile.encode_bits(ids, codes, lengths))
+    assert found[1:] == found[:-1]
+    table = tokenfile.decode_table(lengths)
+    assert (tokenfile.decode_bits(*found[0], len(ids), table) == ids).all()
+    for n in (1, 255, 256, 257):
+        some = tokenfile.encode_bits(ids[:n], codes, lengths)
+        assert (tokenfile.decode_bits(*some, n, table) == ids[:n]).all()
+
+
 def test_token_file_of_odd_rows(spark, tokenizer, fresh):
     tokenfile.write_token_file(odd_documents(spark), fresh)
     found = tokenfile.read_token_file(spark, fresh, keep_ids=True).orderBy("start").collect()
