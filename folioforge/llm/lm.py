@@ -184,43 +184,48 @@ def unroll(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray
            way_back: bool = False):
     """States after each of the (step, lane) ``inputs``; ``keep`` is 0 where a document begins.
 
-    With ``way_back`` also gates, candidates and the states before each step, else none.
+    With ``way_back`` also what each step reads (state, embedding and a one), gates, candidates
+    and what the state adds to them, else none; these are kept lane by lane, (step, number,
+    lane), so that the parts of a step lie together.
     """
     parts = model.parts
     steps, lanes = inputs.shape
+    kind = model.numbers.dtype
+    read_by = np.vstack([parts["state"], parts["inner"], parts["gates"]]).T
     # The logistic function is a hyperbolic tangent of half its argument.
-    half = np.ones(3 * HIDDEN, model.numbers.dtype)
-    half[: 2 * HIDDEN] = 0.5
-    given = parts["embedding"][inputs.reshape(-1)] @ (parts["inner"] * half)
-    given += parts["gates"] * half
-    given = given.reshape(steps, lanes, 3 * HIDDEN)
-    turn = parts["state"] * half
-    states = np.empty((steps, lanes, HIDDEN), given.dtype)
+    to_gates = read_by[: 2 * HIDDEN] * kind.type(0.5)
+    to_candidate = np.ascontiguousarray(read_by[2 * HIDDEN :, HIDDEN:])
+    turn = np.ascontiguousarray(read_by[2 * HIDDEN :, :HIDDEN])
+    states = np.empty((steps, HIDDEN, lanes), kind)
     begins = (keep == 0).any(axis=1).tolist()
-    stored: tuple = ()
-    if way_back:
-        stored = (np.empty_like(states), np.empty((steps, lanes, 2 * HIDDEN), given.dtype),
-                  np.empty_like(states), np.empty_like(states))
-        before, gates, inner, candidates = stored
+    kept = steps if way_back else 1
+    stored = tuple(np.empty((kept, size, lanes), kind)
+                   for size in (HIDDEN + EMBEDDING + 1, 2 * HIDDEN, HIDDEN, HIDDEN))
+    stored[0][:, -1] = 1
+    given = np.empty((HIDDEN, lanes), kind)
+    state = np.ascontiguousarray(state.T)
     for t in range(steps):
-        h = state * keep[t][:, None] if begins[t] else state
-        a = h @ turn
-        g = gates[t] if way_back else np.empty((lanes, 2 * HIDDEN), given.dtype)
-        np.add(given[t, :, : 2 * HIDDEN], a[:, : 2 * HIDDEN], out=g)
+        x, g, inner, n = (part[t if way_back else 0] for part in stored)
+        h = x[:HIDDEN]
+        if begins[t]:
+            np.multiply(state, keep[t], out=h)
+        else:
+            h[:] = state
+        x[HIDDEN:-1] = parts["embedding"][inputs[t]].T
+        np.matmul(to_gates, x, out=g)
         np.tanh(g, out=g)
         g += 1
         g *= 0.5
-        n = candidates[t] if way_back else np.empty((lanes, HIDDEN), given.dtype)
-        np.multiply(g[:, HIDDEN:], a[:, 2 * HIDDEN :], out=n)
-        n += given[t, :, 2 * HIDDEN :]
+        np.matmul(turn, h, out=inner)
+        np.matmul(to_candidate, x[HIDDEN:], out=given)
+        np.multiply(g[HIDDEN:], inner, out=n)
+        n += given
         np.tanh(n, out=n)
-        if way_back:
-            before[t], inner[t] = h, a[:, 2 * HIDDEN :]
         state = states[t]
         np.subtract(h, n, out=state)
-        state *= g[:, :HIDDEN]
+        state *= g[:HIDDEN]
         state += n
-    return states, stored
+    return np.ascontiguousarray(states.transpose(0, 2, 1)), stored if way_back else ()
 
 
 def _softmax(
@@ -255,26 +260,37 @@ def _reach(model: Model) -> tuple[float, np.ndarray]:
     return float(classes.max()), np.maximum.reduceat(words, model.limits[:-1])
 
 
-def by_class(model: Model, target: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
-    """(class, begin, end) of each class that occurs among the targets, and where."""
+def by_class(
+    model: Model, target: np.ndarray
+) -> tuple[np.ndarray, list[tuple[int, int, int, slice]]]:
+    """The targets' order by class, and (class, begin, end) of each that occurs, but for those of
+    one word, and where it lies in that order."""
     group = model.class_of[target]
     order = np.argsort(group, kind="stable")
-    begins = np.flatnonzero(np.diff(group[order], prepend=-1))
+    group = group[order]
+    begins = np.flatnonzero(np.diff(group, prepend=-1))
+    found = []
     for i, j in zip(begins.tolist(), [*begins[1:].tolist(), len(order)]):
-        c = int(group[order[i]])
-        yield c, int(model.limits[c]), int(model.limits[c + 1]), order[i:j]
+        c = int(group[i])
+        low, high = int(model.limits[c]), int(model.limits[c + 1])
+        if high - low > 1:
+            found.append((c, low, high, slice(i, j)))
+    return order, found
 
 
 def log_probabilities(model: Model, states: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural logs of the targets' probabilities after the states, one row each."""
     parts = model.parts
     top, tops = _reach(model)
-    found = _softmax(states, parts["class_weights"], parts["class_bias"], top,
-                     model.class_of[target])[0].astype(np.float64)
-    for c, low, high, rows in by_class(model, target):
-        if high - low > 1:
-            found[rows] += _softmax(states[rows], parts["word_weights"][low:high].T,
-                                    parts["word_bias"][low:high], tops[c], target[rows] - low)[0]
+    order, classes = by_class(model, target)
+    states, target = states[order], target[order]
+    logs = _softmax(states, parts["class_weights"], parts["class_bias"], top,
+                    model.class_of[target])[0].astype(np.float64)
+    for c, low, high, rows in classes:
+        logs[rows] += _softmax(states[rows], parts["word_weights"][low:high].T,
+                               parts["word_bias"][low:high], tops[c], target[rows] - low)[0]
+    found = np.empty_like(logs)
+    found[order] = logs
     return found
 
 
@@ -288,6 +304,8 @@ def gradients(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndar
     steps, lanes = inputs.shape
     states, (before, gates, inner, candidates) = unroll(model, inputs, keep, state, True)
     at = np.flatnonzero(wanted.reshape(-1))
+    order, by = by_class(model, target.reshape(-1)[at])
+    at = at[order]
     h, aim = states.reshape(-1, HIDDEN)[at], target.reshape(-1)[at]
     scale = h.dtype.type(1 / max(1, len(at)))
     classes = model.class_of[aim]
@@ -299,53 +317,65 @@ def gradients(model: Model, inputs: np.ndarray, keep: np.ndarray, state: np.ndar
     slopes: dict[str, np.ndarray] = {"class_weights": h.T @ p, "class_bias": p.sum(axis=0)}
     back = p @ parts["class_weights"].T
     words: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-    for c, low, high, rows in by_class(model, aim):
-        if high - low > 1:
-            some = h[rows]
-            weights = parts["word_weights"][low:high]
-            logs, p, total = _softmax(
-                some, weights.T, parts["word_bias"][low:high], tops[c], aim[rows] - low)
-            loss -= float(logs.sum())
-            p *= (scale / total)[:, None]
-            p[np.arange(len(rows)), aim[rows] - low] -= scale
-            back[rows] += p @ weights
-            words.append((low, high, p.T @ some, p.sum(axis=0)))
+    for c, low, high, rows in by:
+        some = h[rows]
+        weights = parts["word_weights"][low:high]
+        logs, p, total = _softmax(
+            some, weights.T, parts["word_bias"][low:high], tops[c], aim[rows] - low)
+        loss -= float(logs.sum())
+        p *= (scale / total)[:, None]
+        p[np.arange(len(some)), aim[rows] - low] -= scale
+        back[rows] += p @ weights
+        words.append((low, high, p.T @ some, p.sum(axis=0)))
     outer = np.zeros((steps * lanes, HIDDEN), h.dtype)
     outer[at] = back
-    outer = outer.reshape(steps, lanes, HIDDEN)
-    # What each step multiplies its slope with, for all steps at once.
-    z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
-    to_candidate = (1 - z) * (1 - candidates * candidates)
-    to_update = (before - candidates) * z * (1 - z)
-    to_reset = inner * r * (1 - r)
-    given = np.empty((steps, lanes, 3 * HIDDEN), h.dtype)
-    later = np.zeros((lanes, HIDDEN), h.dtype)
-    carried = np.empty_like(given)
-    back_state = np.ascontiguousarray(parts["state"].T)
+    outer = np.ascontiguousarray(outer.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
+    of_gates = np.zeros((HIDDEN + EMBEDDING + 1, 2 * HIDDEN), h.dtype)
+    of_candidate = np.zeros((EMBEDDING + 1, HIDDEN), h.dtype)
+    of_turn = np.zeros((HIDDEN, HIDDEN), h.dtype)
+    read = np.empty((steps, lanes, EMBEDDING), h.dtype)
+    row = np.empty((3 * HIDDEN, lanes), h.dtype)
+    up, reset, dn = row[:HIDDEN], row[HIDDEN : 2 * HIDDEN], row[2 * HIDDEN :]
+    to_gates = np.ascontiguousarray(parts["state"][:, : 2 * HIDDEN])
+    turn = np.ascontiguousarray(parts["state"][:, 2 * HIDDEN :])
+    later = np.zeros((HIDDEN, lanes), h.dtype)
     begins = (keep == 0).any(axis=1).tolist()
+    # Step by step, as a step's numbers fit a core's own cache.
     for t in range(steps - 1, -1, -1):
-        dh = outer[t] + later
-        row = given[t]
-        dn = dh * to_candidate[t]
-        np.multiply(dh, to_update[t], out=row[:, :HIDDEN])
-        np.multiply(dn, to_reset[t], out=row[:, HIDDEN : 2 * HIDDEN])
-        row[:, 2 * HIDDEN :] = dn
-        own = carried[t]
-        own[:] = row
-        own[:, 2 * HIDDEN :] *= r[t]
-        later = own @ back_state
-        dh *= z[t]
+        x, z, r, n = before[t], gates[t, :HIDDEN], gates[t, HIDDEN:], candidates[t]
+        dh = outer[t]
+        dh += later
+        rest = 1 - z
+        np.multiply(n, n, out=dn)
+        np.subtract(1, dn, out=dn)
+        dn *= rest
+        dn *= dh
+        np.subtract(x[:HIDDEN], n, out=up)
+        up *= z
+        up *= rest
+        up *= dh
+        np.subtract(1, r, out=reset)
+        reset *= r
+        reset *= inner[t]
+        reset *= dn
+        turned = dn * r
+        later = to_gates @ row[: 2 * HIDDEN]
+        later += turn @ turned
+        dh *= z
         later += dh
         if begins[t]:
-            later *= keep[t][:, None]
-    flat = given.reshape(-1, 3 * HIDDEN)
-    slopes["state"] = before.reshape(-1, HIDDEN).T @ carried.reshape(-1, 3 * HIDDEN)
-    slopes["gates"] = flat.sum(axis=0)
-    read = inputs.reshape(-1)
-    slopes["inner"] = parts["embedding"][read].T @ flat
-    order = np.argsort(read.astype(np.uint16), kind="stable")
-    begins = np.flatnonzero(np.diff(read[order], prepend=-1))
-    embedded = (np.add.reduceat((flat @ parts["inner"].T)[order], begins), read[order][begins])
+            later *= keep[t]
+        of_gates += x @ row[: 2 * HIDDEN].T
+        of_candidate += x[HIDDEN:] @ dn.T
+        of_turn += x[:HIDDEN] @ turned.T
+        np.matmul(row.T, parts["inner"].T, out=read[t])
+    slopes["state"] = np.hstack([of_gates[:HIDDEN], of_turn])
+    slopes["inner"] = np.hstack([of_gates[HIDDEN:-1], of_candidate[:-1]])
+    slopes["gates"] = np.hstack([of_gates[-1], of_candidate[-1]])
+    flat = inputs.reshape(-1)
+    order = np.argsort(flat.astype(np.uint16), kind="stable")
+    begins = np.flatnonzero(np.diff(flat[order], prepend=-1))
+    embedded = (np.add.reduceat(read.reshape(-1, EMBEDDING)[order], begins), flat[order][begins])
     return loss, (slopes, embedded, words), states[-1]
 
 

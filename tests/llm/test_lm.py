@@ -236,3 +236,39 @@ def test_logits_far_below_their_bound_keep_their_probabilities():
     found, exps, total = lm._softmax(states, weights, bias, reach, target)
     assert np.allclose(found, wanted[np.arange(9), target], rtol=1e-4, atol=1e-3)
     assert np.allclose((exps / total[:, None]).sum(axis=1), 1, rtol=1e-5)
+
+
+def test_targets_come_in_order_of_their_classes_and_steps_lane_by_lane():
+    limits = np.array([0, 1, 4, 4 + 6])
+    sizes = [int(np.prod(s)) for s in lm.shapes(10, 3).values()]
+    draw = np.random.default_rng(4)
+    model = lm.Model(draw.normal(0, 0.3, sum(sizes)).astype(np.float32), limits)
+    target = draw.integers(0, 10, 50)
+    order, classes = lm.by_class(model, target)
+    assert sorted(order.tolist()) == list(range(50))
+    assert [c for c, *_ in classes] == [1, 2]  # that of one word has nothing to add
+    for c, low, high, rows in classes:
+        assert (low, high) == (limits[c], limits[c + 1])
+        assert order[rows].tolist() == np.flatnonzero((target >= low) & (target < high)).tolist()
+    steps, lanes = 5, 3
+    inputs = draw.integers(0, 10, (steps, lanes))
+    keep = np.ones((steps, lanes), np.float32)
+    keep[2, 1] = 0
+    state = draw.normal(0, 0.3, (lanes, lm.HIDDEN)).astype(np.float32)
+    states, (read, gates, inner, candidates) = lm.unroll(model, inputs, keep, state, True)
+    assert np.array_equal(lm.unroll(model, inputs, keep, state)[0], states)
+    parts, h = model.parts, state
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+    cut = 2 * lm.HIDDEN
+    for t in range(steps):
+        h = h * keep[t][:, None]
+        given = parts["embedding"][inputs[t]] @ parts["inner"] + parts["gates"]
+        turned = h @ parts["state"]
+        z, r = np.split(logistic(given[:, :cut] + turned[:, :cut]), 2, axis=1)
+        n = np.tanh(given[:, cut:] + r * turned[:, cut:])
+        assert np.allclose(read[t, : lm.HIDDEN].T, h, atol=1e-5) and (read[t, -1] == 1).all()
+        assert np.allclose(gates[t].T, np.hstack([z, r]), atol=1e-5)
+        assert np.allclose(inner[t].T, turned[:, cut:], atol=1e-5)
+        assert np.allclose(candidates[t].T, n, atol=1e-5)
+        h = (1 - z) * n + z * h
+        assert np.allclose(states[t], h, atol=1e-5)
