@@ -28,6 +28,8 @@ WINDOWS = 32
 #: Unfilled windows merged by one task.
 MERGE = 64
 END_ID = 1
+#: Pieces of text a worker remembers, fewer than elsewhere: a pipeline's workers hold more beside them.
+CACHE_PIECES = 120_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -155,12 +157,12 @@ def pack(
     set.  ``keep_ids`` adds the ids of each piece.
     """
     spark = docs.sparkSession
-    common.python_batches(spark)
+    common.python_batches(spark, common.SMALL_BATCH_BYTES)
     shared = tokens.share_vocabulary(spark, vocabulary)
     end = np.array([end_id], "<u4")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker, packer = tokens.encoder(shared), Packer(length, windows)
+        worker, packer = tokens.encoder(shared, CACHE_PIECES), Packer(length, windows)
         part = TaskContext.get().partitionId()
         number = part << 32
         for batch in batches:

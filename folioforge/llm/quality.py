@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -165,7 +164,7 @@ def train(
     docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE
 ) -> Model:
     """Fit on labelled rows that are not held out."""
-    common.python_batches(docs.sparkSession)
+    common.python_batches(docs.sparkSession, common.SMALL_BATCH_BYTES)
     known = (
         labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
         .where(~held_out("doc_id"))
@@ -201,7 +200,7 @@ def train(
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
     spark = docs.sparkSession
-    common.python_batches(spark)
+    common.python_batches(spark, common.SMALL_BATCH_BYTES)
     shared = spark.sparkContext.broadcast(model)  # of a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,15 +221,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     """The documents, all their columns, that score at least ``THRESHOLD``."""
     spark = docs.sparkSession
-    common.python_batches(spark)
+    common.python_batches(spark, common.SMALL_BATCH_BYTES)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def judged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in batches:
-            found = (features(text) for text in part)
-            yield pd.Series([margins(shared.value, i, v, np.array([0]))[0] for i, v in found],
-                            dtype="float64")
+            found = (features(text) for text in part.to_pylist())
+            yield pa.array([margins(shared.value, i, v, np.array([0]))[0] for i, v in found],
+                           pa.float64())
 
     limit = float(np.log(THRESHOLD / (1 - THRESHOLD)))
     return docs.where(judged(F.coalesce(F.col("text"), F.lit(""))) >= limit)

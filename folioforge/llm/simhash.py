@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 def _signed(docs: DataFrame, key: Column, shingle: int) -> DataFrame:
     """(doc_id, key, bits) with a long ``key`` of every document."""
-    common.python_batches(docs.sparkSession)
+    common.python_batches(docs.sparkSession, common.SMALL_BATCH_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -114,7 +114,8 @@ def visible(part: str) -> bool:
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary) -> None:
+    def __init__(self, vocabulary: Vocabulary, most: int | None = None) -> None:
+        self.most = most or CACHE_PIECES
         # Spark runs a worker per core already.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -250,7 +251,7 @@ class Encoder:
         """Different pieces are looked up once for all texts, whose ids are put together from them."""
         if not texts:
             return []
-        if len(self.cache) > CACHE_PIECES:
+        if len(self.cache) > self.most:
             self.older, self.cache = self.cache, {}
         cut, counts = pieces(texts)
         begins = np.cumsum(counts) - counts
@@ -265,9 +266,13 @@ class Encoder:
         return [found[i:j] for i, j in zip(places, places[1:])]
 
 
-def encoder(vocabulary: Broadcast) -> Encoder:
-    """This worker's encoder for the vocabulary; kept for later tasks."""
+def encoder(vocabulary: Broadcast, most: int | None = None) -> Encoder:
+    """This worker's encoder for the vocabulary; kept for later tasks.
+
+    ``most`` is the number of pieces it remembers in each of two generations.
+    """
     key = zlib.crc32(vocabulary.value.content.encode())
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(vocabulary.value)
+    _ENCODERS[key].most = most or CACHE_PIECES
     return _ENCODERS[key]

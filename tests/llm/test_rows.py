@@ -15,7 +15,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from folioforge.llm import ann, common, decontaminate, licenses, quality, queries, sharding, urlfilter
+from folioforge.llm import ann, common, decontaminate, licenses, quality, queries, sharding, suffix, urlfilter
 from odd import SMALL, no_documents, odd_documents, odd_rows, sql_table
 from pyspark.sql import functions as F
 from test_similarity import covered, first_of_groups
@@ -377,6 +377,19 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(clean)
 
 
+def test_pipeline_workers_get_small_batches_and_no_pandas(spark):
+    docs = common.table(spark, SMALL, "documents").limit(20)
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        out = stage(spark, docs, SMALL)
+        if name == "decontamination":
+            continue
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(common.SMALL_BATCH_BYTES)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "PANDAS" not in plan.upper()
+    assert not hasattr(quality, "pd") and not hasattr(suffix, "pd")
+
+
 def test_pipeline_of_odd_rows_and_nothing(spark):
     for docs in (odd_documents(spark), no_documents(spark)):
         n = docs.count()

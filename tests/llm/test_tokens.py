@@ -65,6 +65,14 @@ def test_pieces_forgotten_between_batches_are_taken_over(tokenizer, monkeypatch)
         assert worker.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_what_an_encoder_remembers_has_its_own_limit(tokenizer):
+    worker = tokens.Encoder(tokens.read_vocabulary(PATH), 50)
+    for i in range(40):
+        text = " ".join(f"w{chr(97 + i % 26)}{chr(97 + k)}{chr(97 + i // 26)}" for k in range(20))
+        assert worker.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(worker.cache) <= 70 and len(worker.older) <= 70
+
+
 def test_strings_of_added_tokens_give_their_ids(encoder):
     plain = Tokenizer.from_file(PATH)
     texts = ["a <|endoftext|> b", "plain words", "<|endoftext|>", "x<|endoftext|>  <|endoftext|>\ny z",
