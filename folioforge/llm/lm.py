@@ -55,6 +55,8 @@ TASK_TOKENS = 2_000_000
 STEPS, LANES = 16, 256
 LONGEST = 1024
 SCORE_STEPS, SCORE_LANES = 32, 512
+#: Tokens scored at once, so that few steps are left to the lanes with the longest texts.
+SCORE_TOKENS = 2_000_000
 RATE = 0.15
 FIRST = 1e-4
 CLIP = 1.0
@@ -477,7 +479,7 @@ def score_texts(model: Model, texts: list[np.ndarray], end: int) -> np.ndarray:
     who = np.repeat(np.array(by_length, np.int64)[lanes.order], lanes.lengths)
     state = np.zeros((len(lanes.sizes), HIDDEN), np.float32)
     last = np.full(len(lanes.sizes), end, np.int64)
-    for index, target, first, wanted in lanes.windows(SCORE_STEPS, SCORE_STEPS, end):
+    for index, target, first, wanted in lanes.windows(SCORE_STEPS, LONGEST, end):
         left = target.shape[1]
         inputs = np.vstack([last[None, :left], target[:-1]])
         inputs[first] = end
@@ -683,6 +685,24 @@ def train(coded: DataFrame, known: Vocabulary, rounds: int = ROUNDS,
     return model
 
 
+def grouped(
+    batches: Iterator[pa.RecordBatch], tokens: int
+) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """(row, places) of batches put together until they have ``tokens`` tokens, and of what is left."""
+    rows: list[pa.Array] = []
+    texts: list[np.ndarray] = []
+    size = 0
+    for batch in batches:
+        rows.append(common.column(batch, "row"))
+        texts += [np.frombuffer(x, "<u2").astype(np.int64) for x in common.texts(batch, "places")]
+        size += sum(map(len, texts[len(texts) - batch.num_rows :]))
+        if size >= tokens:
+            yield pa.concat_arrays(rows), texts
+            rows, texts, size = [], [], 0
+    if texts:
+        yield pa.concat_arrays(rows), texts
+
+
 def _scored(coded: DataFrame, known: Vocabulary, model: Model) -> DataFrame:
     """(row, model_score): log10 probabilities of the documents' places."""
     shared = coded.sparkSession.sparkContext.broadcast((model.numbers, model.limits))
@@ -690,11 +710,9 @@ def _scored(coded: DataFrame, known: Vocabulary, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        for batch in batches:
-            texts = [np.frombuffer(x, "<u2").astype(np.int64) for x in common.texts(batch, "places")]
+        for rows, texts in grouped(batches, SCORE_TOKENS):
             scores = score_texts(model, texts, end) / np.log(10)
-            yield pa.RecordBatch.from_arrays(
-                [common.column(batch, "row"), pa.array(scores)], ["row", "model_score"])
+            yield pa.RecordBatch.from_arrays([rows, pa.array(scores)], ["row", "model_score"])
 
     return coded.select("row", "places").mapInArrow(run, "row long, model_score double")
 

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from folioforge.llm import common, lm, queries
@@ -120,6 +121,29 @@ def test_whole_texts_score_as_word_by_word(trained, monkeypatch):
     assert len(lm.score_texts(model, [], end)) == 0
 
 
+def test_batches_are_scored_together_in_long_windows(trained, monkeypatch):
+    _, _, _, model, _, end, coded, _ = trained
+    batches = [pa.RecordBatch.from_pydict({
+        "row": pa.array(range(i, min(i + 7, len(coded))), pa.int64()),
+        "places": pa.array([x.astype("<u2").tobytes() for x in coded[i : i + 7]], pa.binary())})
+        for i in range(0, len(coded), 7)]
+    batches.insert(2, batches[0].slice(0, 0))
+    for tokens in (1, 500, 10**9):
+        groups = list(lm.grouped(iter(batches), tokens))
+        assert [r for rows, _ in groups for r in rows.to_pylist()] == list(range(len(coded)))
+        assert all(sum(map(len, texts)) >= tokens for _, texts in groups[:-1])
+        scores = np.concatenate([lm.score_texts(model, texts, end) for _, texts in groups])
+        assert np.allclose(scores, lm.score_texts(model, coded, end), rtol=1e-4)
+    assert len(groups) == 1 and not list(lm.grouped(iter([]), 5))
+    # A long text beside short ones: as many words in its windows as in those before.
+    calls = []
+    unroll = lm.unroll
+    monkeypatch.setattr(lm, "unroll", lambda model, inputs, *rest: calls.append(inputs.shape) or unroll(
+        model, inputs, *rest))
+    lm.score_texts(model, [np.full(2000, end), *[np.full(30, end)] * 9], end)
+    assert len(calls) < 12
+
+
 def test_slopes_are_those_of_the_loss(trained):
     _, known, _, model, _, end, _, _ = trained
     draw = np.random.default_rng(2)
