@@ -28,8 +28,6 @@ WINDOWS = 32
 #: Unfilled windows merged by one task.
 MERGE = 64
 END_ID = 1
-#: Pieces of text a worker remembers, fewer than elsewhere: a pipeline's workers hold more beside them.
-CACHE_PIECES = 120_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -162,10 +160,11 @@ def pack(
     end = np.array([end_id], "<u4")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker, packer = tokens.encoder(shared, CACHE_PIECES), Packer(length, windows)
+        worker, packer = tokens.encoder(shared), Packer(length, windows)
         part = TaskContext.get().partitionId()
         number = part << 32
-        for batch in batches:
+        # Spark hands out small batches; the larger the one encoded, the fewer of its pieces are looked up.
+        for batch in common.gathered(batches):
             done: list[tuple[int, list[Piece]]] = []
             names = common.column(batch, "doc_id").cast(pa.int64()).to_pylist()
             for doc, ids in zip(names, worker.encode(common.texts(batch))):

@@ -9,13 +9,15 @@ token, which the library matches before all else, is encoded whole.
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
 import string
 import zlib
 from array import array
-from itertools import compress
+from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -25,9 +27,11 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 #: Pieces remembered by a worker in each of two generations, and the longest worth remembering.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 400_000
 CACHE_LENGTH = 32
 START_PIECES = 50_000
+#: Words whose tokens the library hands over as Python objects at once.
+WORDS_AT_ONCE = 4096
 #: All but the apostrophe, with which the usual pattern begins units of letters.
 MARKS = string.punctuation.replace("'", "")
 
@@ -37,6 +41,7 @@ _HIDDEN = [b for b in range(256) if b not in _VISIBLE]
 BYTE_LETTERS = {**{b: b for b in _VISIBLE}, **{b: 256 + i for i, b in enumerate(_HIDDEN)}}
 
 BLANK = chr(BYTE_LETTERS[ord(" ")])
+SPELLING = "".join(chr(BYTE_LETTERS[b]) for b in range(256))
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 #: Blanks that may stand next to other white space or at an end, or white space but for line ends.
@@ -98,10 +103,10 @@ def pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
     return pa.concat_arrays(cut), counts
 
 
-def gathered(parts: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gathered(parts: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the parts that the codes name, one behind the other, and where each part begins;
     the last number is the end."""
-    put = pa.array(parts, pa.large_binary()).take(pa.array(codes))
+    put = parts.take(pa.array(codes))
     _, offsets, data = put.buffers()
     begins = np.frombuffer(offsets, np.int64, len(codes) + 1) >> 2
     return np.frombuffer(data or b"", "<u4", int(begins[-1])), begins
@@ -113,9 +118,31 @@ def visible(part: str) -> bool:
     return word.split() == [word]
 
 
+class Known:
+    """Strings and their ids in Arrow arrays, which take a fifth of a dictionary's memory."""
+
+    def __init__(self) -> None:
+        self.names = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.names.to_pylist())
+
+    def places(self, wanted: pa.Array) -> np.ndarray:
+        """Where each of the strings stands; -1 if it does not."""
+        return pc.fill_null(pc.index_in(wanted, value_set=self.names), -1).to_numpy().astype(np.int64)
+
+    def add(self, names: pa.Array, ids: pa.Array) -> None:
+        self.names = pa.concat_arrays([self.names, names])
+        self.ids = pa.concat_arrays([self.ids, ids])
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, most: int | None = None) -> None:
-        self.most = most or CACHE_PIECES
+        self.most = most or CACHE_PIECES  # in each of two generations
         # Spark runs a worker per core already.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -125,10 +152,10 @@ class Encoder:
         self.added, self.normalized = vocabulary.added, vocabulary.normalized
         # Words joined by line ends must not spell an added token.
         self.joined = not self.normalized and not any("\n" in token for token in self.added)
-        # By piece without the blank in front of it: those met since the last change, and those
-        # met before it.  What is met again is taken over, so common pieces are never forgotten.
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # By piece without the blank in front of it and marks behind it: those met since the last
+        # change, and those met before it.  What is met again is taken over, so common pieces are
+        # never forgotten.
+        self.cache, self.older = Known(), Known()
         self.marks: dict[str, bytes] = {}
         self.starts: dict[str, bytes] = {}  # words without a blank in front
         (self.line_end,) = self._each(["\n"])
@@ -172,13 +199,13 @@ class Encoder:
         word = stem[1:] if blank else stem
         if not self.byte_level or not word.isalpha():
             return None
-        ids = (self.cache.get(word) or self.older.get(word)) if blank else self.starts.get(word)
+        ids = None if blank else self.starts.get(word)
         if ids is None:
             ids = self._unit(stem)
-            if len(word) <= CACHE_LENGTH:
+            if not blank and len(word) <= CACHE_LENGTH:
                 if len(self.starts) > START_PIECES:
                     self.starts.clear()
-                (self.cache if blank else self.starts)[word] = ids
+                self.starts[word] = ids
         return ids + self._marks(piece[len(stem) :]) if len(stem) < len(piece) else ids
 
     def _marks(self, marks: str) -> bytes:
@@ -188,34 +215,81 @@ class Encoder:
             self.marks[marks] = self._unit(marks)
         return self.marks[marks]
 
-    def _behind_blanks(self, names: list[str]) -> list[bytes]:
+    def _words(self, words: list[str]) -> pa.Array:
+        """Ids of words of letters with a blank in front of each, by the tokenizer's model."""
+        tokenize = self.model.tokenize
+        ids, counts = array("I"), []
+        for i in range(0, len(words), WORDS_AT_ONCE):
+            raw = "\n".join([" " + word for word in words[i : i + WORDS_AT_ONCE]]).encode()
+            spelled = codecs.charmap_decode(raw, "strict", SPELLING)[0].split(SPELLING[10])
+            found = [tokenize(word) for word in spelled]
+            counts += map(len, found)
+            ids.extend([t.id for t in chain.from_iterable(found)])
+        offsets = np.zeros(len(words) + 1, np.int64)
+        np.cumsum(counts, out=offsets[1:])
+        return pa.Array.from_buffers(
+            pa.large_binary(), len(words), [None, pa.py_buffer(offsets << 2), pa.py_buffer(ids.tobytes())])
+
+    def _learn(self, unknown: pa.Array) -> None:
+        """Remember different pieces without marks behind them, but for those that need marks.
+
+        Marks behind a letter or number are a unit of their own, so they do not change what is in front.
+        """
+        places = self.older.places(unknown)
+        again = places >= 0
+        self.cache.add(unknown.filter(pa.array(again)), self.older.ids.take(pa.array(places[again])))
+        new = unknown.filter(pa.array(~again & (pc.utf8_length(unknown).to_numpy() <= CACHE_LENGTH)))
+        letters = pc.utf8_is_alpha(new) if self.byte_level else pa.array(np.zeros(len(new), bool))
+        words = new.filter(letters)
+        others = [p for p in new.filter(pc.invert(letters)).to_pylist() if p[-1:].isalnum() and "\n" not in p]
+        self.cache.add(words, self._words(words.to_pylist()))
+        self.cache.add(pa.array(others, pa.large_string()),
+                       pa.array(self._ids([" " + p for p in others]), pa.large_binary()))
+
+    def _behind_blanks(self, names: list[str]) -> pa.Array:
         """Ids of different pieces, which come without the blank in front of them.
 
-        Letters with marks behind them are looked up and remembered as by ``_word``, without marks.
+        Pieces are looked up and remembered without marks behind them.  Of lines without white
+        space the first is looked up so; the others have no blank in front of them.
         """
-        cache, older, tokenize = self.cache, self.older, self.model.tokenize
-        keys = names
-        if self.byte_level:
-            keys = [w if (w := name.rstrip(MARKS)).isalpha() else name for name in names]
-        found = list(map(cache.get, keys))
-        fresh: dict[str, bytes] = {}
-        others = []
-        for key in dict.fromkeys(compress(keys, [ids is None for ids in found])):
-            ids = older.get(key)
-            if ids is not None:
-                fresh[key] = ids
-            elif not self.byte_level or not key.isalpha():
-                others.append(key)
-            elif key.isascii():
-                fresh[key] = array("I", [t.id for t in tokenize(BLANK + key)]).tobytes()
-            else:
-                fresh[key] = self._unit(" " + key)
-        fresh.update(zip(others, self._ids([" " + key for key in others])))
-        found = [fresh[key] if ids is None else ids for key, ids in zip(keys, found)]
-        cache.update(
-            (key, ids) for key, ids in fresh.items() if len(key) <= CACHE_LENGTH and "\n" not in key)
-        return [ids if len(key) == len(name) else ids + self._marks(name[len(key) :])
-                for name, key, ids in zip(names, keys, found)]
+        whole = pa.array(names, pa.large_string())
+        firsts, nexts = list(names), {}
+        lined = pc.match_substring(whole, "\n").to_numpy(zero_copy_only=False) & self.byte_level
+        for i in np.flatnonzero(lined).tolist():
+            if all(map(visible, lines := names[i].split("\n"))):
+                firsts[i], nexts[i] = lines[0], lines[1:]
+        if nexts:
+            whole = pa.array(firsts, pa.large_string())
+        stems = pc.ascii_rtrim(whole, MARKS) if self.byte_level else whole
+        places = self.cache.places(stems)
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            wanted, n = stems.take(pa.array(missing)), len(self.cache)
+            self._learn(pc.unique(wanted))
+            fresh = Known()
+            fresh.add(self.cache.names[n:], self.cache.ids[n:])
+            found = fresh.places(wanted)
+            places[missing] = np.where(found < 0, -1, found + n)
+        marks = pc.binary_length(whole).to_numpy() - pc.binary_length(stems).to_numpy()
+        # What is left is asked for as it is, marks included.
+        left = np.flatnonzero(places < 0)
+        marks[left] = 0
+        places[left] = len(self.cache) + np.arange(len(left))
+        extra = self._ids([" " + firsts[i] for i in left.tolist()])
+        ids = pa.concat_arrays([self.cache.ids, pa.array(extra, pa.large_binary())]).take(pa.array(places))
+        # Behind it: marks, then the next lines.
+        tails = [b""]
+        behind = np.zeros(len(names), np.int64)
+        at = np.flatnonzero(marks)
+        behind[at] = 1 + np.arange(len(at))
+        tails += [self._marks(firsts[i][-n:]) for i, n in zip(at.tolist(), marks[at].tolist())]
+        starts = list(dict.fromkeys(chain.from_iterable(nexts.values())))
+        known = dict(zip(starts, self._ids(starts)))
+        for i, lines in nexts.items():
+            tails.append(self.line_end.join([tails[behind[i]], *(known[line] for line in lines)]))
+            behind[i] = len(tails) - 1
+        rest = pa.array(tails, pa.large_binary()).take(pa.array(behind))
+        return pc.binary_join_element_wise(ids, rest, pa.scalar(b"", pa.large_binary()))
 
     def _ids(self, wanted: list[str]) -> list[bytes]:
         """Ids of pieces, blanks in front included."""
@@ -252,7 +326,7 @@ class Encoder:
         if not texts:
             return []
         if len(self.cache) > self.most:
-            self.older, self.cache = self.cache, {}
+            self.older, self.cache = self.cache, Known()
         cut, counts = pieces(texts)
         begins = np.cumsum(counts) - counts
         met = cut.dictionary_encode()
@@ -261,18 +335,15 @@ class Encoder:
         heads = cut.take(pa.array(begins)).to_pylist()
         codes[begins] = len(met.dictionary) + np.arange(len(texts))
         ids = self._behind_blanks(met.dictionary.to_numpy(zero_copy_only=False).tolist())
-        found, places = gathered(ids + self._ids(heads), codes)
+        found, places = gathered(
+            pa.concat_arrays([ids, pa.array(self._ids(heads), pa.large_binary())]), codes)
         places = [*places[begins].tolist(), len(found)]
         return [found[i:j] for i, j in zip(places, places[1:])]
 
 
-def encoder(vocabulary: Broadcast, most: int | None = None) -> Encoder:
-    """This worker's encoder for the vocabulary; kept for later tasks.
-
-    ``most`` is the number of pieces it remembers in each of two generations.
-    """
+def encoder(vocabulary: Broadcast) -> Encoder:
+    """This worker's encoder for the vocabulary; kept for later tasks."""
     key = zlib.crc32(vocabulary.value.content.encode())
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(vocabulary.value)
-    _ENCODERS[key].most = most or CACHE_PIECES
     return _ENCODERS[key]

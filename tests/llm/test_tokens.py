@@ -9,6 +9,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -18,6 +19,7 @@ from folioforge.llm import common, packing, tokenfile, tokens
 from odd import SMALL, no_documents, odd_documents, odd_rows
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+EMPTY = pa.array([], pa.large_binary())
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +75,40 @@ def test_what_an_encoder_remembers_has_its_own_limit(tokenizer):
         assert len(worker.cache) <= 70 and len(worker.older) <= 70
 
 
+def test_pieces_with_numbers_and_lines_are_remembered_by_their_parts(tokenizer):
+    worker = tokens.Encoder(tokens.read_vocabulary(PATH))
+    texts = ["go x1y, x1y. x1y) end.\nNext (end).\nNext end,\nonce\nmore \u2014 caf\u00e9\u2026, 'tis-\u00bd", "go \u2026,\nx don't\nit's"]
+    wanted = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [ids.tolist() for ids in worker.encode(texts)] == wanted
+    assert {"x1y", "end", "(end", "don't"} <= set(worker.cache)
+    assert not any("\n" in piece or piece[-1] in tokens.MARKS for piece in worker.cache)
+    # Met again, alone or with other marks and lines, they are not asked for.
+    worker._words = worker._unit = worker._together = lambda words: pytest.fail(words) if words else EMPTY
+    assert worker.encode(["go x1y) end,\nNext"])[0].tolist() == tokenizer.encode("go x1y) end,\nNext").ids
+
+
+def test_pieces_take_little_memory_and_survive_a_change_of_generations(tokenizer):
+    worker = tokens.Encoder(tokens.read_vocabulary(PATH), 3000)
+    draw = random.Random(5)
+    for _ in range(6):
+        texts = [" ".join(["always"] + ["".join(draw.choices("abc\u00e9dß", k=8)) for _ in range(40)]) for _ in range(50)]
+        found = [ids.tolist() for ids in worker.encode(["go", *texts])]
+        assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in ["go", *texts]]
+    assert 0 < len(worker.older) and len(worker.cache) <= 5010
+    for known in (worker.cache, worker.older):
+        assert known.names.nbytes + known.ids.nbytes < 64 * len(known) + 64
+
+
+def test_small_batches_are_encoded_together():
+    rows = lambda n, at: pa.RecordBatch.from_pydict({"text": [str(at + i).zfill(100) for i in range(n)]})
+    given = [rows(5, 10 * k) for k in range(7)]
+    size = sum(batch.nbytes for batch in given[:3])
+    found = list(common.gathered(iter(given), size))
+    assert [batch.num_rows for batch in found] == [15, 15, 5]
+    assert [x for b in found for x in b["text"].to_pylist()] == [x for b in given for x in b["text"].to_pylist()]
+    assert list(common.gathered(iter([]), size)) == []
+
+
 def test_strings_of_added_tokens_give_their_ids(encoder):
     plain = Tokenizer.from_file(PATH)
     texts = ["a <|endoftext|> b", "plain words", "<|endoftext|>", "x<|endoftext|>  <|endoftext|>\ny z",
