@@ -28,6 +28,8 @@ WINDOWS = 32
 #: Unfilled windows merged by one task.
 MERGE = 64
 END_ID = 1
+#: Bytes of text encoded at once; pieces are looked up once for all of them.
+ENCODED_BYTES = 4 << 20
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -163,8 +165,7 @@ def pack(
         worker, packer = tokens.encoder(shared), Packer(length, windows)
         part = TaskContext.get().partitionId()
         number = part << 32
-        # Spark hands out small batches; the larger the one encoded, the fewer of its pieces are looked up.
-        for batch in common.gathered(batches):
+        for batch in common.gathered(batches, ENCODED_BYTES):
             done: list[tuple[int, list[Piece]]] = []
             names = common.column(batch, "doc_id").cast(pa.int64()).to_pylist()
             for doc, ids in zip(names, worker.encode(common.texts(batch))):
